@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import gear_chunks, quality_rules, simhash_golay
 from .common import read
 
 
@@ -15,8 +16,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_golay.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gear_chunks.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_golay": op3_simhash_golay,
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}
