@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gear_chunks, quality_rules, simhash_golay
+from . import decontaminate, gear_chunks, quality_rules, sentence_pieces, simhash_golay
 from .common import read
 
 
@@ -25,6 +25,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gear_chunks.report(read(spark, sf_dir, "documents"))
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.report(read(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_golay": op3_simhash_golay,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_decontaminate": op8_decontaminate,
 }
 
