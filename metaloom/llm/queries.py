@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gear_chunks, quality_rules, sentence_pieces, simhash_golay
+from . import decontaminate, gear_chunks, quality_rules, sentence_pieces, simhash_golay, token_transducer
 from .common import read
 
 
@@ -33,12 +33,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_transducer.token_counts(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_golay": op3_simhash_golay,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_decontaminate": op8_decontaminate,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
