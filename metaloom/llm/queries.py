@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gear_chunks, quality_rules, sentence_pieces, simhash_golay, token_transducer
+from . import decontaminate, gear_chunks, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer
 from .common import read
 
 
@@ -37,6 +37,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_transducer.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_golay": op3_simhash_golay,
     "op4_quality_rules": op4_quality_rules,
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
+    "op10_pitman_yor": op10_pitman_yor,
 }
 
 ORACLES: dict[str, str] = {}
