@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gear_chunks, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer
+from . import decontaminate, gear_chunks, license_scan, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer
 from .common import read
 
 
@@ -16,6 +16,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_golay.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -42,6 +46,7 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
     "op3_simhash_golay": op3_simhash_golay,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
@@ -51,4 +56,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pitman_yor": op10_pitman_yor,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": license_scan.sql(),
+}
