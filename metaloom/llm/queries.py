@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gear_chunks, license_scan, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer
+from . import chat_trees, decontaminate, gear_chunks, license_scan, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer, warc_index
 from .common import read
 
 
@@ -16,6 +16,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.report(read(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gear_chunks.report(read(spark, sf_dir, "documents"))
 
 
+def op6_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_trees.report(read(spark, sf_dir, "conversations"))
+
+
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.report(read(spark, sf_dir, "documents"))
 
@@ -46,10 +54,12 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_index": op1_warc_index,
     "op2_license_scan": op2_license_scan,
     "op3_simhash_golay": op3_simhash_golay,
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_chat_trees": op6_chat_trees,
     "op7_sentence_pieces": op7_sentence_pieces,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
@@ -57,5 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc_index": warc_index.sql(),
     "op2_license_scan": license_scan.sql(),
+    "op6_chat_trees": chat_trees.sql(),
 }
