@@ -6,6 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-FLAGSHIP = "completeness_report"
+FLAGSHIP = "completeness"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function under its name; sql is the same query for DuckDB, None where SQL can't express it."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def load() -> None:
+    """Imports the modules whose queries register themselves."""
+    from . import documents, graph, history, relational, reports, scalars, tabular, validation  # noqa: F401
