@@ -1,0 +1,58 @@
+"""Queries: nested documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import documents as D
+from ..sources.tables import table
+from .registry import query
+
+
+@query("SELECT event_id, (props->>'$.k')::BIGINT AS k, coalesce(props->>'$.none', 'absent') AS none FROM events")
+def json_get(spark: SparkSession, d: str) -> DataFrame:
+    v = F.try_parse_json("props")
+    return table(spark, d, "events").select("event_id", D.get(v, ["k"], "bigint").alias("k"), D.get(v, ["none"], "string", "absent").alias("none"))
+
+
+@query("SELECT event_id, '#/' || key AS path, props->>('$.' || key) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)")
+def json_shred(spark: SparkSession, d: str) -> DataFrame:
+    return D.shred(table(spark, d, "events").select("event_id", "props"), "event_id", "props").select("event_id", "path", "value")
+
+
+@query("""SELECT event_id, event_type || '/' || user_id AS label, CASE WHEN event_type <> 'view' THEN event_type END AS kind FROM events""")
+def json_derive(spark: SparkSession, d: str) -> DataFrame:
+    """Values derived from several sources; empty ones are culled."""
+    label = F.concat("event_type", F.lit("/"), F.col("user_id").cast("string"))
+    kind = F.when(F.col("event_type") == "view", "").otherwise(F.col("event_type"))
+    return table(spark, d, "events").select("event_id", D.cull(label, "string").alias("label"), D.cull(kind, "string").alias("kind"))
+
+
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    """A document per order, with its lines."""
+    line = F.struct(F.col("l_linenumber").alias("n"), F.struct(F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag")).alias("facts"))
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines")).select("l_orderkey", F.struct("lines").alias("doc"))
+
+
+@query("""SELECT l_orderkey, string_agg(l_linenumber || l_returnflag || (l_quantity * 2)::BIGINT, ',' ORDER BY l_linenumber, l_quantity, l_returnflag) AS moved FROM lineitem GROUP BY 1""")
+def doc_move(spark: SparkSession, d: str) -> DataFrame:
+    """A field moved out of every line's facts, another updated in place."""
+    doc = D.move(F.col("doc"), ["lines", int, "facts", "flag"], ["lines", int, "flag"])
+    doc = D.update(doc, ["lines", int, "facts", "quantity"], lambda q: q * 2)
+    text = F.transform(doc["lines"], lambda x: F.concat(x["n"].cast("string"), x["flag"], x["facts"]["quantity"].cast("bigint").cast("string")))
+    return _orders(spark, d).select("l_orderkey", F.array_join(text, ",").alias("moved"))
+
+
+@query("""SELECT c_nationkey, n1 AS n_pairs, CASE WHEN n1 IS NULL THEN 'lengths differ: ' || a || ' ' || b END AS error FROM (SELECT c_nationkey, count(*) AS a, count(*) FILTER (c_acctbal > -900) AS b, CASE WHEN count(*) = count(*) FILTER (c_acctbal > -900) THEN count(*) END AS n1 FROM customer GROUP BY 1)""")
+def zip_eq(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.sort_array(F.collect_list("c_custkey")).alias("a"), F.sort_array(F.collect_list(F.when(F.col("c_acctbal") > -900, F.col("c_name")))).alias("b"))
+    z = c.select("c_nationkey", D.zip_equal(F.col("a"), F.col("b")).alias("z"))
+    return z.select("c_nationkey", F.when(F.col("z.pairs").isNotNull(), F.size("z.pairs").cast("bigint")).alias("n_pairs"), "z.error")
+
+
+@query("""SELECT p_partkey, '{"brand":"' || p_brand || '","size":"' || p_size || '"}' AS document FROM part""")
+def doc_assemble(spark: SparkSession, d: str) -> DataFrame:
+    leaf = lambda k, c: F.struct(F.lit(f"#/{k}").alias("path"), F.col(c).cast("string").alias("value"))
+    leaves = table(spark, d, "part").select("p_partkey", F.explode(F.array(leaf("size", "p_size"), leaf("brand", "p_brand"))).alias("x")).select("p_partkey", "x.*")
+    return D.assemble(leaves, "p_partkey")

@@ -1,0 +1,59 @@
+"""Queries: sheets of cells."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import tabular as T
+from ..sources.tables import table
+from .registry import query
+
+_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
+
+
+def sheet(spark: SparkSession, d: str) -> DataFrame:
+    """A sheet for each region, of its nations."""
+    n = table(spark, d, "nation")
+    return T.cells(n, F.concat(F.lit("region"), F.col("n_regionkey").cast("string")), _COLUMNS, F.col("n_nationkey") + 1)
+
+
+_S = """s AS (SELECT 'region' || n_regionkey AS file, n_nationkey + 1 AS row, c AS col, CASE c WHEN 0 THEN n_nationkey::VARCHAR WHEN 1 THEN n_name ELSE n_regionkey::VARCHAR END AS value FROM nation, (VALUES (0), (1), (2)) v(c)
+UNION ALL SELECT DISTINCT 'region' || n_regionkey, 0, c, ['n_nationkey', 'n_name', 'n_regionkey'][c + 1] FROM nation, (VALUES (0), (1), (2)) v(c))"""
+
+
+@query(f"WITH {_S} SELECT file, col::BIGINT AS row, row::INTEGER AS col, value FROM s")
+def transpose(spark: SparkSession, d: str) -> DataFrame:
+    return T.transpose(T.trim_empty(sheet(spark, d)))
+
+
+@query(f"WITH {_S} SELECT file, col, CASE value WHEN 'n_name' THEN 'name' ELSE value END AS name, value AS original FROM s WHERE row = 0")
+def header_norm(spark: SparkSession, d: str) -> DataFrame:
+    return T.headers(sheet(spark, d), {"n_name": "name"})
+
+
+@query(f"WITH {_S} SELECT file, 'duplicate n_regionkey at R1C2,R1C3' AS message FROM s WHERE row = 0 AND col = 1")
+def header_errors(spark: SparkSession, d: str) -> DataFrame:
+    """A header in which a name comes twice."""
+    cell = (F.col("row") == 0) & (F.col("col") == 1)
+    return T.header_errors(sheet(spark, d).withColumn("value", F.when(cell, "n_regionkey").otherwise(F.col("value"))))
+
+
+@query("SELECT 'region' || n_regionkey AS file, n_nationkey::BIGINT + 1 AS row, n_name AS name, n_regionkey::VARCHAR AS region FROM nation")
+def cells_group(spark: SparkSession, d: str) -> DataFrame:
+    s = sheet(spark, d)
+    r = T.records(s, T.headers(s))
+    return r.select("file", "row", F.col("attrs")["n_name"].alias("name"), F.col("attrs")["n_regionkey"].alias("region"))
+
+
+@query("SELECT n_nationkey::BIGINT + 1 AS row, CASE WHEN n_nationkey % 7 = 0 THEN 'ERROR-KEY-' || (n_nationkey + 1) ELSE n_regionkey || '_' || n_name END AS k FROM nation")
+def key_composite(spark: SparkSession, d: str) -> DataFrame:
+    hole = (F.col("col") == 1) & (F.col("row") > 0) & ((F.col("row") - 1) % 7 == 0)
+    s = sheet(spark, d).withColumn("value", F.when(~hole, F.col("value")))
+    return T.records(s, T.headers(s)).select("row", T.composite_key(F.col("attrs"), ["n_regionkey", "n_name"], F.col("row")).alias("k"))
+
+
+@query("SELECT DISTINCT 'region' || n_regionkey AS file, 'version' AS name, '1.0' AS value FROM nation")
+def missing_rows(spark: SparkSession, d: str) -> DataFrame:
+    s = sheet(spark, d)
+    return T.add_missing(s, T.headers(s), {"version": "1.0", "n_name": "none"})
