@@ -51,7 +51,7 @@ def drop(value: Column, path: Path) -> Column:
 
 
 def move(value: Column, source: Path, target: Path) -> Column:
-    """The field at source under target; both have the same int places, and elements keep their order."""
+    """The field at source under target; both have the same int places, and elements keep their order. The struct it leaves must keep a field."""
     shared = 0
     while shared < min(len(source), len(target)) - 1 and source[shared] == target[shared]:
         shared += 1

@@ -53,7 +53,7 @@ def test_upsert_and_last_wins(spark):
 
 
 def test_document_paths(spark):
-    row = spark.sql("SELECT named_struct('a', array(named_struct('b', 1, 'c', named_struct('d', 'x')))) AS doc")
+    row = spark.sql("SELECT named_struct('a', array(named_struct('b', 1, 'c', named_struct('d', 'x', 'e', 1)))) AS doc")
     moved = row.select(D.move(F.col("doc"), ["a", int, "c", "d"], ["a", int, "d"]).alias("doc")).first().doc
     assert moved.a[0].d == "x" and "d" not in moved.a[0].c
     assert row.select(D.get_all(F.col("doc"), ["a", int, "b"]).alias("x")).first().x == [1]
