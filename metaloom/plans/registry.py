@@ -26,4 +26,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Imports the modules whose queries register themselves."""
-    from . import documents, graph, history, relational, reports, scalars, tabular, validation  # noqa: F401
+    from . import derived, documents, graph, history, relational, reports, scalars, tabular, validation  # noqa: F401
