@@ -6,7 +6,7 @@ the window's rarest, by its number of places in all documents. A place of that s
 start; bounds on the start and the document's length come next, then the words themselves are compared.
 
 Documents are read once for the shingles: those of the benchmark are broadcast in blocks of at most BLOCK shingles, and
-only the matching places, each with the words around it, are kept. Only DataFrame functions are used.
+only the matching places, each with the words around it, are kept; the joins work on these.
 
 Defined cases: null text has no words; items without words have no windows; a null item_id is not listed; repeated
 documents each get their row; a benchmark without windows leaves every document clean; further columns are ignored.
@@ -14,16 +14,20 @@ documents each get their row; a benchmark without windows leaves every document
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let, plain_words, save
+from .common import LOWER, UPPER, ascii_lower, let, plain_words, save
 
 WINDOW, SHINGLE = 10, 3
-#: The bound of what is broadcast at once.
+#: The bound of what is broadcast at once, in shingles.
 BLOCK = 1_000_000
+#: Bytes to bytes: A-Z in lower case, and a space for whatever belongs to no word; bytes of other alphabets stay.
+_PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 
 def _words(text: str = "text") -> Column:
@@ -31,9 +35,9 @@ def _words(text: str = "text") -> Column:
 
 
 def _shingles(w: Column, size: int) -> Column:
-    """Hashes of the runs of size words, by position."""
+    """The runs of size words, by position."""
     run = F.slice(w, 1, F.greatest(F.size(w) - (size - 1), F.lit(0)))
-    return F.transform(run, lambda x, i: F.xxhash64(x, *(F.get(w, i + k) for k in range(1, size))))
+    return F.transform(run, lambda x, i: F.array_join(F.slice(w, i + 1, size), " "))
 
 
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -46,48 +50,67 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     return windows, rows.select("win", "item_id").distinct()
 
 
-def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_hash, start, end, win) of every place of a window in docs, and benchmark_windows' second table."""
+def _places(docs: DataFrame, shingles: list[str]) -> DataFrame:
+    """A row with pos for each place where docs have one of the shingles, with as many words before and after it as a window may need; and a row without, for each of docs."""
+    wanted: dict[bytes, set[bytes]] = {}
+    for x in shingles:
+        first, _, rest = x.encode().partition(b" ")
+        wanted.setdefault(first, set()).add(rest)
+    sent = docs.sparkSession.sparkContext.broadcast((wanted, sorted({x.count(" ") for x in shingles})))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, further = sent.value
+        for batch in batches:
+            rows, n_words, places, found, froms, around = [], [], [], [], [], []
+            for row, text in enumerate(batch.column("t")):
+                words = text.as_py().translate(_PLAIN).split()
+                rows.append(row)
+                n_words.append(len(words))
+                for column in (places, found, froms, around):
+                    column.append(None)
+                for i in [i for i, w in enumerate(words) if w in wanted]:
+                    rests = wanted[words[i]]
+                    for k in further:
+                        if (rest := b" ".join(words[i + 1 : i + 1 + k])) in rests and i + k < len(words):
+                            first = max(0, i - WINDOW + 1)
+                            rows.append(row)
+                            n_words.append(len(words))
+                            places.append(i)
+                            found.append(words[i] + b" " + rest if k else words[i])
+                            froms.append(first)
+                            around.append(b" ".join(words[first : i + WINDOW]))
+            at = pa.array(rows, pa.int32())
+            texts = [pa.array(x, pa.binary()).cast(pa.string()) for x in (found, around)]
+            columns = [batch.column("doc_id").take(at), batch.column("text_hash").take(at), pa.array(n_words, pa.int64()), pa.array(places, pa.int32()), texts[0], pa.array(froms, pa.int32()), texts[1]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "pos", "shingle", "from", "around"])
+
+    told = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).cast("binary").alias("t"))
+    return told.mapInArrow(run, f"doc_id {id_type}, text_hash bigint, n_words bigint, pos int, shingle string, from int, around string")
+
+
+def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, text_hash, n_words) of each of docs; (doc_id, text_hash, start, end, win) of every place of a window; (win, item_id)."""
     windows, items = benchmark_windows(benchmark)
-    size = F.least(F.col("len"), F.lit(SHINGLE))
-    of = F.when(size == 1, _shingles(F.col("words"), 1)).when(size == 2, _shingles(F.col("words"), 2)).otherwise(_shingles(F.col("words"), SHINGLE))
-    parts = save(windows.select("win", "words", "len", size.alias("size"), F.posexplode(of).alias("at", "shingle")), "benchmark-shingles")
-    wanted = parts.select("size", "shingle").distinct()
-    places = []
-    for row in wanted.groupBy("size").count().collect():  # SHINGLE rows at most
-        blocks = -(-row["count"] // BLOCK)
-        for block in range(blocks):
-            some = wanted.filter((F.col("size") == row["size"]) & (F.pmod("shingle", F.lit(blocks)) == block))
-            places.append(_places(docs, F.broadcast(some), row["size"]))
-    if not places:
-        return _no_hits(docs), items
-    found = save(reduce(DataFrame.unionByName, places), "benchmark-places")
-    rarity = found.groupBy("size", "shingle").agg(F.count("*").alias("rarity"))
-    prefix = parts.join(rarity, ["size", "shingle"]).groupBy("win").agg(F.min(F.struct("rarity", "at", "size", "shingle")).alias("p"), F.first("words").alias("words"), F.first("len").alias("len"))
-    prefix = prefix.select("win", "words", "len", "p.at", "p.size", "p.shingle")
+    of = F.when(F.col("len") == 1, _shingles(F.col("words"), 1)).when(F.col("len") == 2, _shingles(F.col("words"), 2)).otherwise(_shingles(F.col("words"), SHINGLE))
+    parts = save(windows.select("win", "words", "len", F.posexplode(of).alias("at", "shingle")), "benchmark-shingles")
+    wanted = save(parts.select("shingle").distinct(), "benchmark-wanted")
+    n_blocks = max(1, -(-wanted.count() // BLOCK))
+    block = lambda k: [r.shingle for r in wanted.filter(F.pmod(F.xxhash64("shingle"), F.lit(n_blocks)) == k).collect()]
+    told = [save(_places(docs, block(k)), "benchmark-places") for k in range(n_blocks)]
+    each = told[0].filter("pos IS NULL").select("doc_id", "text_hash", "n_words")
+    found = reduce(DataFrame.unionByName, told).filter("pos IS NOT NULL")
+    rarity = found.groupBy("shingle").agg(F.count("*").alias("rarity"))
+    prefix = parts.join(rarity, "shingle").groupBy("win").agg(F.min(F.struct("rarity", "at", "shingle")).alias("p"), F.first("words").alias("words"), F.first("len").alias("len"))
     start = F.col("pos") - F.col("at")
-    met = found.join(prefix, ["size", "shingle"]).filter((start >= 0) & (start + F.col("len") <= F.col("n_words")))
-    met = met.filter(F.slice("around", start - F.col("from") + 1, F.col("len")) == F.col("words"))
-    return met.select("doc_id", "text_hash", start.alias("start"), (start + F.col("len")).alias("end"), "win").distinct(), items
+    met = found.join(prefix.select("win", "words", "len", "p.at", "p.shingle"), "shingle").filter((start >= 0) & (start + F.col("len") <= F.col("n_words")))
+    met = met.filter(F.slice(F.split("around", " "), start - F.col("from") + 1, F.col("len")) == F.col("words"))
+    return each, met.select("doc_id", "text_hash", start.alias("start"), (start + F.col("len")).alias("end"), "win").distinct(), items
 
 
-def _no_hits(docs: DataFrame) -> DataFrame:
-    return docs.limit(0).select("doc_id", *(F.lit(0).cast(t).alias(c) for c, t in (("text_hash", "bigint"), ("start", "int"), ("end", "int"), ("win", "string"))))
-
-
-def _places(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Where docs have one of the wanted shingles, with as many words before and after it as a window may need."""
-    told = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _words().alias("w"))
-    # outer, as a plain explode would infer a filter that splits the text once more
-    each = told.select("doc_id", "text_hash", "w", F.posexplode_outer(let(F.col("w"), lambda w: _shingles(w, size))).alias("pos", "shingle"))
-    first = F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0))
-    met = each.join(wanted, "shingle")
-    return met.select("doc_id", "text_hash", F.size("w").alias("n_words"), "pos", "size", "shingle", first.alias("from"), F.slice("w", first + 1, 2 * WINDOW + SHINGLE).alias("around"))
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_hit, items (sorted strings): the documents with a hit, a row for each doc_id and text."""
-    found, items = hits(docs, benchmark)
+def contamination(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n_words) of each of docs; (doc_id, text_hash, n_hit, items, which are sorted strings) of those with a hit, a row for each doc_id and text."""
+    each, found, items = hits(docs, benchmark)
     found = save(found, "benchmark-hits")
     key = ["doc_id", "text_hash"]
     in_order = Window.partitionBy(*key).orderBy("start", "end")
@@ -97,13 +120,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = found.select(*key, "win").distinct().join(items, "win").groupBy(*key).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     a, b = covered.alias("a"), named.alias("b")
     both = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash")), "left")
-    return both.select("a.doc_id", "a.text_hash", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return each, save(both.select("a.doc_id", "a.text_hash", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items")), "benchmark-found")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: a row for each of docs."""
-    found = save(contamination(docs, benchmark), "benchmark-found").withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(_words()).cast("bigint").alias("n_words"))
+    rows, found = contamination(docs, benchmark)
+    found = found.withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
     out = rows.join(found, rows.doc_id.eqNullSafe(found.d) & (rows.text_hash == found.h), "left")
     n_hit, items = F.coalesce("n_hit", F.lit(0).cast("bigint")), F.coalesce("items", F.array().cast("array<string>"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
@@ -111,6 +134,24 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold a window of the benchmark."""
-    found = save(contamination(docs, benchmark), "benchmark-found").select(F.col("doc_id").alias("d"), "text_hash")
+    found = contamination(docs, benchmark)[1].select(F.col("doc_id").alias("d"), "text_hash")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"))
     return rows.join(found, rows.i.eqNullSafe(found.d) & (rows.h == found.text_hash), "left_anti").select("row.*")
+
+
+def sql() -> str:
+    """report() for DuckDB: every window of every document compared."""
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH b AS (SELECT item_id, {words} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, array_to_string(w[i + 1:i + {WINDOW}], ' ') AS win, least(len(w), {WINDOW}) AS n
+       FROM (SELECT item_id, w, unnest(range(greatest(len(w) - {WINDOW - 1}, least(len(w), 1)))) AS i FROM b)),
+d AS (SELECT doc_id, {words} AS w FROM documents),
+s AS (SELECT doc_id, i, n, array_to_string(w[i + 1:i + n], ' ') AS win
+      FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS (SELECT doc_id, i, s.n, item_id FROM s JOIN bw USING (win)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+g AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM h GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN g USING (doc_id)"""

@@ -70,4 +70,5 @@ ORACLES: dict[str, str] = {
     "op1_warc_index": warc_index.sql(),
     "op2_license_scan": license_scan.sql(),
     "op6_chat_trees": chat_trees.sql(),
+    "op8_decontaminate": decontaminate.sql(),
 }
