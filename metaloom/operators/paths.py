@@ -60,3 +60,27 @@ def levels(edges: DataFrame, max_depth: int = 1000) -> DataFrame:
             return found.groupBy("node").agg(F.max("level").alias("level"))
         found = _cut(found.unionByName(frontier.withColumn("level", F.lit(level))))
     raise ValueError(f"a cycle, or paths of more than {max_depth} steps")
+
+
+def walks(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
+    """edges: src, dst, label. Returns start, node, labels: every walk of 1 to max_depth steps with its labels in order, to be filtered with F.forall or F.exists."""
+    layer = seeds.select("start", F.col("start").alias("node"), F.array().cast("array<string>").alias("labels")).distinct()
+    found = None
+    for _ in range(max_depth):
+        layer = layer.join(edges, layer.node == edges.src).select("start", F.col("dst").alias("node"), F.concat("labels", F.array("label")).alias("labels"))
+        found = layer if found is None else found.unionByName(layer)
+    return found
+
+
+def list_items(cells: DataFrame, max_length: int = 10_000) -> DataFrame:
+    """cells: cell, first, rest (null at the end). Returns head, position, item: the linked lists as rows, by doubling jumps."""
+    links = cells.filter("rest IS NOT NULL").select(F.col("cell").alias("src"), F.col("rest").alias("dst"))
+    found = cells.join(links.select(F.col("dst").alias("cell")), "cell", "left_anti").select(F.col("cell").alias("head"), "cell", F.lit(0).alias("position"))
+    step = 1
+    while step < max_length and not links.isEmpty():
+        further = found.join(links, found.cell == links.src).select("head", F.col("dst").alias("cell"), (F.col("position") + step).alias("position"))
+        found = _cut(found.unionByName(further))
+        a, b = links.alias("a"), links.alias("b")
+        links = _cut(a.join(b, F.col("a.dst") == F.col("b.src")).select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst")))
+        step *= 2
+    return found.join(cells.select("cell", F.col("first").alias("item")), "cell").select("head", "position", "item")

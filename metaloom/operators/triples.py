@@ -68,3 +68,17 @@ def minus(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def values(a: DataFrame, name: str, given: Sequence) -> DataFrame:
     return a.join(small(a.sparkSession.createDataFrame([(x,) for x in given], a.select(name).schema)), name, "left_semi")
+
+
+def derive_edges(triples: DataFrame, first: str, second: str, made: str) -> DataFrame:
+    """triples and, for each two that follow on each other, one with the predicate made (as an INSERT of derived edges)."""
+    new = bgp(triples, ("?s", first, "?m"), ("?m", second, "?o")).select("s", F.lit(made).alias("p"), "o").distinct()
+    return triples.select("s", "p", "o").unionByName(new).distinct()
+
+
+def quantity_nodes(rows: DataFrame, subject: Column, predicate: str, value: Column, unit: Column) -> DataFrame:
+    """s, p, o, o_kind: a blank node for each quantity, named by its content, with its value and unit."""
+    node = F.concat(F.lit("_:q"), F.substring(F.sha2(F.concat_ws("|", subject, F.lit(predicate), value.cast("string"), unit), 256), 1, 16))
+    triple = lambda s, p, o, kind: F.struct(s.alias("s"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"))
+    made = F.array(triple(subject, predicate, node, "blank"), triple(node, "hasValue", value, "double"), triple(node, "hasUnit", unit, "string"))
+    return rows.filter(value.isNotNull()).select(F.explode(made).alias("t")).select("t.*")

@@ -114,3 +114,42 @@ def recon_cycle(spark: SparkSession, d: str) -> DataFrame:
     back = x.select(F.concat(F.lit("key/"), "m").alias("src"), F.col("part").alias("dst")).distinct()
     out = P.closure(to.union(back), x.select(F.col("part").alias("start")).distinct(), max_depth=2)
     return out.filter("start = node").select(F.col("start").alias("part"))
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "conversations").filter("turn > 0")
+    at = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit("/"), turn.cast("string"))
+    return c.select(at(F.col("turn")).alias("src"), at(F.col("turn") - 1).alias("dst"), F.col("role").alias("label"))
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT conv_id || '/' || turn AS src, conv_id || '/' || (turn - 1) AS dst, role FROM conversations WHERE turn > 0), {_SEEDS},
+w(start, node, labels, n) AS (SELECT start, dst, role, 1 FROM z JOIN e ON src = start UNION ALL SELECT start, dst, labels || '>' || role, n + 1 FROM w JOIN e ON src = node WHERE n < 4)
+SELECT start, node, labels FROM w WHERE NOT contains(labels, 'system') AND contains(labels, 'user')""")
+def quantified_path(spark: SparkSession, d: str) -> DataFrame:
+    """Walks of at most four replies in which no turn is the system's and one is the user's."""
+    w = P.walks(_labelled(spark, d), _last_turns(spark, d), 4)
+    w = w.filter(F.forall("labels", lambda x: x != "system") & F.exists("labels", lambda x: x == "user"))
+    return w.select("start", "node", F.array_join("labels", ">").alias("labels"))
+
+
+@query("SELECT conv_id || '/0' AS head, (turn)::INTEGER AS position, role AS item FROM conversations")
+def list_items(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as linked lists of turns, unrolled."""
+    c = table(spark, d, "conversations")
+    at = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit("/"), turn.cast("string"))
+    rest = c.select(at(F.col("turn") - 1).alias("cell"), at(F.col("turn")).alias("rest"))
+    return P.list_items(c.select(at(F.col("turn")).alias("cell"), F.col("role").alias("first")).join(rest, "cell", "left"))
+
+
+@query(f"WITH {_T} SELECT s, p, o FROM t WHERE o IS NOT NULL UNION SELECT a.s, 'in_part_of', b.o FROM t a JOIN t b ON a.o = b.s WHERE a.p = 'in_nation' AND b.p = 'in_region'")
+def insert_edges(spark: SparkSession, d: str) -> DataFrame:
+    return G.derive_edges(triples(spark, d), "in_nation", "in_region", "in_part_of")
+
+
+@query("SELECT 'part/' || p_partkey AS s, p_size::DOUBLE AS value, 'cm' AS unit FROM part")
+def quantity_triples(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes as blank nodes with value and unit, read back by a pattern."""
+    p = table(spark, d, "part")
+    t = G.quantity_nodes(p, F.concat(F.lit("part/"), F.col("p_partkey").cast("string")), "hasSize", F.col("p_size").cast("double"), F.lit("cm"))
+    out = G.bgp(t, ("?s", "hasSize", "?q"), ("?q", "hasValue", "?value"), ("?q", "hasUnit", "?unit"))
+    return out.select("s", F.col("value").cast("double").alias("value"), "unit")
