@@ -101,3 +101,21 @@ def assemble(leaves: DataFrame, key: str) -> DataFrame:
     name = F.substring_index("path", "/", -1)
     entries = F.array_sort(F.collect_list(F.struct(name.alias("k"), F.col("value").alias("v"))))
     return leaves.groupBy(key).agg(F.map_from_entries(entries).alias("m")).select(key, F.to_json("m").alias("document"))
+
+
+def ancestors(path: Column) -> Column:
+    """A pointer and all pointers above it."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+
+
+def drop_failures(leaves: DataFrame, errors: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """leaves without those at or below a path of errors (key, path), and those that were taken out."""
+    marked = leaves.withColumn("_above", F.explode(ancestors(F.col("path"))))
+    bad = marked.join(errors.select(key, F.col("path").alias("_above")).distinct(), [key, "_above"], "left_semi").select(key, "path").distinct()
+    return leaves.join(bad, [key, "path"], "left_anti"), leaves.join(bad, [key, "path"], "left_semi")
+
+
+def collect_by_key(leaves: DataFrame, name: str) -> DataFrame:
+    """The leaves whose last key is name, at any depth."""
+    return leaves.filter(F.substring_index("path", "/", -1) == name)

@@ -71,3 +71,30 @@ def add_missing(sheet: DataFrame, names: DataFrame, required: Mapping[str, str])
     """file, name, value: required names that a file's header lacks, with their defaults."""
     wanted = names.select("file").distinct().select("file", F.explode(F.create_map(*(F.lit(x) for p in required.items() for x in p))).alias("name", "value"))
     return wanted.join(names.select("file", "name"), ["file", "name"], "left_anti")
+
+
+def group(attrs: Column, groups: Mapping[str, Sequence[str]], rest: str | None = None) -> Column:
+    """attrs (map) as a map of group to map: each name in the group that claims it; the others in the group rest, or under their own names."""
+    claimed = [n for names in groups.values() for n in names]
+    parts = []
+    for g, names in groups.items():
+        parts.append(F.struct(F.lit(g).alias("key"), _only(attrs, names, True).alias("value")))
+    if rest is not None:
+        parts.append(F.struct(F.lit(rest).alias("key"), _only(attrs, claimed, False).alias("value")))
+    return F.map_from_entries(F.filter(F.array(*parts), lambda p: F.cardinality(p["value"]) > 0))
+
+
+def _only(attrs: Column, names: Sequence[str], inside: bool) -> Column:
+    return F.map_filter(attrs, lambda k, v: k.isin(*names) if inside else ~k.isin(*names))
+
+
+def drop_examples(rows: DataFrame, examples: DataFrame) -> DataFrame:
+    """rows whose attrs are not those of a template's example row."""
+    same = lambda df: df.withColumn("_a", F.array_sort(F.map_entries("attrs")))
+    return same(rows).join(same(examples).select("_a"), "_a", "left_anti").drop("_a")
+
+
+def condense(values: Column, single: bool) -> Column:
+    """An array's distinct values; the one value as such (as text) where a name takes a single one and there is one."""
+    found = F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (v != "")))
+    return F.struct(F.when((F.size(found) == 1) & F.lit(single), F.get(found, F.lit(0))).alias("one"), F.when((F.size(found) > 1) | ~F.lit(single), found).alias("many"))

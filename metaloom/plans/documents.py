@@ -56,3 +56,12 @@ def doc_assemble(spark: SparkSession, d: str) -> DataFrame:
     leaf = lambda k, c: F.struct(F.lit(f"#/{k}").alias("path"), F.col(c).cast("string").alias("value"))
     leaves = table(spark, d, "part").select("p_partkey", F.explode(F.array(leaf("size", "p_size"), leaf("brand", "p_brand"))).alias("x")).select("p_partkey", "x.*")
     return D.assemble(leaves, "p_partkey")
+
+
+@query("SELECT event_id, '#/a/k' AS path, (props->>'$.k') AS value FROM events WHERE event_type <> 'error'")
+def filter_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Values at or below the paths of errors taken out, and one key's values collected at any depth."""
+    e = table(spark, d, "events").select("event_id", "event_type", F.concat(F.lit('{"a":'), "props", F.lit("}")).alias("t"))
+    errors = e.filter("event_type = 'error'").select("event_id", F.lit("#/a").alias("path"))
+    good, _ = D.drop_failures(D.shred(e, "event_id", "t"), errors, "event_id")
+    return D.collect_by_key(good, "k").select("event_id", "path", "value")

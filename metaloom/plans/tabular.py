@@ -57,3 +57,16 @@ def key_composite(spark: SparkSession, d: str) -> DataFrame:
 def missing_rows(spark: SparkSession, d: str) -> DataFrame:
     s = sheet(spark, d)
     return T.add_missing(s, T.headers(s), {"version": "1.0", "n_name": "none"})
+
+
+@query("SELECT n_nationkey::BIGINT + 1 AS row, n_name AS name, n_nationkey::VARCHAR || '/' || n_regionkey AS ids FROM nation WHERE n_name <> (SELECT min(n_name) FROM nation)")
+def records_group(spark: SparkSession, d: str) -> DataFrame:
+    """Records in named groups, without an example row."""
+    s = sheet(spark, d)
+    r = T.records(s, T.headers(s))
+    least = table(spark, d, "nation").agg(F.min("n_name").alias("m"))
+    example = r.join(F.broadcast(least), F.col("attrs")["n_name"] == F.col("m"), "left_semi")
+    g = T.group(F.col("attrs"), {"title": ["n_name"]}, "ids")
+    kept = T.drop_examples(r, example).select("row", g.alias("g"))
+    ids = F.concat_ws("/", F.col("g")["ids"]["n_nationkey"], F.col("g")["ids"]["n_regionkey"])
+    return kept.select("row", F.col("g")["title"]["n_name"].alias("name"), ids.alias("ids"))
