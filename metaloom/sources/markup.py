@@ -25,8 +25,8 @@ def well_formed(text: Column) -> Column:
 def mbf(xml: Column) -> Column:
     """struct(subject, atlas, images, contours) of a tracing document; contours are distinct, without their ids."""
     text = lambda path: F.when(F.xpath_string(xml, F.lit(path)) != "", F.xpath_string(xml, F.lit(path)))
-    subject = F.struct(text("/mbf/sparcdata/subject/@subjectid").alias("id"), text("/mbf/sparcdata/subject/@species").alias("species"), text("/mbf/sparcdata/subject/@sex").alias("sex"), text("/mbf/sparcdata/subject/@age").alias("age"))
-    atlas = F.struct(text("/mbf/sparcdata/atlas/@organ").alias("organ"), text("/mbf/sparcdata/atlas/@label").alias("label"), text("/mbf/sparcdata/atlas/@rootid").alias("rootid"))
+    subject = F.struct(text("/mbf/*/subject/@subjectid").alias("id"), text("/mbf/*/subject/@species").alias("species"), text("/mbf/*/subject/@sex").alias("sex"), text("/mbf/*/subject/@age").alias("age"))
+    atlas = F.struct(text("/mbf/*/atlas/@organ").alias("organ"), text("/mbf/*/atlas/@label").alias("label"), text("/mbf/*/atlas/@rootid").alias("rootid"))
     files = F.xpath(xml, F.lit("/mbf/images/image/filename/text()"))
     contours = F.array_sort(F.array_distinct(F.xpath(xml, F.lit("/mbf/contour/@name"))))
     return F.struct(subject.alias("subject"), atlas.alias("atlas"), files.alias("images"), contours.alias("contours"))

@@ -37,7 +37,7 @@ def test_xlsx(spark, tmp_path):
 
 
 def test_xml(spark, tmp_path):
-    (tmp_path / "a.xml").write_text('<mbf appname="x"><sparcdata><subject subjectid="s1" species="rat"/><atlas organ="heart"/></sparcdata><images><image><filename>i.tif</filename></image></images><contour name="b"/><contour name="a"/><contour name="b"/></mbf>')
+    (tmp_path / "a.xml").write_text('<mbf appname="x"><data><subject subjectid="s1" species="rat"/><atlas organ="heart"/></data><images><image><filename>i.tif</filename></image></images><contour name="b"/><contour name="a"/><contour name="b"/></mbf>')
     (tmp_path / "b.xml").write_text("no markup")
     (tmp_path / "c.xml").write_text("<other/>")
     got = {r.file[-5:]: r for r in markup.read_xml(spark, str(tmp_path)).collect()}
