@@ -114,7 +114,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """docs with repeated runs cut from text; n_chars, where there is one, follows the new text."""
     runs = save(repeated_runs(docs), "gear-runs")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"))
-    rows = rows.join(runs, rows.d.eqNullSafe(runs.doc_id) & (rows.h == runs.text_hash), "left").select("row", "spans")
+    # never broadcast, as it grows with the data
+    rows = rows.join(runs.hint("merge"), rows.d.eqNullSafe(runs.doc_id) & (rows.h == runs.text_hash), "left").select("row", "spans")
     starts, ends = F.col("spans.start"), F.col("spans.end")
 
     def joined(data):
