@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import save
 from .components import components
+from .near_copies import near_copies
 
 MAX_BITS = 2
 #: Fingerprints under one key above which neighbours are looked up by value.
@@ -146,10 +147,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without near-duplicates: of each component the row with the smallest doc_id stays, then that with the smallest hash of its text."""
-    found = save(near_duplicates(docs), "simhash-components")
+    """docs without near copies (near_copies has their definition): of each component the row with the smallest doc_id stays, then that with the smallest hash of its text."""
+    found = save(near_copies(docs), "near-components")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    stay = found.groupBy("component_id").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
+    stay = found.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
     # one key of id and text, by which rows are dealt for the join and stay dealt for the window; never broadcast, as it grows with the data
     stay = stay.withColumn("k", F.xxhash64("doc_id", "text_hash")).hint("merge")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h")).withColumn("k", F.xxhash64("d", "h"))

@@ -181,6 +181,31 @@ def test_simhash_dedup(docs, empty, all_texts):
     assert simhash_golay.keep_one(empty).count() == 0
 
 
+def test_keep_one_leaves_no_pair_of_similar_texts(spark):
+    pick = random.Random(8)
+    base, rows = [[f"w{pick.randrange(3000)}" for _ in range(300)] for _ in range(6)], []
+    for words in base:
+        rows.append(" ".join(words))
+        for edits in range(1, 16):
+            own = list(words)
+            for at in pick.sample(range(300), edits):
+                own[at] = f"edit{pick.randrange(10**6)}"
+            rows.append(" ".join(own))
+    rows += ["one two", "One  TWO", "one three", "", None, " "]
+    sets = []
+    for t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))})
+    root = list(range(len(rows)))
+    alike = [(i, j) for j in range(len(rows)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    for _ in rows:
+        for i, j in alike:
+            root[i] = root[j] = min(root[i], root[j])
+    kept = simhash_golay.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"))
+    assert 6 < len(set(root)) < len(rows) - 20
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+
+
 # 4
 def test_quality(spark, docs, empty, all_texts):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(37)] + [(21, 0, None), (None, 1, 1), (0, None, 0)], "doc_id bigint, quality int, toxic int")
