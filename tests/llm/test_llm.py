@@ -224,6 +224,37 @@ def test_quality(spark, docs, empty, all_texts):
     assert quality_rules.quality_rules(docs, labels.limit(0)).filter("kept = base_failed").count() == 0
 
 
+def test_quality_verdicts(spark):
+    pick = random.Random(4)
+    clean = [" ".join(f"w{int(pick.paretovariate(0.6)) % 5000}" for _ in range(200)) for _ in range(240)]
+    junk = [" ".join(w + pick.choice(["$$$", "%%%", "###", ""]) for w in t.split()) for t in clean[:40]]
+    rows = list(enumerate(clean[40:] + junk + ["too short", "word " * 80, "", None]))
+    labels = [(i, 1, 0) for i in range(150)] + [(i, 0, 0) for i in range(200, 220)]
+    long = lambda h, seed=42: xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed)
+    signed = lambda h: h - 2**64 if h >> 63 else h
+    grams, passed = {}, {}
+    for i, t in rows:
+        w = SPACED.findall(t or "")
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in w]
+        grams[i] = [signed(x) % quality_rules.N_BUCKETS for x in h + [long(b, long(a)) for a, b in zip(h, h[1:])]]
+        n = collections.Counter(win := list(zip(w, w[1:], w[2:])))
+        passed[i] = len(w) >= 50 and 100 * len({k + j for k, x in enumerate(win) if n[x] > 1 for j in range(3)}) <= 50 * len(w)
+    fitted = {i for i in range(150) if long(i) % 2 == 0}
+    raw, target = collections.Counter(g for x in grams.values() for g in x), collections.Counter(g for i in fitted for g in grams[i])
+    share = {g: (n + 1) / (raw.total() + quality_rules.N_BUCKETS) for g, n in raw.items()}
+    prior = quality_rules.PRIOR
+    weight = {g: round(1e6 * math.log((target[g] / p + prior) / (target.total() + prior))) for g, p in share.items()}
+    llr = {i: sum(weight[g] for g in x) / max(len(x), 1) / 1e6 for i, x in grams.items()}
+    unseen = sorted(llr[i] for i in set(range(150)) - fitted if passed[i])
+    least = unseen[math.ceil(quality_rules.REJECTED * len(unseen)) - 1]
+    out = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    got = {r.doc_id: r for r in out.select("row.doc_id", "llr", "kept").collect()}
+    for i, _ in rows:
+        assert got[i].llr == pytest.approx(llr[i], abs=2e-6)
+        assert got[i].kept == (passed[i] and got[i].llr >= least - 1e-9), i
+    assert not any(got[i].kept for i in range(200, 240)) and sum(got[i].kept for i in range(200)) > 0.95 * sum(passed[i] for i in range(200))
+
+
 # 5
 def test_chunks_cover_and_resist_shifts():
     pick = random.Random(2)
