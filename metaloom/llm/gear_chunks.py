@@ -7,7 +7,9 @@ of MIN_RUN bytes or more are cut, so that common phrases stay. Rows that share a
 them repeats of another stays.
 
 Only digests and offsets are shuffled: owners are combined before the shuffle, and only digests that several documents
-have are joined back, where Spark splits those that very many have.
+have are joined back. A digest with more than one in HOT_SHARE of all repeated chunks is hot; there are fewer than
+HOT_SHARE of these. They are known to every task, and their chunks are dealt over SALTS tasks, each with a copy of the
+owner, so that no digest fills a task.
 
 Defined cases: null or blank texts have no chunks and are kept as they are; a null doc_id never owns a chunk that a
 document with an id has; repeated rows are cut alike; further columns are kept.
@@ -32,6 +34,8 @@ BITS = 2
 MIN_CHUNK = 16
 #: Bytes from which a run of repeated chunks is cut.
 MIN_RUN = 128
+#: A digest is hot if it has more than one in so many of the repeated chunks; over how many tasks a hot one is dealt.
+HOT_SHARE, SALTS = 10_000, 256
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], np.uint32)
 _WHITE = np.isin(np.arange(256), np.frombuffer(SPACES.encode(), np.uint8))
 
@@ -92,8 +96,14 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, start, end, owner: the chunks that a document with a smaller doc_id owns."""
     has = F.count("doc_id")
     owners = chunk_table(docs).groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), has.alias("n"), F.count("*").alias("all"))
-    owners = owners.filter("owner < last OR (n > 0 AND n < all)").select("digest", "owner")
-    found = chunk_table(docs).join(owners, "digest").filter(~F.col("doc_id").eqNullSafe(F.col("owner")))
+    owners = save(owners.filter("owner < last OR (n > 0 AND n < all)").select("digest", "owner", "all"), "gear-owners")
+    least = (owners.agg(F.sum("all")).first()[0] or 0) / HOT_SHARE
+    hot = owners.filter(F.col("all") > least)  # fewer than HOT_SHARE rows
+    salts = F.when(F.col("all") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = owners.select("digest", "owner", F.explode(salts).alias("salt"))
+    dealt = chunk_table(docs).join(F.broadcast(hot.select("digest", F.lit(True).alias("hot"))), "digest", "left")
+    dealt = dealt.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "span"), F.lit(SALTS))).otherwise(0).cast("int"))
+    found = dealt.join(copies.hint("merge"), ["digest", "salt"]).filter(~F.col("doc_id").eqNullSafe(F.col("owner")))
     span = F.col("span")
     return found.select("doc_id", "text_hash", F.shiftright(span, 32).alias("start"), span.bitwiseAND(F.lit((1 << 32) - 1)).alias("end"), "owner")
 

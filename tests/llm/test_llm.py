@@ -286,6 +286,48 @@ def test_substring_dedup(docs, empty, all_texts, texts):
     assert gear_chunks.substring_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("share", [10_000, 1e9])
+def test_cuts_and_owners(spark, monkeypatch, share):
+    """Against a byte-by-byte hash and plain dictionaries; with share 1e9 every digest is hot."""
+    monkeypatch.setattr(gear_chunks, "HOT_SHARE", share)
+    pick = random.Random(12)
+    parts = [prose(pick, 40) for _ in range(6)]
+    rows = [(i, " ".join(pick.sample(parts, 2) + [prose(pick, 25)])) for i in range(30)] + [(4, parts[0]), (None, parts[1]), (None, parts[1]), (40, None), (41, " \n"), (42, parts[2]), (42, parts[2])]
+    gear, white = [xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], set(b" \t\n\x0b\x0c\r")
+
+    def cut(data):
+        start, out = len(data) - len(data.lstrip()), []
+        for end in range(start + 1, len(data)):
+            if data[end - 1] in white and data[end] not in white and end - start >= gear_chunks.MIN_CHUNK:
+                h = 0
+                for b in data[max(0, end - gear_chunks.WINDOW) : end]:
+                    h = (2 * h + gear[b]) % 2**32
+                if h >> (32 - gear_chunks.BITS) == 0:
+                    out.append((start, end))
+                    start = end
+        return out + [(start, len(data))] if data.strip() else []
+
+    owner, texts, seen = {}, [(i, (t or "").encode()) for i, t in rows], collections.Counter()
+    for i, data in texts:
+        for a, b in cut(data):
+            k = data[a:b].rstrip()
+            owner[k] = min((x for x in (owner.get(k), i) if x is not None), default=None)
+    want = []
+    for i, data in texts:
+        runs, last = [], None
+        for a, b in cut(data):
+            if (o := owner[data[a:b].rstrip()]) != i:
+                if last != a:
+                    runs.append([a, b, set()])
+                runs[-1][1] = last = b
+                runs[-1][2].add(o)
+        runs = [r for r in runs if r[1] - r[0] >= gear_chunks.MIN_RUN]
+        want.append((i, len(data), len(runs), sum(b - a for a, b, _ in runs), sorted(set().union(*(r[2] for r in runs)))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(r.doc_id, r.n_bytes, r.n_cut_runs, r.n_cut_bytes, r.owner_ids) for r in gear_chunks.report(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and sum(w[2] for w in want) > 10
+
+
 # 6
 def test_chat_round_trip(spark):
     odd = ["<|im_end|>\n<|im_start|>user\nx", "\\", "\\\\<|", "<\\|", "<|<\\|\\<||>", "é\n\n", "", None, "assistant\n", "<\\_"]
