@@ -1,11 +1,14 @@
 """License scans with a positional index of rare words.
 
-Every template is a run of words, of which STOP words are place-holders only. Its key phrases are mandatory. Document
-frequencies of all template words are counted over all documents; the ANCHORS words of a template's key phrases that are
-rarest by these go into the index, with their positions. A document's rare words are looked up there; each posting says
-where the template would begin, and the postings that agree on one beginning are intersected. Where all of a template's
-anchors agree, its words are matched at their places and the key phrases must be whole. As every place of a template
-holds all its anchors, none is missed.
+Every template is a licence's text or notice, of which STOP words are place-holders only. Its key phrases are mandatory.
+Document frequencies of all template words are counted over all documents; the ANCHORS words of a template's key phrases
+that are rarest by these go into the index, with their positions.
+
+A file's own licence words decide what is looked up: a template is possible in it only if it has all words of the key
+phrases, and of these only the ones of highest IDF are looked up, each at every place where the file has it. A posting
+says where the template would begin; the postings that agree on one beginning are intersected. Only these candidates are
+verified: the template's words are matched at their places and the key phrases must be whole. As every place of a
+template holds all its anchors, none is missed.
 
 Only DataFrame functions: one pass over the texts leaves each document's template words with their positions; all that
 follows works on these, one row for a document, a template and a beginning. Nothing is quadratic in a text's length.
@@ -17,6 +20,7 @@ the best share of a template's words that stand at their places, 0 where no temp
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,26 +30,50 @@ from .common import LOWER, UPPER, ascii_lower, let, plain_words, save
 #: Rare words of a template that are looked up.
 ANCHORS = 2
 #: Place-holders, fixed values.
-STOP = {"a", "an", "and", "any", "are", "for", "in", "into", "is", "of", "or", "that", "the", "this", "to", "with"}
+STOP = set("a all an and any are as at be but by do does for from has have if in into is it its may no not of on only or other out shall should such that the their them there these they this those to was were which will with without you your".split()) - {"by"}
 #: The phrases that the base columns report, with their labels.
 BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
-#: Fixed values, from the licences' own notices: label, words, key phrases.
+#: Fixed values, the licences' own texts and notices: label, text, key phrases.
 NOTICES = [
-    ("gpl-2.0", "gnu general public license version 2", ["gnu general public license", "version 2"]),
-    ("gpl-3.0", "gnu general public license version 3", ["gnu general public license", "version 3"]),
-    ("lgpl", "gnu lesser general public license", ["gnu lesser general public license"]),
-    ("agpl", "gnu affero general public license", ["gnu affero general public license"]),
-    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", ["hereby granted free", "charge", "person obtaining"]),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution", "use", "source", "binary forms"]),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["use copy modify", "distribute", "purpose"]),
-    ("mpl", "mozilla public license", ["mozilla public license"]),
-    ("epl", "eclipse public license", ["eclipse public license"]),
-    ("cc-by-nc", "cc by nc", ["cc by nc"]),
-    ("cc-by-nd", "cc by nd", ["cc by nd"]),
-    ("cc-by-sa", "cc by sa", ["cc by sa"]),
-    ("cc0", "creative commons zero", ["creative commons zero"]),
-    ("unlicense", "free and unencumbered software released into the public domain", ["free", "unencumbered software released", "public domain"]),
+    ("gpl-2.0", "GNU General Public License, version 2", ["gnu general public license", "version 2"]),
+    ("gpl-3.0", "GNU General Public License, version 3", ["gnu general public license", "version 3"]),
+    ("gpl-notice", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+        the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it
+        will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General
+        Public License for more details.""", ["free software", "gnu general public license", "free software foundation", "any later version"]),
+    ("lgpl", "GNU Lesser General Public License", ["gnu lesser general public license"]),
+    ("agpl", "GNU Affero General Public License", ["gnu affero general public license"]),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain
+        a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under
+        the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+        language governing permissions and limitations under the License.""", ["apache license version 2 0"]),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+        to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or
+        sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
+        notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+        WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+        NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+        TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""", ["permission is hereby granted free of charge", "person obtaining a copy"]),
+    ("bsd-2-clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in
+        binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials
+        provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""", ["redistribution and use in source and binary forms"]),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright
+        notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""", ["permission to use copy modify", "distribute this software for any purpose"]),
+    ("mpl-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can
+        obtain one at https://mozilla.org/MPL/2.0/.""", ["mozilla public license"]),
+    ("epl", "Eclipse Public License", ["eclipse public license"]),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the
+        use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+        redistribute it freely, subject to the following restrictions""", ["authors be held liable for any damages", "including commercial applications"]),
+    ("cc-by-nc", "CC BY-NC", ["cc by nc"]),
+    ("cc-by-nd", "CC BY-ND", ["cc by nd"]),
+    ("cc-by-sa", "CC BY-SA", ["cc by sa"]),
+    ("cc0", "Creative Commons Zero", ["creative commons zero"]),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
+        software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""", ["unencumbered software released into the public domain"]),
 ]
 
 
@@ -53,14 +81,16 @@ def templates() -> list[dict]:
     """Of each template: number, label, whether it is a base phrase, words (position to word, without STOP), key (positions of key phrases)."""
     out = []
     for label, text, phrases, base in [*((la, t, [t], True) for t, la in BASE), *((*x, False) for x in NOTICES)]:
-        all_words = text.split()
+        all_words = re.findall("[a-z0-9]+", text.lower())
         key: set[int] = set()
         for phrase in phrases:
             p = phrase.split()
             at = next(i for i in range(len(all_words)) if all_words[i : i + len(p)] == p)
             key |= set(range(at, at + len(p)))
-        words = {i: w for i, w in enumerate(all_words) if w not in STOP}
-        out.append({"number": len(out), "label": label, "base": base, "words": words, "key": sorted(key & words.keys())})
+        words = {i: w for i, w in enumerate(all_words) if w not in STOP or base}
+        first = min(words)
+        words = {i - first: w for i, w in words.items()}
+        out.append({"number": len(out), "label": label, "base": base, "words": words, "key": sorted({i - first for i in key} & words.keys())})
     return out
 
 
@@ -76,31 +106,48 @@ def positions(docs: DataFrame) -> DataFrame:
     return save(rows.select("row", "doc_id", "m.n_words", "m.hits"), "license-positions")
 
 
-def index(places: DataFrame) -> tuple[list[tuple], set[str]]:
-    """The postings (word, template, at, bit, anchor) and the words looked up first, by rarity in places."""
+def index(places: DataFrame) -> list[tuple[str, int, int]]:
+    """word, template, place: each template's ANCHORS key words of highest IDF in places."""
     n = places.count()
     df = {r.word: r["count"] for r in places.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").count().collect()}  # VOCABULARY at most
     idf = lambda w: math.log((n + 1) / (df.get(w, 0) + 1))
-    postings, rare = [], set()
-    for t in templates():
-        anchors = sorted(t["key"], key=lambda i: (-idf(t["words"][i]), i))[:ANCHORS]
-        rare |= {t["words"][i] for i in anchors}
-        postings += [(w, t["number"], i, 1 << i, i in anchors) for i, w in t["words"].items()]
-    return postings, rare
+    rare = lambda t: sorted(t["key"], key=lambda i: (-idf(t["words"][i]), i))[:ANCHORS]
+    return [(t["words"][i], t["number"], i) for t in templates() for i in rare(t)]
+
+
+def candidates(places: DataFrame) -> DataFrame:
+    """row, template, at: where all anchors of a template that a document may have agree on its beginning."""
+    spark, anchors = places.sparkSession, index(places)
+    own = F.array_distinct("hits.word")
+    texts = lambda words: F.array(*map(F.lit, sorted(words)))
+    of = {t["number"]: {w for w, number, _ in anchors if number == t["number"]} for t in templates()}
+    needs = F.array(*(F.struct(F.lit(t["number"]).alias("template"), texts({t["words"][i] for i in t["key"]}).alias("key"), texts(of[t["number"]]).alias("rare")) for t in templates()))
+    # the templates that a file's own words allow, and its words of highest IDF in these
+    possible = let(own, lambda d: F.filter(needs, lambda t: F.size(F.array_except(t["key"], d)) == 0))
+    some = places.select("row", "hits", possible.alias("possible")).filter(F.size("possible") > 0)
+    rare = F.array_distinct(F.flatten("possible.rare"))
+    looked = some.select("row", F.col("possible.template").alias("templates"), let(rare, lambda r: F.filter("hits", lambda h: F.array_contains(r, h["word"]))).alias("hits"))
+    table = F.broadcast(spark.createDataFrame(anchors, "word string, template int, place int"))
+    size = F.broadcast(spark.createDataFrame([(number, sum(a[1] == number for a in anchors)) for number in of], "template int, n_anchors int"))
+    met = looked.select("row", "templates", F.explode("hits").alias("h")).select("row", "templates", "h.*").join(table, "word")
+    met = met.filter(F.array_contains("templates", F.col("template"))).select("row", "template", (F.col("pos") - F.col("place")).alias("at")).filter("at >= 0")
+    return met.groupBy("row", "template", "at").count().join(size, "template").filter("count = n_anchors").select("row", "template", "at")
 
 
 def placements(places: DataFrame) -> DataFrame:
     """row, label, base, at (the word where a verified template begins), share (of its words that match)."""
     spark = places.sparkSession
-    postings, rare = index(places)
-    table = F.broadcast(spark.createDataFrame(postings, "word string, template int, place int, bit bigint, anchor boolean"))
-    facts = [(t["number"], t["label"], t["base"], sum(1 << i for i in t["key"]), min(ANCHORS, len(t["key"])), len(t["words"])) for t in templates()]
-    facts = F.broadcast(spark.createDataFrame(facts, "template int, label string, base boolean, mask bigint, n_anchors int, n_template int"))
-    some = places.filter(F.exists("hits", lambda h: h["word"].isin(sorted(rare)))).select("row", F.explode("hits").alias("h")).select("row", "h.pos", "h.word")
-    met = some.join(table, "word").select("row", "template", (F.col("pos") - F.col("place")).alias("at"), "bit", "anchor").filter("at >= 0")
-    met = met.groupBy("row", "template", "at").agg(F.bit_or("bit").alias("bits"), F.count_if("anchor").alias("anchors"))
-    met = met.join(facts, "template").filter("anchors = n_anchors AND (bits & mask) = mask")
-    return met.select("row", "label", "base", "at", (F.bit_count("bits") / F.col("n_template")).alias("share"))
+    found = save(candidates(places), "license-candidates")
+    postings = [(w, t["number"], i, i in t["key"]) for t in templates() for i, w in t["words"].items()]
+    table = F.broadcast(spark.createDataFrame(postings, "word string, template int, place int, key boolean"))
+    facts = [(t["number"], t["label"], t["base"], len(t["key"]), len(t["words"])) for t in templates()]
+    facts = F.broadcast(spark.createDataFrame(facts, "template int, label string, base boolean, n_key int, n_template int"))
+    which = found.groupBy("row").agg(F.collect_set("template").alias("templates"))  # of all templates at most
+    hits = places.join(which, "row").select("row", "templates", F.explode("hits").alias("h")).select("row", "templates", "h.*")
+    met = hits.join(table, "word").filter(F.array_contains("templates", F.col("template")))
+    met = met.select("row", "template", (F.col("pos") - F.col("place")).alias("at"), "key").join(found, ["row", "template", "at"], "left_semi")
+    met = met.groupBy("row", "template", "at").agg(F.count("*").alias("n"), F.count_if("key").alias("keys")).join(facts, "template").filter("keys = n_key")
+    return met.select("row", "label", "base", "at", (F.col("n") / F.col("n_template")).alias("share"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
