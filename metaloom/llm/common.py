@@ -16,9 +16,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one under /tmp where the setting is absent, as in tests."""
+    """The folder in spark.checkpoint.dir. Where the setting is absent, one under /tmp, but only if all runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         folder = _own.setdefault(app, "") or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         _own[app] = folder

@@ -147,13 +147,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without near copies (near_copies has their definition): of each component the row with the smallest doc_id stays, then that with the smallest hash of its text."""
+    """docs without near copies (near_copies has their definition): of each component the row with the smallest doc_id stays, then that with the smallest hash of its text, then of its other columns."""
     found = save(near_copies(docs), "near-components")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     stay = found.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
     # one key of id and text, by which rows are dealt for the join and stay dealt for the window; never broadcast, as it grows with the data
     stay = stay.withColumn("k", F.xxhash64("doc_id", "text_hash")).hint("merge")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h")).withColumn("k", F.xxhash64("d", "h"))
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), tie.alias("tie")).withColumn("k", F.xxhash64("d", "h"))
     # the second comparison is written such that it isn't a second key, by which the window would have to deal anew
-    kept = rows.join(stay, (rows.k == stay.k) & (rows.h.bitwiseXOR(stay.text_hash) == 0)).select("row", rows.k)
-    return kept.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("k"))).filter("n = 1").select("row.*")
+    kept = rows.join(stay, (rows.k == stay.k) & (rows.h.bitwiseXOR(stay.text_hash) == 0)).select("row", rows.k, "tie")
+    return kept.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("tie"))).filter("n = 1").select("row.*")
