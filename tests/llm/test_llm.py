@@ -469,6 +469,7 @@ def test_token_counts(docs, empty, all_texts, monkeypatch):
 
     library = Tokenizer.from_file(token_transducer.default_file())
     monkeypatch.setattr(token_transducer, "CHUNK", 700)
+    monkeypatch.setattr(token_transducer, "LOOK", 100)
     monkeypatch.setattr(token_transducer, "FAN_IN", 3)
     want = [(i, len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for i, t in all_texts]
     out = token_transducer.token_counts(docs)
@@ -476,18 +477,31 @@ def test_token_counts(docs, empty, all_texts, monkeypatch):
     assert token_transducer.token_counts(empty).count() == 0
 
 
-def test_chunk_maps_compose_in_any_order():
+def test_chunk_maps_compose_in_any_order(monkeypatch):
     machine = token_transducer.Transducer(open(token_transducer.default_file()).read())
     from tokenizers import Tokenizer
 
-    library, pick = Tokenizer.from_file(token_transducer.default_file()), random.Random(6)
-    for _ in range(150):
-        text = "".join(pick.choice(["<|endoftext|>", "<|endof", "text|>", " ", "a", "b", "'s", ".", "12", "\n", " the", "\x85", "́"]) for _ in range(50))
-        n = pick.randrange(5, 60)
-        maps = [machine.chunk_map(text[i : i + n]) for i in range(0, len(text), n)]
+    library, pick, kinds = Tokenizer.from_file(token_transducer.default_file()), random.Random(6), collections.Counter()
+    for look in [30] * 150 + [5] * 50:
+        text = "".join(pick.choice(["<|endoftext|>", "<|endof", "text|>", " ", "a", "b", "'s", "'r", "e", ".", "12", "\n", " the", "\x85", "́"]) for _ in range(80))
+        n = pick.randrange(look, 90)
+        parts = [text[i : i + n] for i in range(0, len(text), n)]
+        maps = [machine.chunk_map(parts[i - 1][-look:] if i else None, x) for i, x in enumerate(parts)]
+        kinds.update(m[0] is None for m in maps[1:])
         k = pick.randrange(1, len(maps)) if len(maps) > 1 else 0
         halves = [reduce(machine.compose, x) for x in (maps[:k], maps[k:]) if x]
         assert machine.total(reduce(machine.compose, halves)) == machine.total(reduce(machine.compose, maps)) == len(library.encode(text, add_special_tokens=False).ids)
+    assert kinds[True] and kinds[False]
+
+
+def test_states_are_bounded_inside_a_word(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_transducer, "STATES", 50)
+    machine = token_transducer.Transducer(open(token_transducer.default_file()).read())
+    word = "".join(random.Random(3).choice("abcdefghijklmnop") for _ in range(2000))
+    assert machine.tokens(word) == len(Tokenizer.from_file(token_transducer.default_file()).encode(word, add_special_tokens=False).ids)
+    assert len(machine.states) <= 52
 
 
 # 10
