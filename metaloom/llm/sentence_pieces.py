@@ -2,13 +2,16 @@
 
 A text is normalised and cut before each run of word marks, where no piece crosses (this is checked when the model is
 read). Of each batch of texts, the distinct marked words are sorted, which lists the paths of their trie depth-first, and
-each word goes on from the forward state of the prefix that it shares with the one before. What the state of a prefix is
-depends on the model's type, so that ids equal the library's:
+each word goes on from the forward states of the prefix that it shares with the one before. A prefix's state is the best
+score of a segmentation, and the last piece of that; a word's ids are read back from its last state.
 
-* unigram: the best score of a segmentation of the prefix, and its last piece (Viterbi);
-* BPE: the last piece of the prefix's segmentation. Merging by rank never changes what it made of a prefix unless its
-  last piece goes, so exactly one piece p that ends the prefix follows the last piece q of what comes before p: the one
-  for which merging q and p together leaves them apart. Piece pairs are judged once and remembered.
+Which pieces may follow which is a constraint on the transitions, and depends on the model's type:
+
+* unigram: any piece may follow any other (plain Viterbi);
+* BPE: piece p may follow piece q only if merging q and p together leaves them apart. Merging by rank never changes what
+  it made of a prefix unless its last piece goes, so the segmentations that hold to this are those that merging makes, and
+  the best of them has the library's ids. Without the constraint, the best score is often another segmentation's: the
+  scores of a BPE model are ranks. Piece pairs are judged once and remembered.
 
 Texts are encoded where they lie; nothing is shuffled. What is remembered is bounded by MEMO words and MEMO pairs. The
 model file's bytes travel with the tasks.
@@ -91,6 +94,8 @@ class Pieces:
                 self.out[i] = b""
         self.apart: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
+        #: Forward states that words shared with the word before, and all that they have.
+        self.forward = [0, 0]
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text, by merging the neighbours of best score, the first of equals, again and again."""
@@ -109,34 +114,27 @@ class Pieces:
         self.apart[first, second] = known = self.merged(first + second) == ([first, second] if first else [second])
         return known
 
-    def _extend_bpe(self, word: str, state: list[str]) -> None:
-        """Adds to state, which has those of shorter prefixes, the last piece of every further prefix of word."""
-        known, longest, apart = self.codes, self.longest, self.apart
-        for end in range(len(state), len(word) + 1):
-            for start in range(max(0, end - longest), end - 1):
-                piece = word[start:end]
-                if piece in known:
-                    stay = apart.get((state[start], piece))
-                    if self._stay_apart(state[start], piece) if stay is None else stay:
-                        break
-            else:
-                piece = word[end - 1]
-            state.append(piece)
-
-    def _extend_unigram(self, word: str, state: list[tuple[float, str]]) -> None:
-        """The same with the best score and the last piece; of equal scores the longer piece's."""
-        scores = self.scores
+    def _extend(self, word: str, state: list[tuple[float, str]]) -> None:
+        """Adds to state, which has those of shorter prefixes, the best score and the last piece of every further prefix of word; of equal scores the longer piece's."""
+        scores, longest, apart, free = self.scores, self.longest, self.apart, self.unigram
         for end in range(len(state), len(word) + 1):
             best = None
-            for start in range(max(0, end - self.longest), end):
+            for start in range(max(0, end - longest), end):
                 piece = word[start:end]
                 score = scores.get(piece)
                 if score is None:
                     if end - start > 1:
                         continue
                     score = self.unknown_score
-                if best is None or state[start][0] + score > best[0]:
-                    best = (state[start][0] + score, piece)
+                before, last = state[start]
+                if not free and end - start > 1:
+                    stay = apart.get((last, piece))
+                    if not (self._stay_apart(last, piece) if stay is None else stay):
+                        continue
+                if best is None or before + score > best[0]:
+                    best = (before + score, piece)
+                if not free:
+                    break  # of the pieces that end here, one fits what is before it
             state.append(best)
 
     def _code(self, piece: str) -> bytes:
@@ -148,7 +146,7 @@ class Pieces:
         new = sorted(words.difference(self.words))
         if len(self.words) + len(new) > MEMO:
             self.words = {w: self.words[w] for w in words & self.words.keys()}
-        state: list = [(0.0, "")] if self.unigram else [""]
+        state = [(0.0, "")]
         before, codes = "", self.codes
         for word in new:
             shared = 0
@@ -157,10 +155,12 @@ class Pieces:
                     break
                 shared += 1
             del state[shared + 1 :]
-            (self._extend_unigram if self.unigram else self._extend_bpe)(word, state)
+            self.forward[0] += shared
+            self.forward[1] += len(word)
+            self._extend(word, state)
             before, end, found = word, len(word), []
             while end:
-                piece = state[end][1] if self.unigram else state[end]
+                piece = state[end][1]
                 code = codes.get(piece)
                 found.append(self._code(piece) if code is None else code)
                 end -= len(piece)
