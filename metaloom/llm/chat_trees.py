@@ -1,9 +1,10 @@
 r"""Chat formatting of reply trees.
 
-Messages point at the message they reply to. Root-to-leaf paths are enumerated by self-joins that double: after round k
-every message knows its ancestor 2**k above, and every path holds the 2**(k + 1) messages next to its leaf; so a
-conversation of n turns takes log2(n) rounds, and a round's table holds each path's messages once. Branches are ranked by
-the mean score of their messages, then by their leaf; the best of each tree are formatted.
+Messages point at the message they reply to. Branches are ranked by the mean score of their messages, then by their leaf.
+To rank them, every message's score is summed up to its root by self-joins that double: after round k a message knows its
+ancestor 2**k above and the sum up to there, so that a tree of depth n takes log2(n) rounds over one row a message. Only
+the best branches of each tree are then enumerated, again by doubling, from their leaves on, through the jumps that the
+rounds have left; so long side branches cost no row a path.
 
 A turn is written as <|im_start|>role, a line feed, the text, <|im_end|> and a line feed. Inside roles and texts every
 backslash is doubled, then <| becomes <\|, so no control string is left and reading back is exact; a line feed in a role
@@ -12,7 +13,8 @@ becomes <\_. The loss mask is a list of spans, in UTF-8 bytes of the output: the
 Only DataFrame functions. A conversation is one row of output and so has to fit in memory; all before that is spread.
 
 Defined cases: null role or text counts as empty; turns are ordered by turn (nulls first), then role, then text, so that
-repeated turns all stay; a null tree id is a tree of its own; messages in a cycle have no root and are left out.
+repeated turns all stay; a null tree id is a tree of its own; messages in a cycle, or below a parent that isn't there,
+have no root and are left out; a null score counts as 0.
 """
 
 from __future__ import annotations
@@ -44,31 +46,44 @@ def _unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("<\\_"), F.lit("\n")))
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """messages: tree, node, parent (null at a root). Returns tree, leaf, node, above (steps from the leaf): each root-to-leaf path's messages.
+def _jumps(messages: DataFrame) -> list[DataFrame]:
+    """messages: tree, node, parent, score. For k = 0, 1, ...: tree, node, top (the ancestor 2**k above, null above the root), total and n (of the messages from node to below top), lost (whether a parent is missing)."""
+    key = ["tree", "node"]
+    first = messages.select(*key, F.col("parent").alias("top"), F.coalesce("score", F.lit(0.0)).alias("total"), F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("lost"))
+    jumps = [save(first, "chat-jumps")]
+    largest = jumps[0].groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(largest.bit_length()):
+        last = jumps[-1]
+        if last.filter("top IS NOT NULL AND NOT lost").isEmpty():
+            break
+        above = last.select("tree", F.col("node").alias("top"), F.col("top").alias("next"), F.col("total").alias("more"), F.col("n").alias("further"), F.col("lost").alias("lost_above"))
+        met = last.join(above, ["tree", "top"], "left")
+        lost = F.col("lost") | F.coalesce("lost_above", F.col("top").isNotNull())
+        jumps.append(save(met.select(*key, F.col("next").alias("top"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("n") + F.coalesce("further", F.lit(0))).alias("n"), lost.alias("lost")), "chat-jumps"))
+    return jumps
+
+
+def paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
+    """messages: tree, node, parent (null at a root), score. Returns tree, leaf, node, above (steps from the leaf): the root-to-leaf paths of the top branches of each tree, or of all (None).
 
     tree is a struct, in which nulls compare as equal.
     """
-    key = ["tree", "node"]
-    up = save(messages.select(*key, "parent"), "chat-parents")
-    largest = up.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    parents = up.filter("parent IS NOT NULL").select("tree", F.col("parent").alias("node")).distinct()
-    found = save(up.join(parents, key, "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("above")), "chat-leaves")
-    jump = up.filter("parent IS NOT NULL").select(*key, F.col("parent").alias("top"))
-    for k in range(max(0, largest - 1).bit_length()):
-        step = found.join(jump, key).select("tree", "leaf", F.col("top").alias("node"), (F.col("above") + 2**k).alias("above"))
+    jumps = _jumps(messages)
+    parents = messages.filter("parent IS NOT NULL").select("tree", F.col("parent").alias("node")).distinct()
+    leaves = jumps[-1].filter("top IS NULL AND NOT lost").join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), (F.col("total") / F.col("n")).alias("mean"))
+    if top is not None:
+        rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("mean"), "leaf"))
+        leaves = leaves.withColumn("rank", rank).filter(F.col("rank") <= top)
+    found = leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("bigint").alias("above"))
+    for k, jump in enumerate(jumps[:-1]):
+        step = found.join(jump.filter("top IS NOT NULL").select("tree", "node", "top"), ["tree", "node"]).select("tree", "leaf", F.col("top").alias("node"), (F.col("above") + 2**k).alias("above"))
         found = save(found.unionByName(step), "chat-paths")
-        jump = save(jump.join(jump.select("tree", F.col("node").alias("top"), F.col("top").alias("next")), ["tree", "top"]).select("tree", "node", F.col("next").alias("top")), "chat-jumps")
-    rooted = found.join(up.filter("parent IS NULL").select(*key), key, "left_semi").select("tree", "leaf").distinct()
-    return found.join(rooted, ["tree", "leaf"], "left_semi")
+    return found
 
 
 def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     """messages: tree, node, parent, role, text, score. Returns tree, leaf, above, role, text of the top branches of each tree."""
-    full = paths(messages).join(messages.select("tree", "node", "role", "text", "score"), ["tree", "node"])
-    ranked = full.groupBy("tree", "leaf").agg(F.avg("score").alias("mean"))
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("mean"), "leaf"))).filter(F.col("rank") <= top)
-    return full.join(ranked.select("tree", "leaf"), ["tree", "leaf"], "left_semi").select("tree", "leaf", "above", "role", "text")
+    return paths(messages, top).join(messages.select("tree", "node", "role", "text"), ["tree", "node"]).select("tree", "leaf", "above", "role", "text")
 
 
 def format_paths(turns: DataFrame) -> DataFrame:
@@ -105,11 +120,11 @@ def masked_text(formatted: Column, loss: Column) -> Column:
 
 
 def threads(conversations: DataFrame) -> DataFrame:
-    """conversations (conv_id, turn, role, text) as reply trees in which each turn answers the one before."""
+    """conversations (conv_id, turn, role, text) as reply trees in which each turn answers the one before. A message's score is the logarithm of its length."""
     in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn("node", F.row_number().over(in_order))
     parent = F.when(F.col("node") > 1, F.col("node") - 1)
-    return rows.select(F.struct("conv_id").alias("tree"), "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+    return rows.select(F.struct("conv_id").alias("tree"), "node", parent.alias("parent"), "role", "text", F.log1p(F.char_length(F.coalesce("text", F.lit("")))).alias("score"))
 
 
 def report(conversations: DataFrame) -> DataFrame:

@@ -343,11 +343,21 @@ def test_chat_round_trip(spark):
         assert r.n_turns == len(mine) and r.turns_sha256 == hashlib.sha256("".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in mine).encode()).hexdigest()
         assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
     assert [r.conv_id for r in chat_trees.report(df.limit(0)).collect()] == [-1]
+    more = df.selectExpr("*", "'x' AS tree", "1 AS leaf", "2 AS formatted").union(spark.createDataFrame([(-1, 5, "user", "own", "x", 1, 2)], "conv_id bigint, turn bigint, role string, text string, tree string, leaf int, formatted int"))
+    assert {r.conv_id: r.n_turns for r in chat_trees.report(more).collect()} == {k: r.n_turns + (k == -1) for k, r in out.items()}
+
+
+def test_long_comb_of_replies(spark):
+    """A chain of 300 turns with a side branch at each: only the chosen path is enumerated."""
+    nodes = [(n, n - 1 or None, 1.0) for n in range(1, 301)] + [(1000 + n, n, 0.0) for n in range(1, 300)]
+    df = spark.createDataFrame(nodes, "node bigint, parent bigint, score double").selectExpr("struct(1 AS t) AS tree", "node", "parent", "score")
+    got = chat_trees.paths(df)
+    assert sorted((r.above, r.node) for r in got.collect()) == [(k, 300 - k) for k in range(300)]
 
 
 def test_reply_trees(spark):
     pick = random.Random(4)
-    nodes = [(1, n, pick.randrange(1, n) if n > 1 else None, "user", f"m{n}", float(pick.randrange(5))) for n in range(1, 40)] + [(2, 1, 2, "user", "loop", 1.0), (2, 2, 1, "user", "loop", 1.0), (3, 1, None, "user", "alone", None)]
+    nodes = [(1, n, pick.randrange(1, n) if n > 1 else None, "user", f"m{n}", float(pick.randrange(5))) for n in range(1, 40)] + [(2, 1, 2, "user", "loop", 1.0), (2, 2, 1, "user", "loop", 1.0), (2, 3, 1, "user", "below the loop", 1.0), (3, 1, None, "user", "alone", None), (4, 1, 9, "user", "no parent", 1.0), (4, 2, 1, "user", "below", 1.0)]
     df = spark.createDataFrame(nodes, "t bigint, node bigint, parent bigint, role string, text string, score double").selectExpr("struct(t) AS tree", "node", "parent", "role", "text", "score")
     up = {n: p for t, n, p, *_ in nodes if t == 1}
     want = {}
@@ -358,10 +368,11 @@ def test_reply_trees(spark):
             n = up[n]
         want[leaf] = way
     got = collections.defaultdict(list)
-    for r in chat_trees.paths(df).collect():
+    for r in chat_trees.paths(df, None).collect():
         if r.tree.t == 1:
             got[r.leaf].append((r.above, r.node))
     assert {k: [n for _, n in sorted(v)] for k, v in got.items()} == want
+    assert {r.tree.t for r in chat_trees.paths(df, None).select("tree").distinct().collect()} == {1, 3}
     score = {n: s for t, n, *_, s in nodes if t == 1}
     best = min(want, key=lambda k: (-sum(score[n] for n in want[k]) / len(want[k]), k))
     chosen = {r.tree.t: r.leaf for r in chat_trees.best_paths(df).select("tree", "leaf").distinct().collect()}
