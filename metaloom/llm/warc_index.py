@@ -1,9 +1,10 @@
 r"""WARC archives and their merged capture index.
 
 Pages are written as WARC/1.1 records, gzipped, by Spark's text writer: a record is a row, and the two empty lines that
-end it are the line separator. Each file is sorted by URL key and date, so it is one locally sorted run. A payload of
-MIN_REVISIT bytes or more that several pages have is written once, for the largest page_id; the others are revisit
-records that refer to it.
+end it are the line separator. Each file is sorted by URL key and date, so it is one locally sorted run. Files are bounded
+by bytes: pages are written by classes of size, the largest of which is put into as few records a file as FILE_BYTES
+allow. A payload of MIN_REVISIT bytes or more that several pages have is written once, for the largest page_id; the others
+are revisit records that refer to it. Copies are found on digests alone; those of a hot payload are dealt over SALTS tasks.
 
 Archives are read back by record lengths, never by separators, and every payload's digest is computed anew and compared
 with its header. The captures of all runs are then merged externally: dealt by ranges of (URL key, date, page_id), each
@@ -12,7 +13,8 @@ several ranges stays in order across them, and its captures are numbered through
 
 Defined cases: null html is an empty payload; a null url has the key ")"; a null page_id refers to nothing and is never
 referred to unless all pages with that payload have none; of repeated rows with the largest page_id each is a response;
-control characters in a url are percent-encoded; records are limited by a row's 2 GB.
+line ends in a url are percent-encoded, all else in it comes back as it was; records are limited by a row's 2 GB; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ from pyspark.sql import functions as F
 from .common import save, scratch
 
 MIN_REVISIT = 1000
-#: Records in a file, and captures in a range, at most about.
-FILE_RECORDS, RANGE_ROWS = 5000, 200_000
+#: Payload bytes in a file (one record may have more), records in a file, and captures in a range, at most about.
+FILE_BYTES, FILE_RECORDS, RANGE_ROWS = 256_000_000, 5000, 200_000
+#: A payload is hot if more pages have it, and more than one in HOT_SHARE of all copies; over how many tasks these are dealt.
+HOT_COPIES, HOT_SHARE, SALTS = 1000, 10_000, 64
 #: The date of page 0; each page_id is a second later.
 EPOCH = 1_704_067_200
 END = "\r\n\r\n"
@@ -51,11 +55,27 @@ def _date(page_id: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """pages: page_id, url, html. Writes a record for each row under path."""
+    """pages: page_id, url, html. Writes a record for each row under path, in a folder for each class of size."""
     payload = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).alias("n"))
-    copies = rows.filter(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.max("page_id").alias("origin"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
-    told = rows.join(copies, "digest", "left")
+    # records of up to FILE_BYTES / FILE_RECORDS bytes are class 0, and each further class has records of up to four times the size
+    least = FILE_BYTES // FILE_RECORDS
+    of_size = lambda n: F.when(n <= least, 0).otherwise(F.ceil(F.log(4.0, n / F.lit(least)))).cast("int")
+    classes = [r.c for r in pages.select(of_size(F.octet_length(payload)).alias("c")).distinct().collect()]  # 16 at most
+    for c in sorted(classes) or [0]:
+        some = pages.filter(of_size(F.octet_length(payload)) == c).select("page_id", "url", payload.alias("payload"))
+        _write_records(some, f"{path}/class={c}", max(1, FILE_RECORDS // 4**c))
+
+
+def _write_records(pages: DataFrame, path: str, file_records: int) -> None:
+    rows = pages.select("*", F.sha1(F.col("payload").cast("binary")).alias("digest"), F.octet_length("payload").alias("n"))
+    copies = rows.filter(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.max("page_id").alias("origin"), F.count("*").alias("copies")).filter("copies > 1")
+    copies = save(copies, "warc-copies")
+    least = max(HOT_COPIES, (copies.agg(F.sum("copies")).first()[0] or 0) / HOT_SHARE)
+    is_hot = F.col("copies") > least  # holds for fewer than HOT_SHARE digests
+    rows = rows.join(F.broadcast(copies.filter(is_hot).select("digest", F.lit(True).alias("hot"))), "digest", "left")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))).otherwise(0).cast("int")
+    dealt = copies.select("digest", "origin", F.explode(F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0))).alias("salt"))
+    told = rows.withColumn("salt", salt).join(dealt, ["digest", "salt"], "left")
     revisit = F.col("origin").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("origin"))
     name = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value)
@@ -68,7 +88,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
         F.lit("Content-Type: application/http;msgtype=response"), line("Content-Length", F.octet_length(block).cast("string")),
     )
     runs = told.sortWithinPartitions(url_key(clean), _date(F.col("page_id")), "page_id")
-    runs.select(F.concat(head, F.lit(END), block).alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    runs.select(F.concat(head, F.lit(END), block).alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
 def records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -80,8 +100,8 @@ def records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]
             raise ValueError(f"not a WARC record: {first[:40]!r}")
         head = {}
         while (line := stream.readline()).strip():
-            key, _, value = line.decode().partition(":")
-            head[key.strip().lower()] = value.strip()
+            key, _, value = line.removesuffix(b"\n").removesuffix(b"\r").decode().partition(":")
+            head[key.strip().lower()] = value.removeprefix(" ")
         yield head, stream.read(int(head["content-length"]))
 
 
@@ -108,7 +128,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).select("path", "content").mapInArrow(run, schema)
 
 
 class LoserTree:

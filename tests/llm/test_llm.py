@@ -87,6 +87,34 @@ def test_warc(spark):
     assert warc_index.report(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_warc_sizes_nulls_and_repeats(spark, monkeypatch, hot):
+    monkeypatch.setattr(warc_index, "HOT_COPIES", hot)
+    monkeypatch.setattr(warc_index, "FILE_BYTES", 40_000)
+    monkeypatch.setattr(warc_index, "FILE_RECORDS", 20)
+    big, huge = "b" * 1500, "h" * 90_000
+    rows = [(i, f" http://x.org/{i % 5}\x1f", big) for i in range(30)] + [(None, "u", huge), (None, "u", huge), (99, "u", huge), (98, "u\x85", huge), (98, "u\x85", huge), (50, None, "c" * 3000), (None, None, None), (None, "n", "d" * 2000), (None, "n", "d" * 2000)]
+    df = spark.createDataFrame([(*r, "extra", 1) for r in rows], "page_id bigint, url string, html string, payload string, digest int").repartition(3)
+    out = warc_index.report(df).collect()
+    largest = {}
+    for i, _, html in rows:
+        largest[html or ""] = max((x for x in (largest.get(html or ""), i) if x is not None), default=None)
+    want = []
+    for i, url, html in rows:
+        data, origin = (html or "").encode(), largest[html or ""]
+        again = len(data) >= 1000 and origin is not None and i != origin
+        want.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", origin if again else None))
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out), key=repr) == sorted(want, key=repr)
+    path = warc_index.scratch(spark, "archives")
+    warc_index.write_archives(df, path)
+    found = warc_index.read_archives(spark, path).collect()
+    assert collections.Counter(r.url for r in found) == collections.Counter(u for _, u, _ in rows)
+    sizes = collections.Counter()
+    for r in found:
+        sizes[r.run] += r.payload_bytes or 0
+    assert max(sizes.values()) <= 90_000 and len(sizes) > 4
+
+
 def test_warc_key_over_several_ranges(spark, monkeypatch):
     monkeypatch.setattr(warc_index, "RANGE_ROWS", 10)
     rows = [(f"run{i % 7}", i, "k" if i % 3 else "j", f"{i * 37 % 100:03}", i) for i in range(100)]
