@@ -544,8 +544,124 @@ def test_states_are_bounded_inside_a_word(monkeypatch):
 
 
 # 10
-def test_language_model(docs, empty, all_texts, monkeypatch):
-    monkeypatch.setattr(pitman_yor, "HEAD", 5)
+def plain_scores(texts):
+    """The whole model over dictionaries, one cell after the other. texts: id, whether held out, tokens."""
+    py, hashed = pitman_yor, lambda w: xxhash.xxh64_intdigest(w.encode(), 42) >> 1
+    theta, theta0 = py.CONCENTRATION, py.ROOT_CONCENTRATION
+    count = collections.Counter(w for _, held, words in texts if not held for w in words)
+    n_tokens, n_words = count.total(), len(count)
+    lexicon = {w: i for i, w in enumerate(sorted((w for w in count if count[w] >= py.MIN_CONTEXT), key=hashed))}
+    start, name = len(lexicon), lambda w: lexicon.get(w, hashed(w))
+    of = lambda words: [(start if not i else lexicon.get(words[i - 1], -1), w) for i, w in enumerate(words)]
+    cell = collections.Counter(p for _, held, words in texts if not held for p in of(words))
+    own = [n for (u, _), n in cell.items() if u >= 0]
+    ratio = lambda a, b: min(0.95, max(0.05, a / (a + 2 * b))) if a + b else 0.5
+    d = ratio(own.count(1), own.count(2))
+    below = collections.Counter()
+    for (u, w), n in cell.items():
+        below[w] += n if u < 0 else 1
+    rare = [below[w] for w in count if w not in lexicon]
+    d0 = ratio(rare.count(1), rare.count(2))
+
+    def numbers(disc):
+        s = {(0, 0): 1.0}
+        for n in range(py.LARGE):
+            for k in range(1, n + 2):
+                s[n + 1, k] = s.get((n, k - 1), 0.0) + (n - disc * k) * s.get((n, k), 0.0)
+                if n > 40:
+                    break
+        return s
+
+    tables = {d: py.stirling(d), d0: py.stirling(d0)}
+    some = numbers(d)
+    for n in range(1, 41):
+        for k in range(1, n + 1):
+            assert math.exp(tables[d][n, k]) == pytest.approx(some[n, k], rel=1e-9)
+
+    def draw(n, x, u, disc):
+        n = round(n)
+        if n < 2 or n > py.LARGE:
+            return float(min(n, 1)) if n < 2 else py.expected(np.array([n]), np.array([x]), disc)[0]
+        log = [tables[disc][n, k] + k * math.log(x) for k in range(1, n + 1)]
+        shares = [math.exp(v - max(log)) for v in log]
+        want, k = u * sum(shares), 0
+        while k < n - 1 and sum(shares[: k + 1]) < want:
+            k += 1
+        return float(k + 1)
+
+    rand = lambda sweep, w, u: py.uniform(sweep, np.array([name(w)]), np.array([u]))[0]
+    customers = collections.Counter()
+    for (u, w), n in cell.items():
+        customers[u] += n
+    now = {c: float(n if c[0] < 0 else 1) for c, n in cell.items()}
+    root_t = {w: 1.0 for w in count}
+    pairs = [c for c, n in cell.items() if c[0] >= 0 and c[1] in lexicon and n > 1]
+
+    def totals(now, root_t):
+        t_u, c_w = collections.Counter(), collections.Counter()
+        for (u, w), t in now.items():
+            t_u[u] += t
+            c_w[w] += t
+        return t_u, c_w, sum(c_w.values()), sum(root_t[w] for w in c_w)
+
+    def root(c, t, less, all_c, all_t):
+        c -= less
+        return (max(c - d0 * min(t, c), 0) + (theta0 + d0 * all_t) / (n_words + 1)) / (theta0 + all_c - less)
+
+    history = []
+    for sweep in range(1, py.SWEEPS + 1):
+        t_u, c_w, all_c, all_t = totals(now, root_t)
+        new = dict(now)
+        for u, w in pairs:
+            t = now[u, w]
+            new[u, w] = draw(cell[u, w], (theta + d * max(t_u[u] - t, 0)) * root(c_w[w], root_t[w], t, all_c, all_t), rand(sweep, w, u), d)
+        now = new
+        c_w = totals(now, root_t)[1]
+        root_t = {w: draw(c_w[w], (theta0 + d0 * max(all_t - 1, 0)) / (n_words + 1), rand(sweep, w, py.ROOT), d0) if w in lexicon else root_t[w] for w in root_t}
+        history.append((dict(now), dict(root_t)))
+    samples = [[dict(a), dict(b)] for a, b in history]
+    for w in count:
+        if w not in lexicon:
+            mine, t_root = {c: now[c] for c in cell if c[1] == w}, 1.0
+            for sweep in range(1, py.SWEEPS + 1):
+                t_u, _, all_c, all_t = totals(*history[sweep - 1])
+                for c in sorted(mine):
+                    if c[0] >= 0 and cell[c] > 1:
+                        x = (theta + d * (t_u[c[0]] - 1)) * root(sum(mine.values()), t_root, mine[c], all_c, all_t)
+                        mine[c] = draw(cell[c], x, rand(sweep, w, c[0]), d)
+                t_root = draw(sum(mine.values()), (theta0 + d0 * max(all_t - 1, 0)) / (n_words + 1), rand(sweep, w, py.ROOT), d0)
+                samples[sweep - 1][0].update(mine)
+                samples[sweep - 1][1][w] = t_root
+    kept = [(*totals(*x), *x) for x in samples[py.BURN_IN :]]
+    # the tables that rarer words have in a context count with their mean
+    mean = collections.Counter()
+    for t_u, *_ in kept:
+        for u, t in t_u.items():
+            mean[u] += t
+    pair_t = [collections.Counter() for _ in kept]
+    for s, (*_, now, _) in enumerate(kept):
+        for (u, w), t in now.items():
+            if w in lexicon:
+                pair_t[s][u] += t
+    rare_t = {u: (mean[u] - sum(p[u] for p in pair_t)) / len(kept) for u in mean}
+
+    def p(u, w):
+        total = 0.0
+        for s, (_, c_w, all_c, all_t, now, root_t) in enumerate(kept):
+            at_root = root(c_w.get(w, 0), root_t.get(w, 0), 0, all_c, all_t)
+            t_u = pair_t[s][u] + rare_t.get(u, 0)
+            n = cell[u, w] if u >= 0 else 0
+            total += at_root if u < 0 else (n - d * now.get((u, w), 0) * (n > 0) + (theta + d * t_u) * at_root) / (theta + customers[u])
+        return total / len(kept)
+
+    whole = {u: sum(p(u, w) for w in count) + p(u, "a word that is not there") for u in (-1, start, 0)}
+    assert all(x == pytest.approx(1, rel=1e-9) for x in whole.values())
+    return {i: sum(math.log10(p(u, w)) for u, w in of(words)) for i, _, words in texts}
+
+
+def test_language_model(spark, docs, empty, all_texts, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "MIN_CONTEXT", 30)
+    monkeypatch.setattr(pitman_yor, "PAIRS", 40)
     count, told = collections.Counter(), []
     for i, t in all_texts:
         w = SPACED.findall(t.translate(UPPER)) + ["\n"]
@@ -553,26 +669,26 @@ def test_language_model(docs, empty, all_texts, monkeypatch):
         told.append((i, held, w))
         count.update([] if held else w)
     n, v = sum(count.values()), len(count)
-    out = pitman_yor.score(docs)
+    out = pitman_yor.score(docs).collect()
     want = [(i, held, len(w), sum(x in count for x in w), n) for i, held, w in told]
-    assert listed(out, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens") == sorted(want, key=repr)
+    assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in out), key=repr) == sorted(want, key=repr)
     base = {i: sum(math.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w) for i, _, w in told}
-    for r in out.collect():
-        assert r.base_score == pytest.approx(base[r.doc_id]) and r.score < 0
+    scores = plain_scores(told)
+    for r in out:
+        assert r.base_score == pytest.approx(base[r.doc_id]) and r.score == pytest.approx(scores[r.doc_id], rel=1e-9)
+    monkeypatch.setattr(pitman_yor, "SLICE", 2000)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    again = {r.doc_id: r.score for r in pitman_yor.score(docs.repartition(7)).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert all(r.score == pytest.approx(again[r.doc_id], rel=1e-12) for r in out)
     assert pitman_yor.score(empty).count() == 0
 
 
-def test_predictive_probabilities_sum_to_one(docs):
-    table = pitman_yor.save(pitman_yor.dishes(docs), "test-dishes").select("word", "cells", "n")
-    shared = pitman_yor.fit(table)
-    for sweep in range(pitman_yor.BURN_IN + 1, pitman_yor.BURN_IN + pitman_yor.SAMPLES + 1):
-        # the parent's probabilities of all words and of one unknown, from the sweep's own totals
-        words, customers, tables = shared.words, *shared.totals[sweep][-2:]
-        d = shared.parent_discount
-        total = (customers - d * tables + (pitman_yor.PARENT_CONCENTRATION + d * tables)) / (pitman_yor.PARENT_CONCENTRATION + customers)
-        assert total == pytest.approx(1) and words > 0
-        own = (shared.customers - shared.discount * shared.totals[sweep][:-2]) / (pitman_yor.CONCENTRATION + shared.customers)
-        assert own + shared.backoff(sweep) == pytest.approx(1)
+def test_language_model_without_training_rows(spark):
+    rows = [(i, "a b") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0] + [(None, None)]
+    for r in pitman_yor.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        assert r.score == pytest.approx(0) and r.train_tokens == 0 and r.held_out
 
 
 # the pipeline
