@@ -115,7 +115,7 @@ def clean_text(value: Column) -> Column:
 
 def curie_expand(value: Column, prefixes: Mapping[str, str]) -> Column:
     base = F.create_map(*(F.lit(x) for pair in prefixes.items() for x in pair))
-    return F.coalesce(F.concat(F.try_element_at(base, F.split_part(value, F.lit(":"), F.lit(1))), F.substring_index(value, ":", -1)), value)
+    return F.coalesce(F.concat(F.try_element_at(base, F.split_part(value, F.lit(":"), F.lit(1))), F.substring(value, F.locate(":", value) + 1, F.char_length(value))), value)
 
 
 def curie_contract(value: Column, prefixes: Mapping[str, str]) -> Column:
@@ -132,13 +132,18 @@ def url_quote(value: Column) -> Column:
 
 def truncate_bytes(value: Column, n: int) -> Column:
     """The longest beginning of at most n bytes of UTF-8 that breaks no character."""
-    cut = F.substring(value.cast("binary"), 1, n)
-    return F.when(F.octet_length(value) <= n, value).otherwise(F.regexp_replace(F.make_valid_utf8(cut.cast("string")), "\ufffd+$", ""))
+    data = value.cast("binary")
+    # at a byte that continues a character (80 to BF) no cut may be made; a character has four bytes at most
+    inside = lambda k: F.hex(F.substring(data, k + 1, 1)).between("80", "BF")
+    size = F.lit(max(n - 3, 0))
+    for k in range(max(n - 2, 0), n + 1):
+        size = F.when(inside(k), size).otherwise(k)
+    return F.when(F.octet_length(value) <= n, value).otherwise(F.decode(F.substring(data, F.lit(1), size), "UTF-8"))
 
 
 def number_set_similarity(a: Column, b: Column) -> Column:
-    """1 - sum of logs of the numbers that both texts have, over that of a's own; 1 where a has none above 1."""
-    numbers = lambda x: F.array_distinct(F.transform(F.regexp_extract_all(x, F.lit("[0-9]{1,15}"), F.lit(0)), lambda n: n.cast("double")))
-    logs = lambda x: F.aggregate(F.array_sort(x), F.lit(0.0), lambda s, n: s + F.when(n > 0, F.ln(n)).otherwise(0.0))
+    """1 - sum of logs of the numbers that both texts have, over that of a's own; 0 where a has none above 1."""
+    numbers = lambda x: F.array_distinct(F.transform(F.regexp_extract_all(x, F.lit("[0-9]+"), F.lit(0)), lambda n: F.ltrim(n, F.lit("0"))))
+    logs = lambda x: F.aggregate(F.array_sort(x), F.lit(0.0), lambda s, n: s + F.when(n != "", F.ln(n.cast("double"))).otherwise(0.0))
     own = logs(numbers(a))
-    return F.when(own == 0, 1.0).otherwise(1 - logs(F.array_intersect(numbers(a), numbers(b))) / own)
+    return F.when(own == 0, 0.0).otherwise(1 - logs(F.array_intersect(numbers(a), numbers(b))) / own)

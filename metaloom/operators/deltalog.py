@@ -11,14 +11,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import save
+
 KEYFRAME = 40
 
 
-def diff(old: DataFrame, new: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """key, change (added, removed or changed) and new's values."""
-    a, b = old.select(key, F.struct(*values).alias("was"), F.lit(1).alias("a")), new.select(key, F.struct(*values).alias("now"), F.lit(1).alias("b"))
+def diff(old: DataFrame, new: DataFrame, key: str | Sequence[str], values: Sequence[str]) -> DataFrame:
+    """key (one or several columns), change (added, removed or changed) and new's values."""
+    key = [key] if isinstance(key, str) else list(key)
+    a, b = old.select(*key, F.struct(*values).alias("was"), F.lit(1).alias("a")), new.select(*key, F.struct(*values).alias("now"), F.lit(1).alias("b"))
     change = F.when(F.col("a").isNull(), "added").when(F.col("b").isNull(), "removed").when(~F.col("was").eqNullSafe(F.col("now")), "changed")
-    return a.join(b, key, "full").select(key, change.alias("change"), "now.*").filter("change IS NOT NULL")
+    return a.join(b, key, "full").select(*key, change.alias("change"), "now.*").filter("change IS NOT NULL")
 
 
 def append(snapshots: DataFrame, key: str, values: Sequence[str], step: str, keyframe: int = KEYFRAME) -> DataFrame:
@@ -48,19 +51,22 @@ def replay(log: DataFrame, key: str, at: Column | None = None, order: Sequence[s
     return some.withColumn("_n", F.row_number().over(newest)).filter("_n = 1 AND op = 'upsert'").drop("_n")
 
 
-def tree_paths(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
-    """nodes: id, parent_id, name. Adds path (names from the root) and depth, level by level; nodes whose parent is missing begin a path of their own."""
-    known = nodes.select(F.col("id").alias("_p"))
-    roots = nodes.join(known, nodes.parent_id == known._p, "left_anti").withColumn("path", F.col("name")).withColumn("depth", F.lit(0))
-    found = level = roots
-    for depth in range(1, max_depth + 1):
-        above = level.select(F.col("id").alias("_p"), F.col("path").alias("_path"))
-        level = nodes.join(above, nodes.parent_id == above._p).select(*nodes.columns, F.concat_ws("/", "_path", "name").alias("path"), F.lit(depth).alias("depth"))
-        level = level.persist()
-        if level.isEmpty():
+def tree_paths(nodes: DataFrame) -> DataFrame:
+    """nodes: id, parent_id, name. Adds path (names from the root), depth and error, by doubling jumps: a tree of depth n takes log2(n) rounds.
+
+    Nodes whose parent is missing begin a path of their own; those on or below a cycle have no path, and the error "cycle".
+    """
+    known = nodes.select(F.col("id").alias("_top"))
+    state = save(nodes.join(known, nodes.parent_id == known._top, "left").withColumn("path", F.col("name")).withColumn("depth", F.lit(0)), "paths")
+    for _ in range(state.count().bit_length()):
+        if state.filter("_top IS NOT NULL").isEmpty():
             break
-        found = found.unionByName(level)
-    return found
+        above = state.select(F.col("id").alias("_at"), F.col("_top").alias("_next"), F.col("path").alias("_path"), F.col("depth").alias("_depth"))
+        met = state.join(above, state._top == above._at, "left")
+        further = F.when(F.col("_at").isNotNull(), F.col("_depth") + 1).otherwise(0)
+        state = save(met.select(*nodes.columns, F.col("_next").alias("_top"), F.concat_ws("/", "_path", "path").alias("path"), (F.col("depth") + further).alias("depth")), "paths")
+    whole = F.col("_top").isNull()
+    return state.select(*nodes.columns, F.when(whole, F.col("path")).alias("path"), F.when(whole, F.col("depth")).alias("depth"), F.when(~whole, "cycle").alias("error"))
 
 
 def classify(local: DataFrame, index: DataFrame) -> DataFrame:

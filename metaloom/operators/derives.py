@@ -98,8 +98,10 @@ def covered_directories(entries: DataFrame, covered: DataFrame) -> DataFrame:
 
 
 def latest_version(rows: DataFrame, key: str, version: str) -> DataFrame:
-    """key, version (the largest, compared as text), conflict: whether there were several."""
-    return rows.groupBy(key).agg(F.max(version).alias("version"), (F.count_distinct(version) > 1).alias("conflict"))
+    """key, version (the largest, by its numbers one after the other, then as text), conflict: whether there were several."""
+    numbers = F.transform(F.regexp_extract_all(version, F.lit("[0-9]+"), F.lit(0)), lambda n: n.cast("decimal(38,0)"))
+    largest = F.max(F.struct(numbers.alias("numbers"), F.col(version).alias("version")))
+    return rows.groupBy(key).agg(largest["version"].alias("version"), (F.count_distinct(version) > 1).alias("conflict"))
 
 
 def running_last(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import save
+
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Writes df out and cuts its lineage, where the session has a checkpoint folder; else it is kept in the cache."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+    return save(df, "frontier")
 
 
 def closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, zero: bool = False) -> DataFrame:
@@ -33,12 +36,14 @@ def closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, ze
     return seen if seen is not None else frontier.withColumn("depth", F.lit(0)).limit(0)
 
 
-def shortest_path(edges: DataFrame, seeds: DataFrame, targets: DataFrame, max_depth: int) -> DataFrame:
-    """start, node, depth, path (of nodes, the smallest of equally short ones), for each target that a seed reaches; a seed that is a target has depth 0."""
+def shortest_path(edges: DataFrame, seeds: DataFrame, targets: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """start, node, depth, path (of nodes, the smallest of equally short ones), for each target that a seed reaches; a seed that is a target has depth 0. Without max_depth all paths are followed to their end."""
     links = edges.select("src", "dst").distinct()
     frontier = seeds.select("start", F.col("start").alias("node"), F.array("start").alias("path")).distinct()
     seen = frontier.withColumn("depth", F.lit(0))
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         step = frontier.join(links, frontier.node == links.src).select("start", F.col("dst").alias("node"), F.concat("path", F.array("dst")).alias("path"))
         step = step.join(seen.select("start", "node"), ["start", "node"], "left_anti").groupBy("start", "node").agg(F.min("path").alias("path"))
         frontier = _cut(step)
@@ -48,18 +53,27 @@ def shortest_path(edges: DataFrame, seeds: DataFrame, targets: DataFrame, max_de
     return seen.join(targets.select("node"), "node", "left_semi").select("start", "node", "depth", "path")
 
 
-def levels(edges: DataFrame, max_depth: int = 1000) -> DataFrame:
-    """node, level: a topological order, as the length of the longest path that ends at a node. Raises on cycles."""
+def levels(edges: DataFrame) -> DataFrame:
+    """node, level: a topological order, as the length of the longest path that ends at a node. Raises on cycles, with or without a way into them."""
     links = edges.select("src", "dst").distinct()
-    nodes = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
+    nodes = save(links.select(F.col("src").alias("node")).union(links.select("dst")).distinct(), "nodes")
+    n, level = nodes.count(), 0
     frontier = nodes.join(links.select(F.col("dst").alias("node")), "node", "left_anti")
-    found = frontier.withColumn("level", F.lit(0))
-    for level in range(1, max_depth + 1):
-        frontier = _cut(frontier.join(links, frontier.node == links.src).select(F.col("dst").alias("node")).distinct())
+    found = [_cut(frontier.withColumn("level", F.lit(0)))]
+    while True:
+        level += 1
+        frontier = _cut(found[-1].join(links, found[-1].node == links.src).select(F.col("dst").alias("node")).distinct().withColumn("level", F.lit(level)))
         if frontier.isEmpty():
-            return found.groupBy("node").agg(F.max("level").alias("level"))
-        found = _cut(found.unionByName(frontier.withColumn("level", F.lit(level))))
-    raise ValueError(f"a cycle, or paths of more than {max_depth} steps")
+            break
+        if level >= n:
+            raise ValueError("a cycle")
+        found.append(frontier)
+        if len(found) > 16:  # so that the union stays short; a node's last level is its longest
+            found = [_cut(reduce(DataFrame.unionByName, found[:-1]).groupBy("node").agg(F.max("level").alias("level"))), found[-1]]
+    out = _cut(reduce(DataFrame.unionByName, found).groupBy("node").agg(F.max("level").alias("level")))
+    if out.count() < n:
+        raise ValueError("a cycle")
+    return out
 
 
 def walks(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
@@ -72,12 +86,14 @@ def walks(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     return found
 
 
-def list_items(cells: DataFrame, max_length: int = 10_000) -> DataFrame:
-    """cells: cell, first, rest (null at the end). Returns head, position, item: the linked lists as rows, by doubling jumps."""
+def list_items(cells: DataFrame) -> DataFrame:
+    """cells: cell, first, rest (null at the end). Returns head, position, item: the linked lists as rows, by doubling jumps. Raises on cycles."""
     links = cells.filter("rest IS NOT NULL").select(F.col("cell").alias("src"), F.col("rest").alias("dst"))
-    found = cells.join(links.select(F.col("dst").alias("cell")), "cell", "left_anti").select(F.col("cell").alias("head"), "cell", F.lit(0).alias("position"))
-    step = 1
-    while step < max_length and not links.isEmpty():
+    found = cells.join(links.select(F.col("dst").alias("cell")), "cell", "left_anti").select(F.col("cell").alias("head"), "cell", F.lit(0).cast("bigint").alias("position"))
+    step, n = 1, cells.count()
+    while not links.isEmpty():
+        if step > 2 * n:
+            raise ValueError("a cycle")
         further = found.join(links, found.cell == links.src).select("head", F.col("dst").alias("cell"), (F.col("position") + step).alias("position"))
         found = _cut(found.unionByName(further))
         a, b = links.alias("a"), links.alias("b")

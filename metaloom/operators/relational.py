@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import save
+
 #: Rows of a side up to which it may be sent to every task.
 BROADCAST_ROWS = 100_000
 
@@ -16,6 +18,26 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "n") -> DataFrame:
+    """df with the number of each row in the order, from 1: rows are dealt by ranges and numbered there, plus the rows of the ranges before. No task sees all rows."""
+    at = F.monotonically_increasing_id()
+    rows = save(df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", at.alias("_at")), "numbered")
+    part = F.shiftright("_at", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # a row for each range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_part", before.alias("_before"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(name, inside + F.col("_before") + 1).drop("_at", "_part", "_before")
+
+
+def within(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+    """Pairs (columns a and b, structs) of equal keys whose values differ by less than width: rows meet in bands of that width, not all with all."""
+    band = F.floor(F.col(value) / width)
+    x = a.select(F.struct("*").alias("a"), *(F.col(k).alias(f"_{k}") for k in keys), band.alias("_band"))
+    y = b.select(F.struct("*").alias("b"), *(F.col(k).alias(f"_{k}") for k in keys), F.explode(F.array(band - 1, band, band + 1)).alias("_band"))
+    return x.join(y, [*(f"_{k}" for k in keys), "_band"]).filter(F.abs(F.col(f"a.{value}") - F.col(f"b.{value}")) < width).select("a", "b")
+
+
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Of each key the last row in the order, as when a mapping is filled row by row. Nulls count as smallest."""
     latest = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order))

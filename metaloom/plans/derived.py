@@ -10,29 +10,29 @@ from ..sources.tables import table
 from .registry import query
 
 
-@query("SELECT user_id, CASE WHEN count(DISTINCT event_type) = 1 THEN min(event_type) END AS one, count(DISTINCT event_type) > 1 AS several FROM events WHERE event_id % 97 = 0 GROUP BY user_id")
+@query("SELECT user_id, ts::DATE AS day, CASE WHEN count(DISTINCT event_type) = 1 THEN min(event_type) END AS one, count(DISTINCT event_type) > 1 AS several FROM events GROUP BY 1, 2")
 def derive_scalar(spark: SparkSession, d: str) -> DataFrame:
-    """One kind as a value, several as a list."""
-    kinds = table(spark, d, "events").filter("event_id % 97 = 0").groupBy("user_id").agg(V.scalar_if_one(F.array_sort(F.collect_set("event_type"))).alias("s"))
-    return kinds.select("user_id", "s.one", F.col("s.many").isNotNull().alias("several"))
+    """A user's kinds of a day: one as a value, several as a list."""
+    kinds = table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(V.scalar_if_one(F.array_sort(F.collect_set("event_type"))).alias("s"))
+    return kinds.select("user_id", "day", "s.one", F.col("s.many").isNotNull().alias("several"))
 
 
 def _team(spark: SparkSession, d: str) -> DataFrame:
-    """The suppliers of a nation as people with roles."""
+    """Teams of ten suppliers as people with roles."""
     roles = F.array_compact(F.array(F.when(F.col("s_acctbal") > 5000, "Creator"), F.when(F.col("s_suppkey") % 3 == 0, "PrincipalInvestigator")))
     person = F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), roles.alias("roles"))
-    return table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(person)).alias("people"))
+    return table(spark, d, "supplier").groupBy(F.floor(F.col("s_suppkey") / 10).alias("team")).agg(F.array_sort(F.collect_list(person)).alias("people"))
 
 
-@query("""SELECT s_nationkey, string_agg(s_suppkey || CASE WHEN s_suppkey % 3 = 0 THEN 'PrincipalInvestigator' ELSE '' END, ',' ORDER BY s_suppkey) AS creators FROM supplier WHERE s_acctbal > 5000 GROUP BY 1""")
+@query("""SELECT s_suppkey // 10 AS team, string_agg(s_suppkey || CASE WHEN s_suppkey % 3 = 0 THEN 'PrincipalInvestigator' ELSE '' END, ',' ORDER BY s_suppkey) AS creators FROM supplier WHERE s_acctbal > 5000 GROUP BY 1""")
 def derive_creators(spark: SparkSession, d: str) -> DataFrame:
     made = F.transform(V.with_role(F.col("people"), "Creator"), lambda p: F.concat(p["id"].cast("string"), F.array_join(p["roles"], "+")))
-    return _team(spark, d).select("s_nationkey", F.array_join(made, ",").alias("creators")).filter("creators <> ''")
+    return _team(spark, d).select("team", F.array_join(made, ",").alias("creators")).filter("creators <> ''")
 
 
-@query("""SELECT s_nationkey, string_agg('/contributors/' || i, ',' ORDER BY i) AS pointers FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS i FROM supplier) WHERE s_suppkey % 3 = 0 GROUP BY 1""")
+@query("""SELECT s_suppkey // 10 AS team, string_agg('/contributors/' || i, ',' ORDER BY i) AS pointers FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey // 10 ORDER BY s_suppkey) - 1 AS i FROM supplier) WHERE s_suppkey % 3 = 0 GROUP BY 1""")
 def derive_pointers(spark: SparkSession, d: str) -> DataFrame:
-    return _team(spark, d).select("s_nationkey", F.array_join(V.role_pointers(F.col("people"), "PrincipalInvestigator"), ",").alias("pointers")).filter("pointers <> ''")
+    return _team(spark, d).select("team", F.array_join(V.role_pointers(F.col("people"), "PrincipalInvestigator"), ",").alias("pointers")).filter("pointers <> ''")
 
 
 @query("SELECT o_orderkey, '10.1234/o' || o_orderkey AS doi FROM orders WHERE o_orderkey % 3 <> 2")
@@ -74,6 +74,8 @@ def recon_covered(spark: SparkSession, d: str) -> DataFrame:
     return V.covered_directories(entries.select("dir", "name"), entries.filter("o_orderstatus <> 'P'"))
 
 
-@query("SELECT o_custkey, max(o_orderpriority) AS version, count(DISTINCT o_orderpriority) > 1 AS conflict FROM orders GROUP BY 1")
+@query("SELECT o_custkey, arg_max(v, (a, b)) AS version, count(DISTINCT v) > 1 AS conflict FROM (SELECT o_custkey, o_orderkey % 13 AS a, o_orderkey % 3 AS b, (o_orderkey % 13) || '.' || (o_orderkey % 3) AS v FROM orders) GROUP BY 1")
 def template_version(spark: SparkSession, d: str) -> DataFrame:
-    return V.latest_version(table(spark, d, "orders"), "o_custkey", "o_orderpriority")
+    """Versions from 0.0 to 12.2: 10.0 is later than 9.0."""
+    version = F.concat_ws(".", (F.col("o_orderkey") % 13).cast("string"), (F.col("o_orderkey") % 3).cast("string"))
+    return V.latest_version(table(spark, d, "orders").select("o_custkey", version.alias("version")), "o_custkey", "version")

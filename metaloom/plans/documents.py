@@ -44,11 +44,11 @@ def doc_move(spark: SparkSession, d: str) -> DataFrame:
     return _orders(spark, d).select("l_orderkey", F.array_join(text, ",").alias("moved"))
 
 
-@query("""SELECT c_nationkey, n1 AS n_pairs, CASE WHEN n1 IS NULL THEN 'lengths differ: ' || a || ' ' || b END AS error FROM (SELECT c_nationkey, count(*) AS a, count(*) FILTER (c_acctbal > -900) AS b, CASE WHEN count(*) = count(*) FILTER (c_acctbal > -900) THEN count(*) END AS n1 FROM customer GROUP BY 1)""")
+@query("""SELECT team, n1 AS n_pairs, CASE WHEN n1 IS NULL THEN 'lengths differ: ' || a || ' ' || b END AS error FROM (SELECT c_custkey // 10 AS team, count(*) AS a, count(*) FILTER (c_acctbal > -900) AS b, CASE WHEN count(*) = count(*) FILTER (c_acctbal > -900) THEN count(*) END AS n1 FROM customer GROUP BY 1)""")
 def zip_eq(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.sort_array(F.collect_list("c_custkey")).alias("a"), F.sort_array(F.collect_list(F.when(F.col("c_acctbal") > -900, F.col("c_name")))).alias("b"))
-    z = c.select("c_nationkey", D.zip_equal(F.col("a"), F.col("b")).alias("z"))
-    return z.select("c_nationkey", F.when(F.col("z.pairs").isNotNull(), F.size("z.pairs").cast("bigint")).alias("n_pairs"), "z.error")
+    c = table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 10).alias("team")).agg(F.sort_array(F.collect_list("c_custkey")).alias("a"), F.sort_array(F.collect_list(F.when(F.col("c_acctbal") > -900, F.col("c_name")))).alias("b"))
+    z = c.select("team", D.zip_equal(F.col("a"), F.col("b")).alias("z"))
+    return z.select("team", F.when(F.col("z.pairs").isNotNull(), F.size("z.pairs").cast("bigint")).alias("n_pairs"), "z.error")
 
 
 @query("""SELECT p_partkey, '{"brand":"' || p_brand || '","size":"' || p_size || '"}' AS document FROM part""")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import paths as P
 from ..operators import triples as G
+from ..operators.deltalog import tree_paths
 from ..sources.tables import table
 from .registry import query
 
@@ -95,10 +96,10 @@ def alt_seq(spark: SparkSession, d: str) -> DataFrame:
     return G.bgp(triples(spark, d), ("?x", "in_nation", "?a"), ("?a", "in_region", "?b"), ("?b", "name", "?y")).select("x", "y").distinct()
 
 
-@query(f"WITH RECURSIVE {_R}, {_SEEDS}, c(start, node, depth) AS (SELECT start, start, 0 FROM z UNION SELECT start, dst, depth + 1 FROM c JOIN e ON src = node WHERE depth < 40) SELECT start, node, min(depth) AS depth FROM c WHERE node LIKE '%/0' GROUP BY 1, 2")
+@query(f"WITH RECURSIVE {_R}, {_SEEDS}, c(start, node, depth) AS (SELECT start, start, 0 FROM z UNION SELECT start, dst, depth + 1 FROM c JOIN e ON src = node) SELECT start, node, min(depth) AS depth FROM c WHERE node LIKE '%/0' GROUP BY 1, 2")
 def shortest(spark: SparkSession, d: str) -> DataFrame:
     r = replies(spark, d)
-    return P.shortest_path(r, _last_turns(spark, d), r.select(F.col("dst").alias("node")).union(_last_turns(spark, d)).filter("node LIKE '%/0'").distinct(), 40).select("start", "node", "depth")
+    return P.shortest_path(r, _last_turns(spark, d), r.select(F.col("dst").alias("node")).union(_last_turns(spark, d)).filter("node LIKE '%/0'").distinct()).select("start", "node", "depth")
 
 
 @query(f"WITH RECURSIVE {_R}, c(node, level) AS (SELECT DISTINCT src, 0 FROM e WHERE src NOT IN (SELECT dst FROM e) UNION SELECT dst, level + 1 FROM c JOIN e ON src = node) SELECT node, max(level) AS level FROM c GROUP BY node")
@@ -106,14 +107,14 @@ def topological_levels(spark: SparkSession, d: str) -> DataFrame:
     return P.levels(replies(spark, d))
 
 
-@query("SELECT DISTINCT 'part/' || l_partkey AS part FROM lineitem WHERE l_partkey % 50 = l_suppkey % 50 AND l_linenumber = 1 AND l_partkey <= 50")
+@query("SELECT o_orderkey AS id FROM orders WHERE o_custkey % 7 = 0")
 def recon_cycle(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes on a cycle: parts point at suppliers, and suppliers at the parts of the same number modulo 50."""
-    x = table(spark, d, "lineitem").filter("l_linenumber = 1 AND l_partkey <= 50").select(F.concat(F.lit("part/"), "l_partkey").alias("part"), (F.col("l_suppkey") % 50).alias("k"), (F.col("l_partkey") % 50).alias("m"))
-    to = x.select(F.col("part").alias("src"), F.concat(F.lit("key/"), "k").alias("dst")).distinct()
-    back = x.select(F.concat(F.lit("key/"), "m").alias("src"), F.col("part").alias("dst")).distinct()
-    out = P.closure(to.union(back), x.select(F.col("part").alias("start")).distinct(), max_depth=2)
-    return out.filter("start = node").select(F.col("start").alias("part"))
+    """Orders on a cycle: each was derived from its customer's next one, and in every seventh customer the last from the first."""
+    by_customer = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    following, first = F.lead("o_orderkey").over(by_customer), F.first("o_orderkey").over(by_customer)
+    parent = F.coalesce(following, F.when(F.col("o_custkey") % 7 == 0, first))
+    nodes = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), parent.alias("parent_id"), F.lit("").alias("name"))
+    return tree_paths(nodes).filter("error = 'cycle'").select("id")
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -132,7 +133,7 @@ def quantified_path(spark: SparkSession, d: str) -> DataFrame:
     return w.select("start", "node", F.array_join("labels", ">").alias("labels"))
 
 
-@query("SELECT conv_id || '/0' AS head, (turn)::INTEGER AS position, role AS item FROM conversations")
+@query("SELECT conv_id || '/0' AS head, (turn)::BIGINT AS position, role AS item FROM conversations")
 def list_items(spark: SparkSession, d: str) -> DataFrame:
     """Conversations as linked lists of turns, unrolled."""
     c = table(spark, d, "conversations")

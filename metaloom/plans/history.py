@@ -49,17 +49,21 @@ def delta_append(spark: SparkSession, d: str) -> DataFrame:
     return H.append(monthly(spark, d), "id", ["kind"], "step")
 
 
-@query(f"WITH {_SNAP} SELECT id, kind FROM s WHERE step = 7")
+@query(f"WITH {_SNAP} SELECT id, kind FROM s WHERE step = (SELECT max(step) // 2 FROM s)")
 def delta_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Snapshot 7, replayed from the log with keyframes every 5 steps."""
-    return H.replay(H.append(monthly(spark, d), "id", ["kind"], "step", 5), "id", F.lit(7)).select("id", "kind")
+    """The snapshot at half of the steps, replayed from the log with keyframes every 5 steps."""
+    s = monthly(spark, d)
+    half = s.agg(F.max("step")).first()[0] // 2
+    return H.replay(H.append(s, "id", ["kind"], "step", 5), "id", F.lit(half)).select("id", "kind")
 
 
-@query(f"""WITH {_SNAP} SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'added' WHEN b.id IS NULL THEN 'removed' ELSE 'changed' END AS change, b.kind
-FROM (SELECT * FROM s WHERE step = 1) a FULL JOIN (SELECT * FROM s WHERE step = 2) b ON a.id = b.id WHERE a.kind IS DISTINCT FROM b.kind""")
+@query(f"""WITH {_SNAP} SELECT coalesce(a.step + 1, b.step) AS step, coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'added' WHEN b.id IS NULL THEN 'removed' ELSE 'changed' END AS change, b.kind
+FROM (SELECT * FROM s WHERE step < (SELECT max(step) FROM s)) a FULL JOIN (SELECT * FROM s WHERE step > 0) b ON a.id = b.id AND a.step + 1 = b.step WHERE a.kind IS DISTINCT FROM b.kind""")
 def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
+    """What has changed between every two neighbouring snapshots."""
     s = monthly(spark, d)
-    return H.diff(s.filter("step = 1"), s.filter("step = 2"), "id", ["kind"])
+    last = s.agg(F.max("step")).first()[0]
+    return H.diff(s.filter(F.col("step") < last).withColumn("step", F.col("step") + 1), s.filter("step > 0"), ["step", "id"], ["kind"])
 
 
 @query("""SELECT 'c' || c_custkey AS id, r_name || '/' || n_name || '/' || c_name AS path, 2 AS depth FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey

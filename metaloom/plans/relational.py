@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.relational import as_of, contained, last_wins, nearest, upsert
+from ..operators.relational import as_of, contained, last_wins, nearest, upsert, within
 from ..sources.tables import table
 from .registry import query
 
@@ -66,10 +66,9 @@ def join_anti(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT a.s_suppkey AS first_key, b.s_suppkey AS second_key FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey AND abs(a.s_acctbal - b.s_acctbal) < 500")
 def join_theta(spark: SparkSession, d: str) -> DataFrame:
-    a, b = table(spark, d, "supplier").alias("a"), table(spark, d, "supplier").alias("b")
-    near = F.abs(F.col("a.s_acctbal") - F.col("b.s_acctbal")) < 500
-    out = a.join(b, (F.col("a.s_nationkey") == F.col("b.s_nationkey")) & (F.col("a.s_suppkey") < F.col("b.s_suppkey")) & near)
-    return out.select(F.col("a.s_suppkey").alias("first_key"), F.col("b.s_suppkey").alias("second_key"))
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    near = within(s, s, ["s_nationkey"], "s_acctbal", 500.0).filter("a.s_suppkey < b.s_suppkey")
+    return near.select(F.col("a.s_suppkey").alias("first_key"), F.col("b.s_suppkey").alias("second_key"))
 
 
 @query("SELECT r_name, v.status, (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = r_regionkey AND o_orderstatus = v.status) AS n_orders FROM region, (VALUES ('O'), ('F'), ('X')) v(status)")

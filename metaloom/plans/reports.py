@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import reconcile as R
+from ..operators.relational import numbered
 from ..sources.tables import table
 from .registry import query
 
@@ -30,12 +31,13 @@ def membership_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT * FROM (SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' WHEN a.v <> b.v THEN 'changed' END AS change
-FROM (SELECT user_id AS k, arg_max(event_type, event_id) AS v FROM events WHERE event_id < 600 GROUP BY 1) a
-FULL JOIN (SELECT user_id AS k, arg_max(event_type, event_id) AS v FROM events WHERE event_id >= 600 AND user_id % 5 <> 0 GROUP BY 1) b ON a.k = b.k) WHERE change IS NOT NULL""")
+FROM (SELECT user_id AS k, arg_max(event_type, event_id) AS v FROM events WHERE event_id < (SELECT max(event_id) // 2 FROM events) GROUP BY 1) a
+FULL JOIN (SELECT user_id AS k, arg_max(event_type, event_id) AS v FROM events WHERE event_id >= (SELECT max(event_id) // 2 FROM events) AND user_id % 5 <> 0 GROUP BY 1) b ON a.k = b.k) WHERE change IS NOT NULL""")
 def graph_changes(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     state = lambda x: x.groupBy(F.col("user_id").alias("k")).agg(F.max_by("event_type", "event_id").alias("v"))
-    return R.graph_changes(state(e.filter("event_id < 600")), state(e.filter("event_id >= 600 AND user_id % 5 <> 0")), "k", "v")
+    half = e.agg(F.max("event_id")).first()[0] // 2
+    return R.graph_changes(state(e.filter(F.col("event_id") < half)), state(e.filter((F.col("event_id") >= half) & (F.col("user_id") % 5 != 0))), "k", "v")
 
 
 @query("SELECT json_key, count(DISTINCT user_id) AS n_users FROM (SELECT user_id, unnest(json_keys(props)) AS json_key FROM events) GROUP BY 1")
@@ -52,8 +54,9 @@ def values_report(spark: SparkSession, d: str) -> DataFrame:
     """Distinct values of several columns, side by side."""
     columns = ["p_brand", "p_type", "p_size"]
     long = table(spark, d, "part").select(F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns))).alias("x")).select("x.*").distinct()
-    numbered = long.withColumn("n", F.row_number().over(Window.partitionBy("c").orderBy("v")).cast("bigint"))
-    return numbered.groupBy("n").pivot("c", columns).agg(F.max("v"))
+    rows = numbered(long, ["c", "v"])
+    first = rows.groupBy("c").agg(F.min("n").alias("first"))  # a row for each column
+    return rows.join(F.broadcast(first), "c").withColumn("n", F.col("n") - F.col("first") + 1).groupBy("n").pivot("c", columns).agg(F.max("v"))
 
 
 @query(r"""SELECT CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '<number>' WHEN s = '' THEN '<none>' ELSE s END AS suffix, count(*) AS n

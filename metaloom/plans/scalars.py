@@ -37,23 +37,12 @@ def na_drop(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", N.drop_na(given).alias("brand"))
 
 
-@query("SELECT o_orderkey, regexp_replace(regexp_replace(regexp_replace('1OT-' || o_orderpriority, '^[135]', ''), '-[0-9]-', '-'), '\\s+', '', 'g') AS award FROM orders".replace("\\\\", "\\"))
-def award_clean(spark: SparkSession, d: str) -> DataFrame:
-    steps = [("^[135]", ""), ("-[0-9]-", "-"), (r"\s+", "")]
-    return table(spark, d, "orders").select("o_orderkey", N.replace_in_order(F.concat(F.lit("1OT-"), "o_orderpriority"), steps).alias("award"))
-
-
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END AS value, CASE WHEN event_id % 3 = 0 THEN event_type END AS original FROM events")
 def try_int(spark: SparkSession, d: str) -> DataFrame:
     given = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise(F.concat(F.lit(" "), F.col("event_id").cast("string")))
     return table(spark, d, "events").select("event_id", N.try_int(given).alias("n")).select("event_id", "n.value", "n.original")
 
 
-@query(r"SELECT p_partkey, regexp_full_match(p_brand, 'Brand#[1-5][1-5]') AS brand_ok, regexp_matches(p_name, '^\S+(?: \S+)*$') AS single_spaced, NOT regexp_matches(p_type, '^[=+-]') AS no_formula FROM part")
-def regex_family(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select("p_partkey", F.col("p_brand").rlike("^Brand#[1-5][1-5]$").alias("brand_ok"), F.col("p_name").rlike(r"^\S+(?: \S+)*$").alias("single_spaced"), (~F.col("p_type").rlike("^[=+-]")).alias("no_formula"))
-
-
 @query("SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host FROM pages")
 def url_host(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", N.url_host(F.col("url")).alias("host"))
@@ -104,7 +93,6 @@ def orcid_check(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", N.orcid_valid(F.concat(F.lit("https://orcid.org/"), body, F.when(check == 10, "X").otherwise(check.cast("string")))).alias("valid"))
 
 
-@query("SELECT r_regionkey, n_name, strlen(n_name) <= 6 AS whole, n_name[1:6] AS short_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("""SELECT doc_id, strlen(text) <= 60 AS whole, (SELECT list_last(list_sort(list_filter(list_transform(range(61), lambda k: text[1:k]), lambda x: strlen(x) <= 60)))) AS short_text FROM documents""")
 def truncate_utf8(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
-    return n.select(F.col("n_regionkey").alias("r_regionkey"), "n_name", (F.octet_length("n_name") <= 6).alias("whole"), N.truncate_bytes(F.col("n_name"), 6).alias("short_name"))
+    return table(spark, d, "documents").select("doc_id", (F.octet_length("text") <= 60).alias("whole"), N.truncate_bytes(F.col("text"), 60).alias("short_text"))

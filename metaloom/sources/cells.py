@@ -25,7 +25,13 @@ def parse(content: bytes, delimiter: str) -> tuple[list[list[str | None]], list[
     """Rows of cells without wholly empty rows, '' as null; and errors."""
     text, bad = decode(content)
     errors = [bad] if bad else []
-    rows = [[c if c != "" else None for c in r] for r in csv.reader(io.StringIO(text, newline=""), delimiter=delimiter)]
+    csv.field_size_limit(1 << 31)  # cells may be of any size
+    rows = []
+    try:
+        for r in csv.reader(io.StringIO(text, newline=""), delimiter=delimiter):
+            rows.append([c if c != "" else None for c in r])
+    except csv.Error as e:
+        errors.append(f"row {len(rows) + 1}: {e}")
     kept = [r for r in rows if any(c is not None for c in r)]
     if len(kept) < len(rows):
         errors.append(f"{len(rows) - len(kept)} empty rows")

@@ -2,42 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+from xml.etree import ElementTree as X
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Dialects: name, XPath test; the first that holds names a document.
-DIALECTS = [("mbf", "boolean(/mbf)"), ("neurolucida", "boolean(/data)"), ("leica", "boolean(/LMSDataContainerHeader)"), ("volume", "boolean(/volumerendering)"), ("zen", "boolean(/ImageDocument)"), ("cgw", "boolean(/CGW)")]
+#: The dialects, by root element and, where given, an attribute that it must have with that beginning.
+DIALECTS = [
+    ("mbf", "mbf", None, None), ("neurolucida", "data", None, None), ("leica", "LMSDataContainerHeader", None, None), ("volume", "volumerendering", None, None),
+    ("zen", "ImageDocument", None, None), ("cgw", "CGW", None, None), ("ome", "OME", None, None), ("imagej", "IJ", None, None), ("svg", "svg", None, None),
+]
+META = "subject struct<id: string, species: string, sex: string, age: string>, atlas struct<organ: string, label: string, rootid: string>, images array<string>, contours array<string>"
 
 
-def dialect(xml: Column) -> Column:
-    """The dialect of well-formed XML, or generic."""
-    out = F.lit("generic")
-    for name, test in reversed(DIALECTS):
-        out = F.when(F.xpath_boolean(xml, F.lit(test)), name).otherwise(out)
-    return out
+def _local(tag: str) -> str:
+    return tag.rpartition("}")[2]
 
 
-def well_formed(text: Column) -> Column:
-    """Looks like XML: a tag first and a closing tag last. What doesn't must not reach xpath."""
-    return text.rlike(r"(?s)^\s*<(\?xml|!--|[A-Za-z_]).*>\s*$")
+def dialect(root: X.Element) -> str:
+    """The dialect of a document, or generic."""
+    for name, tag, attribute, begin in DIALECTS:
+        if _local(root.tag) == tag and (attribute is None or root.get(attribute, "").startswith(begin)):
+            return name
+    return "generic"
 
 
-def mbf(xml: Column) -> Column:
-    """struct(subject, atlas, images, contours) of a tracing document; contours are distinct, without their ids."""
-    text = lambda path: F.when(F.xpath_string(xml, F.lit(path)) != "", F.xpath_string(xml, F.lit(path)))
-    subject = F.struct(text("/mbf/*/subject/@subjectid").alias("id"), text("/mbf/*/subject/@species").alias("species"), text("/mbf/*/subject/@sex").alias("sex"), text("/mbf/*/subject/@age").alias("age"))
-    atlas = F.struct(text("/mbf/*/atlas/@organ").alias("organ"), text("/mbf/*/atlas/@label").alias("label"), text("/mbf/*/atlas/@rootid").alias("rootid"))
-    files = F.xpath(xml, F.lit("/mbf/images/image/filename/text()"))
-    contours = F.array_sort(F.array_distinct(F.xpath(xml, F.lit("/mbf/contour/@name"))))
-    return F.struct(subject.alias("subject"), atlas.alias("atlas"), files.alias("images"), contours.alias("contours"))
+def mbf(root: X.Element) -> dict:
+    """What a tracing document tells; contours are distinct, without their ids."""
+    find = lambda tag: next((e for e in root.iter() if _local(e.tag) == tag), None)
+    of = lambda e, names: {k: (e.get(a) or None) if e is not None else None for k, a in names.items()}
+    return {
+        "subject": of(find("subject"), {"id": "subjectid", "species": "species", "sex": "sex", "age": "age"}),
+        "atlas": of(find("atlas"), {"organ": "organ", "label": "label", "rootid": "rootid"}),
+        "images": [e.text for e in root.iter() if _local(e.tag) == "filename" and e.text],
+        "contours": sorted({e.get("name") for e in root if _local(e.tag) == "contour" and e.get("name")}),
+    }
 
 
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
-    """file, dialect, meta (of the mbf dialect), error."""
+    """file, dialect, meta (of the mbf dialect), error. Each file is parsed by itself, and one that is no XML is a row with an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for content in batch.column("content"):
+                try:
+                    root = X.fromstring(content.as_py())
+                    name = dialect(root)
+                    rows.append((name, mbf(root) if name == "mbf" else None, None))
+                except (X.ParseError, ValueError, LookupError) as e:
+                    rows.append((None, None, f"not XML: {e}"))
+            names, metas, errors = zip(*rows) if rows else ((), (), ())
+            text, texts = pa.string(), pa.list_(pa.string())
+            kind = pa.struct([("subject", pa.struct([(k, text) for k in ("id", "species", "sex", "age")])), ("atlas", pa.struct([(k, text) for k in ("organ", "label", "rootid")])), ("images", texts), ("contours", texts)])
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(names, text), pa.array(metas, kind), pa.array(errors, text)], ["file", "dialect", "meta", "error"])
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path)
-    rows = files.select(F.col("path").alias("file"), F.make_valid_utf8(F.col("content").cast("string")).alias("t")).withColumn("ok", well_formed(F.col("t")))
-    named = rows.withColumn("dialect", F.when(F.col("ok"), dialect(F.col("t"))))
-    return named.select("file", "dialect", F.when(F.col("dialect") == "mbf", mbf(F.col("t"))).alias("meta"), F.when(~F.col("ok"), "not XML").alias("error"))
+    schema = "file string, dialect string, meta struct<" + META.replace(" struct", ": struct").replace("images array", "images: array").replace("contours array", "contours: array") + ">, error string"
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 _TERM = r'(?:<([^>]*)>|(_:\S+)|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)'

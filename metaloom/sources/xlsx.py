@@ -36,6 +36,19 @@ def _date_styles(book: zipfile.ZipFile) -> set[int]:
     return {i for i, f in enumerate(cells if cells is not None else []) if int(f.get("numFmtId", 0)) in _DATE_FORMATS | own}
 
 
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    """The part of the first sheet in the workbook's order; by the number in its name where the workbook doesn't tell."""
+    names = book.namelist()
+    if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= set(names):
+        targets = {r.get("Id"): r.get("Target") for r in X.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+        for s in X.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet"):
+            target = (targets.get(s.get(f"{_REL}id")) or "").removeprefix("/xl/")
+            if (name := f"xl/{target}") in names and target.startswith("worksheets/"):
+                return name
+    found = [(int(m[1]), n) for n in names if (m := re.fullmatch(r"xl/worksheets/sheet(\d+)\.xml", n))]
+    return min(found)[1]
+
+
 def parse(content: bytes) -> list[tuple[int, int, str]]:
     """Row, column and text of each cell of the first sheet that has a value; trailing empty rows and columns don't exist then."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
@@ -44,7 +57,7 @@ def parse(content: bytes) -> list[tuple[int, int, str]]:
         if "xl/sharedStrings.xml" in names:
             shared = ["".join(t.text or "" for t in s.iter(f"{_MAIN}t")) for s in X.fromstring(book.read("xl/sharedStrings.xml"))]
         dates = _date_styles(book)
-        sheet = sorted(n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n))[0]
+        sheet = _first_sheet(book)
         root = X.fromstring(book.read(sheet))
         rels = sheet.replace("worksheets/", "worksheets/_rels/") + ".rels"
         targets = {r.get("Id"): r.get("Target") for r in X.fromstring(book.read(rels))} if rels in names else {}
@@ -75,7 +88,7 @@ def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
             for file, content in zip(files.path, files.content):
                 try:
                     out = [(file, r, c, v, None) for r, c, v in parse(bytes(content))]
-                except (zipfile.BadZipFile, X.ParseError, IndexError, KeyError) as e:
+                except (zipfile.BadZipFile, X.ParseError, IndexError, KeyError, ValueError, OverflowError, NotImplementedError) as e:
                     out = [(file, None, None, None, f"not a workbook: {e}")]
                 yield pd.DataFrame(out, columns=["file", "row", "col", "value", "error"]).astype({"row": "Int64", "col": "Int32"})
 

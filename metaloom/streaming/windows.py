@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,12 @@ def session(df: DataFrame, time: str, gap: str, keys: Sequence[str], *aggregates
     return _bounds(df, F.session_window(time, gap), keys, aggregates)
 
 
+def first_rows(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Of each key the row with the smallest time."""
+    order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(time))
+    return df.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
     """The first row of each key; a stream forgets keys after the delay."""
-    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys)) if df.isStreaming else df.dropDuplicates(list(keys))
+    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys)) if df.isStreaming else first_rows(df, keys, time)

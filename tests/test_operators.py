@@ -82,7 +82,38 @@ def test_closure_with_cycle(spark):
     way = P.shortest_path(edges, seeds, spark.createDataFrame([(4,)], "node int"), 9).first()
     assert way.path == [1, 2, 3, 4] and way.depth == 3
     with pytest.raises(ValueError):
-        P.levels(edges.union(spark.createDataFrame([(0, 1)], "src int, dst int")), 10)
+        P.levels(edges.union(spark.createDataFrame([(0, 1)], "src int, dst int")))
+    with pytest.raises(ValueError):
+        P.levels(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (10, 11)], "src int, dst int"))
+
+
+def test_deep_trees_and_cycles(spark):
+    rows = [(n, n - 1, f"n{n}") for n in range(1, 201)] + [(1001, 1002, "a"), (1002, 1001, "b"), (1003, 1001, "below")]
+    got = {r.id: r for r in H.tree_paths(spark.createDataFrame(rows, "id int, parent_id int, name string")).collect()}
+    assert got[200].path == "/".join(f"n{n}" for n in range(1, 201)) and got[200].depth == 199 and got[1].path == "n1" and len(got) == len(rows)
+    assert [got[k].error for k in (1001, 1002, 1003, 7)] == ["cycle"] * 3 + [None] and got[1003].path is None
+
+
+def test_long_lists(spark):
+    cells = spark.range(20_000).selectExpr("id AS cell", "id * 2 AS first", "CASE WHEN id % 20000 < 19999 THEN id + 1 END AS rest")
+    got = P.list_items(cells)
+    assert got.count() == 20_000 and got.filter("head = 0 AND item = 2 * position").count() == 20_000
+    with pytest.raises(ValueError):
+        P.list_items(spark.createDataFrame([(1, 1, 2), (2, 2, 1)], "cell int, first int, rest int"))
+
+
+def test_numbered_and_within(spark):
+    df = spark.range(500).selectExpr("id", "id % 7 AS k")
+    assert [(r.n, r.k, r.id) for r in R.numbered(df, ["k", "id"]).orderBy("n").collect()] == [(n + 1, k, i) for n, (k, i) in enumerate(sorted((i % 7, i) for i in range(500)))]
+    x = spark.createDataFrame([(1, -0.5), (1, 0.4), (1, 1.6), (2, 0.4)], "k int, v double")
+    assert sorted((r.a.v, r.b.v) for r in R.within(x, x, ["k"], "v", 1.0).collect() if r.a.v < r.b.v) == [(-0.5, 0.4)]
+
+
+def test_text_cuts_and_curies(spark):
+    assert one(spark, N.truncate_bytes(F.col("v"), 7), "a\ufffd\ufffdb") == "a\ufffd\ufffd" and one(spark, N.truncate_bytes(F.col("v"), 6), "a\ufffd\ufffdb") == "a\ufffd"
+    assert one(spark, N.truncate_bytes(F.col("v"), 4), "a\U0001f600") == "a" and one(spark, N.truncate_bytes(F.col("v"), 0), "x") == ""
+    assert one(spark, N.curie_expand(F.col("v"), {"part": "http://x/"}), "part:a:b") == "http://x/a:b"
+    assert one(spark, N.number_set_similarity(F.col("v"), F.lit("1 5")), "1") == 0.0 and one(spark, N.number_set_similarity(F.col("v"), F.lit("x 005")), "a5b07") == pytest.approx(1 - 1.6094379124341003 / (1.6094379124341003 + 1.9459101490553132))
 
 
 def test_minus_without_shared_variable(spark):

@@ -21,6 +21,14 @@ def test_delimited(spark, tmp_path):
     assert "new" in {r.value for r in cells.edit_cells(sheet, edits).collect()}
 
 
+def test_long_and_broken_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1," + "z" * 200_000 + "\n")
+    (tmp_path / "b.csv").write_text('x,y\n1,2\n\r"3,\x00\n')
+    got = cells.read_delimited(spark, str(tmp_path)).collect()
+    assert {len(r.value) for r in got if r.file.endswith("a.csv") and r.row == 1 and r.col == 1} == {200_000}
+    assert {r.value for r in got if r.file.endswith("b.csv") and r.row == 1} >= {"1", "2"}
+
+
 def test_xlsx(spark, tmp_path):
     main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     out = io.BytesIO()
@@ -40,9 +48,10 @@ def test_xml(spark, tmp_path):
     (tmp_path / "a.xml").write_text('<mbf appname="x"><data><subject subjectid="s1" species="rat"/><atlas organ="heart"/></data><images><image><filename>i.tif</filename></image></images><contour name="b"/><contour name="a"/><contour name="b"/></mbf>')
     (tmp_path / "b.xml").write_text("no markup")
     (tmp_path / "c.xml").write_text("<other/>")
+    (tmp_path / "d.xml").write_text("<a><b></a>")
     got = {r.file[-5:]: r for r in markup.read_xml(spark, str(tmp_path)).collect()}
     assert got["a.xml"].meta.subject.id == "s1" and got["a.xml"].meta.subject.sex is None and got["a.xml"].meta.contours == ["a", "b"] and got["a.xml"].meta.images == ["i.tif"]
-    assert got["b.xml"].error == "not XML" and got["c.xml"].dialect == "generic"
+    assert got["b.xml"].error.startswith("not XML") and got["c.xml"].dialect == "generic" and got["d.xml"].error.startswith("not XML") and got["d.xml"].dialect is None
 
 
 def test_ntriples_round_trip(spark, tmp_path):
