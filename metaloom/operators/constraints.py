@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -79,3 +79,55 @@ def score(errors: DataFrame, key: str) -> DataFrame:
     side = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p in BLAME.items() for x in p)), F.col("blame")), F.lit("none"))
     of = errors.withColumn("side", side).groupBy(key)
     return of.agg(F.count_if(F.col("side").isin("si", "both")).alias("si"), F.count_if(F.col("side").isin("ci", "both")).alias("ci"), F.count_if(F.col("side") == "none").alias("unclassified"), F.count("*").alias("ei"))
+
+
+def distinct_errors(errors: DataFrame) -> DataFrame:
+    """Each error once: error, stage, blame, path and json_path (those of them that there are) make it one."""
+    return errors.dropDuplicates([c for c in ("error", "rule", "stage", "blame", "path", "json_path") if c in errors.columns])
+
+
+def drop_shadowed(errors: DataFrame, shadows: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+    """errors without those of a stage whose errors at the same keys another stage has too. shadows: stage to the stage that counts instead."""
+    table = F.create_map(*(F.lit(x) for p in shadows.items() for x in p))
+    by = errors.select(*keys, F.col("stage").alias("_by")).distinct()
+    marked = errors.withColumn("_by", F.try_element_at(table, F.col("stage")))
+    return marked.filter("_by IS NULL").unionByName(marked.filter("_by IS NOT NULL").join(by, [*keys, "_by"], "left_anti")).drop("_by")
+
+
+def prefixed(path: Column, *prefix: str) -> Column:
+    """An error's path (array of text) below the place where its part of the document stands."""
+    return F.concat(F.array(*map(F.lit, prefix)), path)
+
+
+#: The indexes of what was skipped.
+SKIPPED = {"si": 5555, "ci": 4444, "ei": 9999}
+
+
+def mark_skipped(scores: DataFrame, skipped: Column) -> DataFrame:
+    """scores with the indexes of skipped rows set so high that they sort last."""
+    return scores.select(*(F.when(skipped, F.lit(SKIPPED[c]).cast(kind)).otherwise(F.col(c)).alias(c) if c in SKIPPED else F.col(c) for c, kind in scores.dtypes))
+
+
+def expand_stages(stages: Sequence[str], parents: Mapping[str, str]) -> list[str]:
+    """The stages and all that descend from them. parents: stage to the stage it is made from."""
+    found = list(stages)
+    while more := [s for s, p in parents.items() if p in found and s not in found]:
+        found += more
+    return found
+
+
+def file_checks(paths: DataFrame) -> DataFrame:
+    """paths: path. Returns stem, suffixes, missing: of files under source and primary, what stands beside an archive or an image and what should.
+
+    An archive needs an image and an image an archive; where both are there, .tif, .tiff, .gci and .ktf are wanted.
+    """
+    name = F.substring_index("path", "/", -1)
+    stem = F.regexp_replace(F.regexp_extract(name, r"^[^.]+", 0), "(_sgc_.*|(_th)?_th_s)$", "")
+    suffix = F.regexp_replace(F.substring(name, F.char_length(F.regexp_extract(name, r"^[^.]+", 0)) + 1, F.char_length(name)), r"^\.tar\.gz$", ".tar")
+    some = paths.filter(F.substring_index("path", "/", 1).isin("source", "primary") & ~F.col("path").contains("/old_ihc/"))
+    of = some.groupBy(stem.alias("stem")).agg(F.array_sort(F.collect_set(suffix)).alias("suffixes"))
+    has = lambda s: F.array_contains("suffixes", s)
+    image, archive = has(".tif") | has(".tiff"), has(".tar")
+    whole = image & archive
+    wanted = [F.when(archive & ~image, "image"), F.when(image & ~archive, "archive"), F.when(image & ~has(".tif"), ".tif"), F.when(image & ~has(".tiff"), ".tiff"), F.when(whole & ~has(".gci"), ".gci"), F.when(whole & ~has(".ktf"), ".ktf")]
+    return of.withColumn("missing", F.array_compact(F.array(*wanted)))

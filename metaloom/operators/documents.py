@@ -6,9 +6,11 @@ A path is a list of keys; the type int in it means every element. Values that ca
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 Path = Sequence
 
@@ -119,3 +121,85 @@ def drop_failures(leaves: DataFrame, errors: DataFrame, key: str) -> tuple[DataF
 def collect_by_key(leaves: DataFrame, name: str) -> DataFrame:
     """The leaves whose last key is name, at any depth."""
     return leaves.filter(F.substring_index("path", "/", -1) == name)
+
+
+def _has(schema: StructType, path: Path) -> bool:
+    """Whether a struct's type has the path; arrays are entered by int."""
+    kind = schema
+    for key in path:
+        if key is int:
+            if not isinstance(kind, ArrayType):
+                return False
+            kind = kind.elementType
+        elif not isinstance(kind, StructType) or key not in kind.fieldNames():
+            return False
+        else:
+            kind = kind[key].dataType
+    return True
+
+
+def add(value: Column, schema: StructType, path: Path, new: Column) -> Column:
+    """struct(document, error): value (of type schema) with new at path; parents are made. A target that is there already, and not null, is left as it is and is an error."""
+    shared = max(k for k in range(len(path)) if _has(schema, path[:k]))
+    made = new
+    for key in reversed(path[shared + 1 :]):
+        made = F.struct(made.alias(key))
+    exists = get_all(value, path).isNotNull() if _has(schema, path) else F.lit(False)
+    target = path[: shared + 1]
+    grown = update(value, target[:-1], lambda x: x.withField(target[-1], made))
+    kept = update(value, target[:-1], lambda x: x.withField(target[-1], F.when(exists, get_all(value, target)).otherwise(made))) if _has(schema, path) else grown
+    return F.struct(kept.alias("document"), F.when(exists, F.lit(f"target exists: {'/'.join(path)}")).alias("error"))
+
+
+def copy(value: Column, schema: StructType, source: Path, target: Path) -> Column:
+    """struct(document, error): the value at source also at target. A source that isn't there leaves the document as it is, without an error."""
+    if not _has(schema, source):
+        return F.struct(value.alias("document"), F.lit(None).cast("string").alias("error"))
+    return add(value, schema, target, get_all(value, source))
+
+
+def merge(*maps: Column) -> Column:
+    """One map of several; of equal keys the last wins."""
+    def over(a: Column, b: Column) -> Column:
+        return F.map_concat(F.map_filter(a, lambda k, v: ~F.map_contains_key(b, k)), b)
+
+    return reduce(over, maps)
+
+
+def plain_types(df: DataFrame) -> DataFrame:
+    """df with columns that JSON can hold: times and dates as ISO text, binary as base 64, decimals as doubles."""
+    made = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind.startswith("timestamp"):
+            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        elif kind == "date":
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif kind == "binary":
+            c = F.base64(c)
+        elif kind.startswith("decimal"):
+            c = c.cast("double")
+        made.append(c.alias(name))
+    return df.select(*made)
+
+
+#: Keys of a schema's path that have no place in the data's path; with the last three goes the index that follows.
+_SCHEMA_KEYS, _CHOICES = ("properties",), ("allOf", "anyOf", "oneOf")
+
+
+def data_path(schema_path: Column) -> Column:
+    """The place in the data that a schema's path (array of text) speaks of: items stand for -1, choices and their indexes are left out."""
+    kept = F.filter(schema_path, lambda x, i: ~x.isin(*_SCHEMA_KEYS, *_CHOICES) & ~F.coalesce(F.get(schema_path, i - 1).isin(*_CHOICES), F.lit(False)))
+    return F.transform(kept, lambda x: F.when(x == "items", "-1").otherwise(x))
+
+
+def collect_by_kind(leaves: DataFrame, kind: str) -> DataFrame:
+    """The leaves of a kind (as schema_of_variant names it), at any depth."""
+    return leaves.filter(F.col("kind") == kind)
+
+
+def expand_identifiers(leaves: DataFrame, identifiers: DataFrame, skip: Sequence[str] = ("errors", "inputs", "id")) -> DataFrame:
+    """leaves (path, value) with label of identifiers (value, label), but not at or below keys of skip."""
+    skipped = F.arrays_overlap(F.split("path", "/"), F.array(*map(F.lit, skip)))
+    out = leaves.join(identifiers.select("value", "label"), "value", "left")
+    return out.withColumn("label", F.when(~skipped, F.col("label")))

@@ -65,3 +65,49 @@ def filter_failures(spark: SparkSession, d: str) -> DataFrame:
     errors = e.filter("event_type = 'error'").select("event_id", F.lit("#/a").alias("path"))
     good, _ = D.drop_failures(D.shred(e, "event_id", "t"), errors, "event_id")
     return D.collect_by_key(good, "k").select("event_id", "path", "value")
+
+
+def _parts(spark: SparkSession, d: str) -> DataFrame:
+    """A document per part; every third has a maker already."""
+    maker = F.when(F.col("p_partkey") % 3 == 0, "given")
+    return table(spark, d, "part").select("p_partkey", F.struct(F.struct(F.col("p_brand").alias("brand"), maker.alias("maker")).alias("meta"), F.col("p_size").alias("size")).alias("doc"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'given' ELSE p_brand END AS maker, CASE WHEN p_partkey % 3 = 0 THEN 'target exists: meta/maker' END AS error, p_size AS copied FROM part")
+def doc_add(spark: SparkSession, d: str) -> DataFrame:
+    """A value added where there may be one already, and a copy under parents that are made."""
+    rows = _parts(spark, d)
+    kind = rows.schema["doc"].dataType
+    added = rows.select("p_partkey", D.add(F.col("doc"), kind, ["meta", "maker"], F.col("doc.meta.brand")).alias("x"), D.copy(F.col("doc"), kind, ["size"], ["facts", "own", "size"]).alias("y"))
+    return added.select("p_partkey", F.col("x.document.meta.maker").alias("maker"), "x.error", F.col("y.document.facts.own.size").alias("copied"))
+
+
+@query("SELECT event_id, event_type AS kind, 'later' AS source, user_id::VARCHAR AS who FROM events")
+def doc_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Maps of several sources as one; the last wins."""
+    a = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("source"), F.lit("earlier"))
+    b = F.create_map(F.lit("source"), F.lit("later"), F.lit("who"), F.col("user_id").cast("string"))
+    m = table(spark, d, "events").select("event_id", D.merge(a, b).alias("m"))
+    return m.select("event_id", *(F.col("m")[k].alias(k) for k in ("kind", "source", "who")))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, to_base64(encode(event_type)) AS kind FROM events")
+def doc_types(spark: SparkSession, d: str) -> DataFrame:
+    return D.plain_types(table(spark, d, "events").select("event_id", "ts", F.col("event_type").cast("binary").alias("kind")))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'lines/-1/flag' WHEN 1 THEN 'a/b' ELSE 'c/-1/-1' END AS place FROM part")
+def schema_place(spark: SparkSession, d: str) -> DataFrame:
+    """Schema paths as places in the data."""
+    paths = F.element_at(F.array(F.lit("properties/lines/items/properties/flag"), F.lit("properties/a/allOf/0/properties/b"), F.lit("properties/c/items/oneOf/1/items")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", F.split(paths, "/").alias("s")).select("p_partkey", F.array_join(D.data_path(F.col("s")), "/").alias("place"))
+
+
+@query("SELECT event_id, '#/' || key AS path, CASE WHEN key <> 'id' THEN event_type END AS label FROM events, (VALUES ('kind'), ('id')) v(key)")
+def identifier_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Identifiers with their labels, but not under keys that are left alone."""
+    e = table(spark, d, "events")
+    value = F.concat(F.lit("k:"), "event_type")
+    leaves = e.select("event_id", F.explode(F.array(F.lit("#/kind"), F.lit("#/id"))).alias("path"), value.alias("value"))
+    names = e.select(value.alias("value"), F.col("event_type").alias("label")).distinct()
+    return D.expand_identifiers(leaves, names).select("event_id", "path", "label")

@@ -106,3 +106,38 @@ def file_qc(spark: SparkSession, d: str) -> DataFrame:
 def dup_subjects(spark: SparkSession, d: str) -> DataFrame:
     """Texts that several documents have."""
     return table(spark, d, "documents").groupBy(F.md5("text").alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
+
+
+@query(f"WITH {_SQL} SELECT DISTINCT o_orderkey, rule, stage, blame, path FROM v WHERE NOT (stage = 'output' AND EXISTS (SELECT 1 FROM v w WHERE w.o_orderkey = v.o_orderkey AND w.path = v.path AND w.stage = 'input'))")
+def shadowed_stages(spark: SparkSession, d: str) -> DataFrame:
+    """Errors once each, without those of the output that the input has had at the same place."""
+    e = order_errors(spark, d).select("o_orderkey", "rule", "stage", "blame", "path")
+    return V.drop_shadowed(e, {"output": "input"}, ["o_orderkey", "path"])
+
+
+@query(f"WITH {_SCORE} SELECT o_custkey, CASE WHEN o_custkey % 10 = 0 THEN 5555 ELSE si END AS si, CASE WHEN o_custkey % 10 = 0 THEN 4444 ELSE ci END AS ci, CASE WHEN o_custkey % 10 = 0 THEN 9999 ELSE ei END AS ei FROM s")
+def skip_sentinel(spark: SparkSession, d: str) -> DataFrame:
+    return V.mark_skipped(V.score(order_errors(spark, d), "o_custkey"), F.col("o_custkey") % 10 == 0).drop("unclassified")
+
+
+_PATHS = """p AS (SELECT l_orderkey AS k, ['.tar', '.tif', '.tiff', '.gci', '.ktf', '.txt', '.tar'][(l_linenumber - 1) % 7 + 1] AS s FROM lineitem)"""
+
+
+@query(f"""WITH {_PATHS}, g AS (SELECT k, list_sort(list_distinct(list(s))) AS s FROM p GROUP BY k),
+h AS (SELECT k, s, list_contains(s, '.tif') OR list_contains(s, '.tiff') AS image, list_contains(s, '.tar') AS archive FROM g)
+SELECT 'o' || k AS stem, array_to_string(s, ',') AS suffixes, concat_ws(',', CASE WHEN archive AND NOT image THEN 'image' END, CASE WHEN image AND NOT archive THEN 'archive' END, CASE WHEN image AND NOT list_contains(s, '.tif') THEN '.tif' END,
+CASE WHEN image AND NOT list_contains(s, '.tiff') THEN '.tiff' END, CASE WHEN image AND archive AND NOT list_contains(s, '.gci') THEN '.gci' END, CASE WHEN image AND archive AND NOT list_contains(s, '.ktf') THEN '.ktf' END) AS missing FROM h""")
+def file_suffixes(spark: SparkSession, d: str) -> DataFrame:
+    """Archives, images and what belongs to them: an order's lines as files."""
+    suffix = F.element_at(F.array(*map(F.lit, (".tar.gz", ".tif", ".tiff", ".gci", ".ktf", ".txt", ".tar"))), (F.col("l_linenumber") - 1) % 7 + 1)
+    tail = F.when(F.col("l_linenumber") == 2, "_th_s").when(F.col("l_linenumber") == 3, "_sgc_1").otherwise("")
+    path = F.concat(F.when(F.col("l_linenumber") % 2 == 0, "primary/a/").otherwise("source/a/"), F.lit("o"), F.col("l_orderkey").cast("string"), tail, suffix)
+    out = V.file_checks(table(spark, d, "lineitem").select(path.alias("path")))
+    return out.select("stem", F.array_join("suffixes", ",").alias("suffixes"), F.array_join("missing", ",").alias("missing"))
+
+
+@query(f"WITH {_SQL} SELECT DISTINCT o_orderkey, path, blame FROM v")
+def error_set(spark: SparkSession, d: str) -> DataFrame:
+    """Errors with set semantics, whatever stage or rule found them."""
+    e = order_errors(spark, d).select("path", "blame", F.col("o_orderkey").cast("string").alias("error"))
+    return V.distinct_errors(e).select(F.col("error").cast("bigint").alias("o_orderkey"), "path", "blame")
