@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 ROOT = str(Path(__file__).resolve().parents[1])
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 def spark():
     session = (
         SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").config("spark.default.parallelism", "4")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp")).config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
