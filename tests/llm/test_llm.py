@@ -708,3 +708,23 @@ def test_pipeline_stages(spark, docs, texts, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id: r.decoded for r in out.collect()} == {r.doc_id: r.text for r in kept.collect()}
     assert not {33, 34} & {r.doc_id for r in out.collect()}
+
+
+def test_prefixes_find_every_similar_pair_of_different_roots(spark):
+    from metaloom.llm import near_copies
+
+    rng, sets = random.Random(5), []
+    for group in range(6):
+        base = [group * 1000 + i for i in range(rng.choice([1, 4, 5, 30, 100]))]
+        for _ in range(25):
+            changed = rng.random() * 0.3
+            sets.append(sorted({x if rng.random() > changed else rng.randrange(10_000, 10_050) for x in base}))
+    similar = lambda a, b: 5 * len(set(a) & set(b)) >= 4 * len(set(a) | set(b))
+    root = [rng.randrange(40) for _ in sets]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if root[i] != root[j]]
+    want = {p for p in pairs if similar(sets[p[0]], sets[p[1]])}
+    table = spark.createDataFrame(list(enumerate(sets)), "node bigint, shingles array<bigint>")
+    roots = spark.createDataFrame(list(enumerate(root)), "node bigint, root bigint")
+    found = {tuple(r) for r in near_copies._prefix_pairs(table, roots).collect()}
+    assert want and want <= found and found <= set(pairs) and len(found) < len(pairs) // 3
+    assert {tuple(r) for r in near_copies._alike(near_copies._prefix_pairs(table, roots), table).collect()} == want
