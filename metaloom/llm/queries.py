@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_trees, decontaminate, gear_chunks, license_scan, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer, warc_index
+from . import chat_trees, decontaminate, gear_chunks, license_scan, packing, pitman_yor, quality_rules, sentence_pieces, simhash_golay, token_transducer, vector_codes, warc_index, whitening
 from .common import read
 
 
@@ -53,6 +53,18 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(read(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(read(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
     "op2_license_scan": op2_license_scan,
@@ -64,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_pitman_yor": op10_pitman_yor,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_packing": op12_packing,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -71,4 +86,5 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.sql(),
     "op6_chat_trees": chat_trees.sql(),
     "op8_decontaminate": decontaminate.sql(),
+    "op11_vector_codes": vector_codes.sql(),
 }
