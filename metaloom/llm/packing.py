@@ -338,7 +338,8 @@ def pack(docs: DataFrame, size: int = SIZE, unit: int = UNIT, tokenizer_file: st
     if more:
         gaps = gaps.unionByName(spark.createDataFrame(more, "seq bigint, at bigint, room bigint, begin bigint"))
     moved = save(poured(gaps, stock), "moved")
-    changed = moved.filter(F.col("n") < F.col("piece_length")).join(cut.filter(F.col("length") < size).select("part", "row", "start", "ids"), ["part", "row", "start"])
+    # a join by shuffle at every size: how many documents are cut grows with the input
+    changed = moved.filter(F.col("n") < F.col("piece_length")).hint("merge").join(cut.filter(F.col("length") < size).select("part", "row", "start", "ids"), ["part", "row", "start"])
     changed = changed.withColumn("crc", F.crc32(F.substring("ids", (4 * (F.col("own") - F.col("start")) + 1).cast("int"), (4 * F.col("n")).cast("int"))))
     columns = ["part", "row", "doc_id", F.col("own").alias("start"), F.col("n").alias("length"), F.col("crc").alias("ids_crc32"), "doc_tokens", F.col("seq").alias("sequence_id"), "offset"]
     as_they_were = placed.filter(kept).withColumn("own", F.col("start")).withColumn("n", F.col("length"))
