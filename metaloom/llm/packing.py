@@ -24,10 +24,13 @@ follow the order of the input's files: other files give another, equally full, p
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -40,8 +43,8 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from .common import save
 
 SIZE, UNIT, END = 2048, 8, 1
-#: Words that a task remembers the ids of, the longest of them, and characters of text that it reads at once.
-MEMO, LONGEST, AT_ONCE = 300_000, 64, 1_000_000
+#: Words and parts of words that a worker remembers the ids of; the longest such word; and characters of text that it reads at once.
+MEMO, LONGEST, AT_ONCE = 400_000, 64, 1_000_000
 #: Tokens of a stream that are cut together, and ranges of ids that are counted at once.
 STREAM, RANGES = 32_768, 4096
 #: A pattern has to be worth this much more than a sequence to come into the program.
@@ -49,8 +52,16 @@ GAIN = 1e-4
 _INT = np.dtype("<u4")
 
 
+#: Fixed values, how word_bpe_49k.json normalises and cuts text; a file that does otherwise has whole texts encoded.
+_NORMALISERS = ["NFC", "Replace", "Lowercase"]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of ASCII and Latin-1 letters, for which that pattern is the second one after lower(); of other texts, whole words are looked up.
+_PLAIN = re.compile(r"[ \t-\r\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t-\ra-z0-9\xdf-\xf6\xf8-\xff]+")
+
+
 class Encoder:
-    """Texts to ids as bytes. Ids are those of the library for each word; the vocabulary's rules never look across white space."""
+    """Texts to ids as bytes. The ids are the library's, asked once for each part of a word: the file's rules never look across white space, nor across the parts that its pattern cuts."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,20 +70,49 @@ class Encoder:
         self.library = Tokenizer.from_str(file)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memo: dict[str, bytes] = {"": b""}
+        told = json.loads(file)
+        cuts = [p["pattern"].get("Regex") for p in (told.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        self.by_words = [n["type"] for n in (told.get("normalizer") or {}).get("normalizers", [])] == _NORMALISERS and cuts == [_CUT]
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[k for w, k in vocabulary.items() if w.endswith(told["model"].get("end_of_word_suffix") or "\n")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+
+    def _asked(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=_INT).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Parts are read as one text: each ends with the only token that can end it."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype=_INT)
+        ends = (np.nonzero(self.ends[ids])[0] + 1).tolist()
+        if len(ends) != len(parts) or ends[-1] != len(ids):
+            return self._asked(parts)
+        whole = ids.tobytes()
+        return [whole[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in self.memo})
-        ids = {w: np.array(e.ids, dtype=_INT).tobytes() for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False))}
-        known = self.memo | ids if len(self.memo) + len(ids) > MEMO or any(len(w) > LONGEST for w in ids) else self.memo
-        if known is self.memo:
-            known.update(ids)
-        elif len(known) > MEMO:
-            self.memo = {"": b""}
-        else:
-            self.memo.update((w, x) for w, x in ids.items() if len(w) <= LONGEST)
-        return [b"".join([known[w] for w in words]) for words in split]
+        if not self.by_words:
+            return self._asked(texts)
+        plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        cut = [_PARTS.findall(t.lower()) if p else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t, p in zip(texts, plain)]
+        found = [list(map(self.known.get, some)) for some in cut]
+        new_parts, new_words = set(), set()
+        for some, ids, p in zip(cut, found, plain):
+            if None in ids:
+                (new_parts if p else new_words).update(w for w, x in zip(some, ids) if x is None)
+        parts, words = list(new_parts), list(new_words - new_parts)
+        new = dict(zip(parts, self._parts(parts))) if parts else {}
+        new.update(zip(words, self._asked(words)))
+        if len(self.known) + len(new) > MEMO:
+            self.known = {"": b""}
+        self.known.update((w, x) for w, x in new.items() if len(w) <= LONGEST)
+        return [b"".join([new[w] if x is None else x for w, x in zip(some, ids)]) if None in ids else b"".join(ids) for some, ids in zip(cut, found)]
+
+
+@lru_cache(maxsize=1)
+def encoder(file: str) -> Encoder:
+    """One for each Python worker, which keeps what it has learnt from task to task."""
+    return Encoder(file)
 
 
 def default_file() -> str:
@@ -89,12 +129,12 @@ def pieces(docs: DataFrame, file: str, size: int = SIZE, unit: int = UNIT, keep_
     kind = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *(StructField(n, t) for n, t in _PIECE)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, row, ranks = Encoder(file), TaskContext.get().partitionId(), 0, {}
+        reader, part, row, ranks = encoder(file), TaskContext.get().partitionId(), 0, {}
         end = np.array([END], dtype=_INT).tobytes()
         for batch in batches:
             for low, high in _portions(batch.column("text")):
                 made = []
-                for at, ids in zip(range(low, high), encoder.encode(batch.column("text").slice(low, high - low).to_pylist())):
+                for at, ids in zip(range(low, high), reader.encode(batch.column("text").slice(low, high - low).to_pylist())):
                     ids += end
                     n = len(ids) // 4
                     for start in range(0, n, size):

@@ -221,6 +221,25 @@ def test_packing_in_small_sequences(spark, library, texts, monkeypatch, size, un
     check_packing(spark, library, texts, size=size, unit=unit)
 
 
+def test_encoder_equals_the_library(library, monkeypatch):
+    pick = random.Random(8)
+    letters = "aZé\u00dfÑñ\u00d7\u00f7'st,.#$09 \n\u0301\u00b5İΣς\x85\u2028½²字\x1f<|"
+    texts = ["".join(pick.choice(letters) for _ in range(pick.randrange(60))) for _ in range(800)] + ["I'll don't 'street ##'s '' x's's", "a<|endoftext|>b <|startoftext|>", "É" * 200, "café's 3ème été,"]
+    for memo in (8, 400_000):
+        monkeypatch.setattr(packing, "MEMO", memo)
+        from pathlib import Path
+
+        found = packing.Encoder(Path(packing.default_file()).read_text())
+        assert found.by_words
+        for k in range(0, len(texts), 50):
+            for text, ids in zip(texts[k : k + 50], found.encode(texts[k : k + 50])):
+                assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    import public_tokenizers
+
+    other = packing.Encoder(Path(public_tokenizers.path("byte_bpe_50k.json")).read_text())
+    assert not other.by_words and np.frombuffer(other.encode(["a  b"])[0], "<u4").tolist() == other.library.encode("a  b").ids
+
+
 def test_packing_of_few_texts(spark, library):
     assert check_packing(spark, library, [(1, None)])[0].length == 1
     check_packing(spark, library, [(1, "one two three")])
