@@ -26,4 +26,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Imports the modules whose queries register themselves."""
-    from . import derived, documents, graph, history, normal, relational, reports, scalars, structure, tabular, validation  # noqa: F401
+    from . import cellvalues, derived, documents, graph, history, normal, relational, reports, scalars, structure, tabular, validation  # noqa: F401
