@@ -47,8 +47,9 @@ def pooled_with_directory(members: DataFrame, dirs: DataFrame) -> DataFrame:
 
 
 def repeated_ids(samples: DataFrame, version: str = "2.0") -> DataFrame:
-    """samples: subject_id, sample_id. From version 2 on, a sample's id must be its own; before, the pair must be."""
-    keys = ["sample_id"] if int(version.split(".")[0]) >= 2 else ["subject_id", "sample_id"]
+    """samples: subject_id, sample_id. From version 2 on, a sample's id must be its own; before, the pair must be. A version that is none counts as not below 2."""
+    major = version.split(".")[0].strip()
+    keys = ["subject_id", "sample_id"] if major.isdecimal() and int(major) < 2 else ["sample_id"]
     return samples.groupBy(*keys).agg(F.count("*").alias("n"), F.array_sort(F.collect_set("subject_id")).alias("subjects")).filter("n > 1")
 
 

@@ -30,7 +30,8 @@ def replay_at(spark: SparkSession, d: str) -> DataFrame:
     """The state at half of the time."""
     x = log(spark, d)
     low, high = x.agg(F.min("uct"), F.max("uct")).first()
-    return H.replay(x, "id", F.lit((low + (high - low) / 2).isoformat()).cast("timestamp_ntz"), ("uct", "event_id")).select("id", "event_id", "event_type")
+    half = None if low is None else (low + (high - low) / 2).isoformat()
+    return H.replay(x, "id", F.lit(half).cast("timestamp_ntz"), ("uct", "event_id")).select("id", "event_id", "event_type")
 
 
 def monthly(spark: SparkSession, d: str) -> DataFrame:
@@ -53,7 +54,7 @@ def delta_append(spark: SparkSession, d: str) -> DataFrame:
 def delta_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """The snapshot at half of the steps, replayed from the log with keyframes every 5 steps."""
     s = monthly(spark, d)
-    half = s.agg(F.max("step")).first()[0] // 2
+    half = (s.agg(F.max("step")).first()[0] or 0) // 2
     return H.replay(H.append(s, "id", ["kind"], "step", 5), "id", F.lit(half)).select("id", "kind")
 
 

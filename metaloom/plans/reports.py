@@ -36,7 +36,7 @@ FULL JOIN (SELECT user_id AS k, arg_max(event_type, event_id) AS v FROM events W
 def graph_changes(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     state = lambda x: x.groupBy(F.col("user_id").alias("k")).agg(F.max_by("event_type", "event_id").alias("v"))
-    half = e.agg(F.max("event_id")).first()[0] // 2
+    half = (e.agg(F.max("event_id")).first()[0] or 0) // 2
     return R.graph_changes(state(e.filter(F.col("event_id") < half)), state(e.filter((F.col("event_id") >= half) & (F.col("user_id") % 5 != 0))), "k", "v")
 
 
