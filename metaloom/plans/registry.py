@@ -26,4 +26,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Imports the modules whose queries register themselves."""
-    from . import cellvalues, derived, documents, graph, history, matching, normal, relational, reports, scalars, schemas, structure, tabular, trees, validation  # noqa: F401
+    from . import cellvalues, derived, documents, graph, history, matching, normal, orders, relational, reports, scalars, schemas, structure, tabular, trees, validation  # noqa: F401
