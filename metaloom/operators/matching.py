@@ -100,3 +100,52 @@ def missing_files(targets: DataFrame, paths: DataFrame, distance: int = 1) -> Da
     misspelt = near.select(whole("name").alias("target"), whole("other").alias("path")).groupBy("target").agg(F.array_sort(F.collect_set("path")).alias("misspelt"))
     none = F.array().cast("array<string>")
     return missing.join(moved, "target", "left").join(misspelt, "target", "left").select("target", F.coalesce("moved", none).alias("moved"), F.coalesce("misspelt", none).alias("misspelt"))
+
+
+def _numbers(text: Column) -> Column:
+    """The distinct numbers above 1 in a text: those that weigh something."""
+    bare = F.transform(F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)), lambda n: F.ltrim(n, F.lit("0")))
+    return F.array_distinct(F.filter(bare, lambda n: ~n.isin("", "1")))
+
+
+def _weight(numbers: Column) -> Column:
+    return F.aggregate(F.array_sort(numbers), F.lit(0.0), lambda s, n: s + F.ln(n.cast("double")))
+
+
+def match_references(refs: DataFrame, paths: DataFrame, least: float = 0.5) -> DataFrame:
+    """refs: ref, text (a path as another system wrote it); paths: path. Returns ref, path, mapped_by, similarity, distance, error.
+
+    A reference is the path of its base name, if that is the only one. One whose base name no path has gets the nearest base name with its suffix: by the share that common numbers
+    have of its own, weighted by their logarithms (similarity: 1 less that share), then by edit distance, then by name. It has to share least of its own weight.
+
+    Base names are looked up under the reference's numbers, but not under the most frequent ones that together weigh less than least: a name that shares only these can't do.
+    """
+    base = lambda p: F.regexp_extract(p, r"[^\\/]+$", 0)
+    suffix = lambda n: F.regexp_extract(n, r"[^.](\.[^.]+)$", 1)
+    wanted = refs.select("ref", base(F.col("text")).alias("name"))
+    index = paths.select("path", base(F.col("path")).alias("name")).distinct().groupBy("name").agg(F.count("*").alias("n"), F.min("path").alias("path"))
+    exact = wanted.join(index, "name", "left")
+    same = exact.filter("n IS NOT NULL").select(
+        "ref", F.when(F.col("n") == 1, F.col("path")).alias("path"), F.when(F.col("n") == 1, "exact-pathname-match").alias("mapped_by"), F.when(F.col("n") == 1, F.lit(0.0)).alias("similarity"),
+        F.when(F.col("n") == 1, F.lit(0)).alias("distance"), F.when(F.col("n") > 1, F.concat_ws(" ", F.lit("several paths of that name:"), F.col("n").cast("string"))).alias("error"),
+    )
+    lost = exact.filter("n IS NULL").select("ref", "name", suffix(F.col("name")).alias("suffix"), _numbers(F.col("name")).alias("own"))
+    names = index.select(F.col("name").alias("other"), "n", "path", suffix(F.col("name")).alias("suffix"), _numbers(F.col("name")).alias("theirs"))
+    listed = names.select("other", "suffix", F.explode("theirs").alias("number"))
+    often = listed.groupBy("suffix", "number").agg(F.count("*").alias("often"))
+    distinct = lost.select("name", "suffix", "own").distinct()
+    counted = distinct.select("name", "suffix", "own", F.explode("own").alias("number")).join(often, ["suffix", "number"]).groupBy("name", "suffix", "own").agg(F.array_sort(F.collect_list(F.struct((-F.col("often")).alias("often"), "number"))).alias("by"))
+    # numbers from the most frequent on, with the weight of all up to each
+    total = _weight(F.col("own"))
+    upto = F.transform("by", lambda x, i: F.struct(x["number"].alias("number"), F.aggregate(F.slice("by", F.lit(1), i + 1), F.lit(0.0), lambda s, y: s + F.ln(y["number"].cast("double"))).alias("w")))
+    probed = counted.select("name", "suffix", F.explode(F.filter(upto, lambda x: x["w"] > total * least - 1e-9)["number"]).alias("number"))
+    pairs = probed.join(listed, ["suffix", "number"]).select("name", "other").distinct()
+    judged = pairs.join(distinct.select("name", "own"), "name").join(names.select("other", "theirs", "n", F.col("path").alias("_path")), "other")
+    share = _weight(F.array_intersect("own", "theirs")) / _weight(F.col("own"))
+    best = judged.withColumn("share", share).filter(F.col("share") > least - 1e-9).groupBy("name").agg(F.min(F.struct((1 - F.col("share")).alias("similarity"), F.levenshtein("name", "other").alias("distance"), "other", "n", "_path")).alias("b"))
+    near = lost.select("ref", "name").join(best, "name", "left")
+    rest = near.select(
+        "ref", F.when(F.col("b.n") == 1, F.col("b._path")).alias("path"), F.when(F.col("b.n") == 1, "number-similarity").alias("mapped_by"), F.col("b.similarity").alias("similarity"), F.col("b.distance").alias("distance"),
+        F.when(F.col("b").isNull(), "no path of that name").when(F.col("b.n") > 1, F.concat_ws(" ", F.lit("several paths of that name:"), F.col("b.n").cast("string"))).alias("error"),
+    )
+    return same.unionByName(rest)

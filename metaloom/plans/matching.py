@@ -79,3 +79,31 @@ def missing_files(spark: SparkSession, d: str) -> DataFrame:
     target = F.when(k % 4 == 0, F.concat(brand, F.lit("/"), name, F.lit("x"), key)).when(k % 4 == 1, F.concat(F.lit("elsewhere/"), name, key)).otherwise(F.concat(brand, F.lit("/"), name, key))
     out = M.missing_files(table(spark, d, "part").select(target.alias("target")), paths)
     return out.select("target", F.array_join("moved", "|").alias("moved"), F.array_join("misspelt", "|").alias("misspelt"))
+
+
+def _number(c: str) -> str:
+    return f"list_filter(list_distinct(list_transform(regexp_extract_all({c}, '[0-9]+'), lambda n: ltrim(n, '0'))), lambda n: n NOT IN ('', '1'))"
+
+
+_REFS = f"""r AS (SELECT c_custkey AS ref, CASE c_custkey % 3 WHEN 0 THEN 'scan ' || c_custkey || ' of ' || c_nationkey || '.tif' WHEN 1 THEN 'scan ' || c_custkey || ' at ' || (c_nationkey + 500) || '.tif' ELSE 'slide.tif' END AS name FROM customer),
+p AS (SELECT 'd' || p_size % 2 || '/' || CASE WHEN p_partkey % 2 = 0 THEN 'scan ' || p_partkey || ' of ' || p_size || '.tif' WHEN p_partkey % 50 = 1 THEN 'slide.tif' ELSE 'image-' || p_partkey || '.tif' END AS path FROM part),
+i AS (SELECT regexp_extract(path, '[^/]+$') AS other, count(DISTINCT path) AS n, min(path) AS path FROM p GROUP BY 1),
+x AS (SELECT ref, name, {_number("name")} AS own FROM r), y AS (SELECT other, n, path, {_number("other")} AS theirs FROM i),
+j AS (SELECT ref, other, n, path, levenshtein(name, other) AS distance, 1 - coalesce(list_sum(list_transform(list_intersect(own, theirs), lambda v: ln(v::DOUBLE))), 0) / list_sum(list_transform(own, lambda v: ln(v::DOUBLE))) AS similarity
+    FROM x, y WHERE name NOT IN (SELECT other FROM i) AND len(own) > 0),
+b AS (SELECT * FROM j WHERE similarity <= 0.5000000001 QUALIFY row_number() OVER (PARTITION BY ref ORDER BY round(similarity, 9), distance, other) = 1)"""
+
+
+@query(f"""WITH {_REFS} SELECT r.ref, coalesce(CASE WHEN i.n = 1 THEN i.path END, CASE WHEN b.n = 1 THEN b.path END) AS path, CASE WHEN i.n = 1 THEN 'exact-pathname-match' WHEN b.n = 1 THEN 'number-similarity' END AS mapped_by,
+CASE WHEN i.n = 1 THEN 0 ELSE round(b.similarity, 6) END AS similarity, (CASE WHEN i.n = 1 THEN 0 ELSE b.distance END)::INTEGER AS distance,
+CASE WHEN coalesce(i.n, b.n) > 1 THEN 'several paths of that name: ' || coalesce(i.n, b.n) WHEN i.n IS NULL AND b.n IS NULL THEN 'no path of that name' END AS error FROM r LEFT JOIN i ON i.other = r.name LEFT JOIN b ON b.ref = r.ref""")
+def path_references(spark: SparkSession, d: str) -> DataFrame:
+    """References written on another system, from customers, against the files of parts."""
+    k, nation = F.col("c_custkey"), F.col("c_nationkey")
+    scan = lambda a, b: F.concat(F.lit("C:\\data\\scan "), k.cast("string"), F.lit(f" {a} "), b.cast("string"), F.lit(".tif"))
+    text = F.when(k % 3 == 0, scan("of", nation)).when(k % 3 == 1, scan("at", nation + 500)).otherwise(F.lit("slide.tif"))
+    p = F.col("p_partkey")
+    name = F.when(p % 2 == 0, F.concat(F.lit("scan "), p.cast("string"), F.lit(" of "), F.col("p_size").cast("string"), F.lit(".tif"))).when(p % 50 == 1, "slide.tif").otherwise(F.concat(F.lit("image-"), p.cast("string"), F.lit(".tif")))
+    paths = table(spark, d, "part").select(F.concat(F.lit("d"), (F.col("p_size") % 2).cast("string"), F.lit("/"), name).alias("path"))
+    out = M.match_references(table(spark, d, "customer").select(k.alias("ref"), text.alias("text")), paths)
+    return out.withColumn("similarity", F.round("similarity", 6))
