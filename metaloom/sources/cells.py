@@ -43,7 +43,12 @@ def parse(content: bytes, delimiter: str) -> tuple[list[list[str | None]], list[
 
 
 def read_delimited(spark: SparkSession, path: str, pattern: str = "*.[ct]sv") -> DataFrame:
-    """Cells of all files under path; a row with an error has no cell. Files are read whole, each in one task: sheets are small, there may be many."""
+    """Cells of all files under path."""
+    return delimited(spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path))
+
+
+def delimited(files: DataFrame) -> DataFrame:
+    """Cells of files (path, content); a row with an error has no cell. Files are read whole, each in one task: sheets are small, there may be many."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
@@ -52,7 +57,6 @@ def read_delimited(spark: SparkSession, path: str, pattern: str = "*.[ct]sv") ->
                 out = [(file, i, j, v, None) for i, r in enumerate(rows) for j, v in enumerate(r)] + [(file, None, None, None, e) for e in errors]
                 yield pd.DataFrame(out, columns=["file", "row", "col", "value", "error"]).astype({"row": "Int64", "col": "Int32"})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(run, CELLS)
 
 

@@ -42,7 +42,11 @@ def mbf(root: X.Element) -> dict:
 
 
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
-    """file, dialect, meta (of the mbf dialect), error. Each file is parsed by itself, and one that is no XML is a row with an error."""
+    return xml_metadata(spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path))
+
+
+def xml_metadata(files: DataFrame) -> DataFrame:
+    """file, dialect, meta (of the mbf dialect), error, of files (path, content). Each file is parsed by itself, and one that is no XML is a row with an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,7 +63,6 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
             kind = pa.struct([("subject", pa.struct([(k, text) for k in ("id", "species", "sex", "age")])), ("atlas", pa.struct([(k, text) for k in ("organ", "label", "rootid")])), ("images", texts), ("contours", texts)])
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(names, text), pa.array(metas, kind), pa.array(errors, text)], ["file", "dialect", "meta", "error"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").load(path)
     schema = "file string, dialect string, meta struct<" + META.replace(" struct", ": struct").replace("images array", "images: array").replace("contours array", "contours: array") + ">, error string"
     return files.select("path", "content").mapInArrow(run, schema)
 

@@ -81,7 +81,12 @@ def parse(content: bytes) -> list[tuple[int, int, str]]:
 
 
 def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of all workbooks under path; a file that is none gives an error row."""
+    """Cells of all workbooks under path."""
+    return workbooks(spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true").load(path))
+
+
+def workbooks(files: DataFrame) -> DataFrame:
+    """Cells of workbooks (path, content); a file that is none gives an error row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
@@ -92,5 +97,4 @@ def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
                     out = [(file, None, None, None, f"not a workbook: {e}")]
                 yield pd.DataFrame(out, columns=["file", "row", "col", "value", "error"]).astype({"row": "Int64", "col": "Int32"})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(run, CELLS)
