@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalise as N
 from ..functions.scalars import NA_WORDS, quantity, try_int
+from .schemas import let
 
 Normaliser = Callable[[Column], Column]
 _RESULT = "struct<values:array<string>,errors:array<struct<message:string,blame:string>>>"
@@ -118,10 +119,12 @@ def measured(unit: str = "", misplaced: Sequence[str] = (), instead: str = "") -
     """A quantity, written as number and unit (ranges as lo-hi unit); unit is that of a bare number. misplaced: words that belong in another column, instead."""
 
     def f(value: Column) -> Column:
-        q = quantity(F.concat(value, F.lit(unit)) if unit else value)
+        return let(quantity(F.concat(value, F.lit(unit)) if unit else value), lambda q: told(value, q))
+
+    def told(value: Column, q: Column) -> Column:
         number = lambda x: F.regexp_replace(x.cast("string"), r"\.0$", "")
         text = F.when(q["kind"] == "range", F.concat(number(q["lo"]), F.lit("-"), number(q["hi"]))).otherwise(F.concat(F.when(q["kind"] == "approximate", "~").otherwise(""), number(q["value"])))
-        made = F.when(q.isNotNull(), F.concat_ws(" ", text, F.when(q["unit"] != "dimensionless", q["unit"])))
+        made = F.when(q["kind"].isNotNull(), F.concat_ws(" ", text, F.when(q["unit"] != "dimensionless", q["unit"])))
         unknown, elsewhere = F.lower(F.trim(value)).isin(*_UNKNOWN), value.isin(*misplaced) if misplaced else F.lit(False)
         out = F.when(unknown, "UNKNOWN").otherwise(F.coalesce(made, value))
         # a column with a unit of its own takes the word for granted; a quantity reports it
