@@ -19,7 +19,7 @@ _ERRORS = "array<struct<path:array<string>,keyword:string,message:string>>"
 #: Characters of a value that a message shows, and keywords that say nothing about validity.
 SHOWN = 200
 _ANNOTATIONS = {"$schema", "$id", "title", "description", "default", "examples", "definitions", "$defs", "format", "context_value", "version"}
-_KINDS = {"string": ("STRING",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "integer": ("BIGINT",), "boolean": ("BOOLEAN",), "null": ("VOID",)}
+_KINDS = {"string": ("STRING",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "integer": ("BIGINT",), "boolean": ("BOOLEAN",), "null": ("VOID",), "object": ("OBJECT",), "array": ("ARRAY",)}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,43 +39,45 @@ def _if(bad: Column, path: Column, keyword: str, message: Column) -> Column:
     return F.when(F.coalesce(bad, F.lit(False)), _error(path, keyword, message)).otherwise(_none())
 
 
-def _shown(v: Column) -> Column:
-    return F.left(F.to_json(v), F.lit(SHOWN))
+def _shown(x: Column) -> Column:
+    return F.left(F.to_json(x["v"]), F.lit(SHOWN))
 
 
 def _as(v: Column, kind: str) -> Column:
     return F.try_variant_get(v, "$", kind)
 
 
-def _is(v: Column, kinds: object) -> Column:
+def _seen(v: Column) -> Column:
+    """struct(v, m, a, kind): a value with its fields if it is an object, its elements if it is an array, and else the kind of scalar; found out once for all keywords."""
+    fields, elements = _as(v, "map<string,variant>"), _as(v, "array<variant>")
+    kind = F.when(fields.isNotNull(), "OBJECT").when(elements.isNotNull(), "ARRAY").otherwise(F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0))
+    return F.struct(v.alias("v"), fields.alias("m"), elements.alias("a"), kind.alias("kind"))
+
+
+def _is(x: Column, kinds: object) -> Column:
     """Whether a value has one of the kinds that a schema's type names."""
     out = F.lit(False)
     for kind in [kinds] if isinstance(kinds, str) else kinds:
-        if kind == "object":
-            out |= _as(v, "map<string,variant>").isNotNull()
-        elif kind == "array":
-            out |= _as(v, "array<variant>").isNotNull()
-        else:
-            scalar = F.coalesce(_as(v, "map<string,variant>").isNull() & _as(v, "array<variant>").isNull(), F.lit(True))
-            name = F.when(scalar, F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0))
-            here = name.isin(*_KINDS[kind])
-            if kind == "integer":
-                # 3.0 is a whole number too
-                here |= name.isin(*_KINDS["number"]) & (_as(v, "double") == F.floor(_as(v, "double")))
-            out |= F.coalesce(here, F.lit(False))
+        here = x["kind"].isin(*_KINDS[kind])
+        if kind == "integer":
+            # 3.0 is a whole number too
+            number = _as(x["v"], "double")
+            here |= x["kind"].isin(*_KINDS["number"]) & F.coalesce(number == F.floor(number), F.lit(False))
+        out |= here
     return out
 
 
-def _same(v: Column, constant: object) -> Column:
+def _same(x: Column, constant: object) -> Column:
     """Whether a value equals a schema's constant; numbers by their value."""
+    v = x["v"]
     if isinstance(constant, bool):
-        return _is(v, "boolean") & (_as(v, "boolean") == F.lit(constant))
+        return _is(x, "boolean") & (_as(v, "boolean") == F.lit(constant))
     if isinstance(constant, (int, float)):
-        return _is(v, "number") & (_as(v, "double") == F.lit(float(constant)))
+        return _is(x, "number") & (_as(v, "double") == F.lit(float(constant)))
     if isinstance(constant, str):
-        return _is(v, "string") & (_as(v, "string") == F.lit(constant))
+        return _is(x, "string") & (_as(v, "string") == F.lit(constant))
     if constant is None:
-        return _is(v, "null")
+        return _is(x, "null")
     return F.to_json(v) == F.to_json(F.parse_json(F.lit(json.dumps(constant))))
 
 
@@ -106,7 +108,7 @@ def compile_schema(schema: Schema, v: Column, path: Column | None = None, root:
             found.append(_additional(schema["additionalProperties"], x, path, inner, schema))
         return F.concat(*found) if found else _none()
 
-    return F.when(v.isNotNull(), let(v, judged)).otherwise(_none())
+    return F.when(v.isNotNull(), let(_seen(v), judged)).otherwise(_none())
 
 
 def _type(a, v, path, inner, schema):
@@ -126,24 +128,24 @@ def _const(a, v, path, inner, schema):
 
 
 def _pattern(a, v, path, inner, schema):
-    return _if(_is(v, "string") & ~_as(v, "string").rlike(a), path, "pattern", F.concat(_shown(v), F.lit(f" does not match {a}")))
+    return _if(_is(v, "string") & ~_as(v["v"], "string").rlike(a), path, "pattern", F.concat(_shown(v), F.lit(f" does not match {a}")))
 
 
 def _number(keyword: str, bad: Callable[[Column, object], Column]):
-    return lambda a, v, path, inner, schema: _if(_is(v, "number") & bad(_as(v, "double"), F.lit(float(a))), path, keyword, F.concat(_shown(v), F.lit(f" against {keyword} {a}")))
+    return lambda a, v, path, inner, schema: _if(_is(v, "number") & bad(_as(v["v"], "double"), F.lit(float(a))), path, keyword, F.concat(_shown(v), F.lit(f" against {keyword} {a}")))
 
 
 def _length(keyword: str, bad: Callable[[Column, object], Column]):
-    return lambda a, v, path, inner, schema: _if(_is(v, "string") & bad(F.char_length(_as(v, "string")), F.lit(a)), path, keyword, F.concat(_shown(v), F.lit(f" against {keyword} {a}")))
+    return lambda a, v, path, inner, schema: _if(_is(v, "string") & bad(F.char_length(_as(v["v"], "string")), F.lit(a)), path, keyword, F.concat(_shown(v), F.lit(f" against {keyword} {a}")))
 
 
 def _count(keyword: str, bad: Callable[[Column, object], Column]):
-    return lambda a, v, path, inner, schema: _if(bad(F.size(_as(v, "array<variant>")), F.lit(a)) & _is(v, "array"), path, keyword, F.concat(F.size(_as(v, "array<variant>")).cast("string"), F.lit(f" items against {keyword} {a}")))
+    return lambda a, v, path, inner, schema: _if(_is(v, "array") & bad(F.size(v["a"]), F.lit(a)), path, keyword, F.concat(F.size(v["a"]).cast("string"), F.lit(f" items against {keyword} {a}")))
 
 
 def _object(v: Column, body: Callable[[Column], Column]) -> Column:
     """body of an object as a map; no error for other kinds."""
-    return F.coalesce(let(_as(v, "map<string,variant>"), lambda m: F.when(m.isNotNull(), body(m))), _none())
+    return F.when(v["m"].isNotNull(), body(v["m"])).otherwise(_none())
 
 
 def _required(a, v, path, inner, schema):
@@ -170,18 +172,18 @@ def _additional(a, v, path, inner, schema):
 
 
 def _items(a, v, path, inner, schema):
-    return F.coalesce(F.flatten(F.transform(_as(v, "array<variant>"), lambda x, i: inner(a, x, _below(path, i)))), _none())
+    return F.coalesce(F.flatten(F.transform(v["a"], lambda x, i: inner(a, x, _below(path, i)))), _none())
 
 
 def _all_of(a, v, path, inner, schema):
-    return F.concat(*(inner(s, v, path) for s in a))
+    return F.concat(*(inner(s, v["v"], path) for s in a))
 
 
 def _matching(a, v, path, inner) -> Column:
     """How many of several schemas a value satisfies."""
     out = F.lit(0)
     for s in a:
-        out += (F.size(inner(s, v, path)) == 0).cast("int")
+        out += (F.size(inner(s, v["v"], path)) == 0).cast("int")
     return out
 
 
@@ -194,7 +196,7 @@ def _one_of(a, v, path, inner, schema):
 
 
 def _not(a, v, path, inner, schema):
-    return _if(F.size(inner(a, v, path)) == 0, path, "not", F.concat(_shown(v), F.lit(" is what it should not be")))
+    return _if(F.size(inner(a, v["v"], path)) == 0, path, "not", F.concat(_shown(v), F.lit(" is what it should not be")))
 
 
 _CHECKS = {
