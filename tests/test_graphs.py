@@ -78,3 +78,61 @@ def test_replaced_ids_and_restrictions(spark):
     new = G.replace_ids(df, spark.createDataFrame([("a", "A"), ("label", "name"), ("b", "a"), ("b", "z"), (None, "x")], "old string, new string"))
     got = {tuple(r)[:3] for r in new.collect()}
     assert {("A", G.SUBCLASS, "_:r"), ("a", "name", "a"), ("_:r", G.SOME, "a")} <= got and len(got) == len(rows)
+
+
+TTL = '''@prefix : <http://x/v#> . # a comment
+PREFIX c: <http://x/c/>
+@base <http://x/base/> .
+c:1 a :Thing ; :name "it\\u0041 \\"q\\"", 'one'@en , """two
+"lines" . ; ends\\\\"""^^:kind ;; :size 4, -1.5, 2e3, true .
+<rel> :holds [ :in [ :deep () ] ; :list ( 1 [ :p c:a\\,b ] ( c:x.y ) ) ] .
+:bad :worse .
+c:2 :of _:n.1 . _:n.1 :of c:2 . [ :p :o ] .
+:x :unknown nope:y . # . not here
+:s :text "no end
+. :t :u :v .
+:w :p "last" .'''
+
+
+def test_turtle_is_read_by_statement(spark):
+    from metaloom.sources import turtle
+
+    files = spark.createDataFrame([("a/x.ttl", bytearray(TTL.encode())), ("a/y.ttl", bytearray(b"\xff")), ("a/z.ttl", None), ("a/e.ttl", bytearray()), ("a/n.ttl", bytearray(b"<s> <p> _:n.1 ."))], "path string, content binary")
+    rows = turtle.triples(files).collect()
+    good = {(r.s, r.p, r.o, r.o_kind, r.o_datatype, r.o_lang) for r in rows if r.error is None and r.file == "a/x.ttl"}
+    v, c, xsd = "http://x/v#", "http://x/c/", "http://www.w3.org/2001/XMLSchema#"
+    one = lambda p: {t[2:] for t in good if t[0] == c + "1" and t[1] == p}
+    assert one(G.TYPE) == {(v + "Thing", "iri", None, None)}
+    assert one(v + "name") == {('itA "q"', "literal", None, None), ("one", "literal", None, "en"), ('two\n"lines" . ; ends\\', "literal", v + "kind", None)}
+    assert one(v + "size") == {("4", "literal", xsd + "integer", None), ("-1.5", "literal", xsd + "decimal", None), ("2e3", "literal", xsd + "double", None), ("true", "literal", xsd + "boolean", None)}
+    of = lambda s, p: next(t[2] for t in good if t[:2] == (s, p))
+    held = of("http://x/base/rel", v + "holds")
+    assert of(of(held, v + "in"), v + "deep") == G.NIL
+    cell = of(held, v + "list")
+    assert of(cell, G.FIRST) == "1"
+    cell = of(cell, G.REST)
+    assert of(of(cell, G.FIRST), v + "p") == c + "a,b"
+    cell = of(cell, G.REST)
+    assert of(of(cell, G.FIRST), G.FIRST) == c + "x.y" and of(cell, G.REST) == of(of(cell, G.FIRST), G.REST) == G.NIL
+    assert of(of(c + "2", v + "of"), v + "of") == c + "2"
+    assert of(v + "w", v + "p") == "last"
+    errors = {(r.file, r.line): r.error for r in rows if r.error}
+    assert set(errors) == {("a/x.ttl", 7), ("a/x.ttl", 9), ("a/x.ttl", 10), ("a/y.ttl", None)}
+    assert "nope" in errors["a/x.ttl", 9] and "UTF-8" in errors["a/y.ttl", None]
+    blanks = lambda df: {r.o for r in df.filter("o LIKE '%n.1'").collect()}
+    assert len(blanks(turtle.triples(files))) == 2 and len(blanks(turtle.triples(files, together=True))) == 1
+
+
+def test_turtle_of_deep_and_odd_terms(spark, tmp_path):
+    from metaloom.sources import turtle
+
+    deep = b"<s> <p> " + b"[ <p> " * 3000 + b"1" + b" ]" * 3000 + b" ."
+    files = spark.createDataFrame([("d.ttl", bytearray(deep))], "path string, content binary")
+    assert turtle.triples(files).filter("error IS NULL").count() == 3001
+    rows = [("http://x/a b", "http://x/p", "http://x/<\\>", "iri", None, None), ("http://x/s", "http://x/p", 'a"\\\r\n\t', "literal", "http://x/d", None), ("http://x/s", "http://x/p", "", "literal", None, "en"), (None, "p", "o", "iri", None, None)]
+    rows += [("http://x/hot", "http://x/p", str(k), "literal", None, None) for k in range(2500)] + [("_:a", "http://x/p", "_:b", "blank", None, None)]
+    df = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, o_datatype string, o_lang string")
+    assert turtle.statements(df, {}).count() > 5
+    turtle.write(df, str(tmp_path / "t"), {"x": "http://x/"})
+    back = {tuple(r)[2:8] for r in turtle.read(spark, str(tmp_path / "t")).collect()}
+    assert {t for t in back if not t[0].startswith("_")} == {t for t in rows if t[0] and not t[0].startswith("_")} and len(back) == len(rows) - 1
