@@ -26,4 +26,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Imports the modules whose queries register themselves."""
-    from . import cellvalues, derived, documents, extraction, graph, graphs, history, matching, normal, orders, relational, reports, scalars, schemas, sources, structure, tabular, templates, trees, validation  # noqa: F401
+    from . import cellvalues, derived, documents, extraction, graph, graphs, history, matching, normal, orders, relational, reports, scalars, schemas, sources, structure, tabular, templates, tracings, trees, validation  # noqa: F401
