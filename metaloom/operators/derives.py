@@ -107,3 +107,36 @@ def latest_version(rows: DataFrame, key: str, version: str) -> DataFrame:
 def running_last(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """rows with the last value that is not null up to there."""
     return rows.withColumn("last_known", F.last(value, ignorenulls=True).over(Window.partitionBy(key).orderBy(order)))
+
+
+def entity_counts(owners: DataFrame, key: str, entities: dict[str, DataFrame]) -> DataFrame:
+    """owners with the number of rows of each kind of entity, 0 where there is none. entities: kind to rows with the key; each is counted before it is joined, so an owner of many costs no more."""
+    out = owners
+    for kind, rows in entities.items():
+        out = out.join(rows.groupBy(key).agg(F.count("*").alias(f"{kind}_count")), key, "left")
+    return out.fillna(0, [f"{kind}_count" for kind in entities])
+
+
+def distinct_over(rows: DataFrame, key: str, values: str) -> DataFrame:
+    """key and the sorted distinct values of its rows, a list's elements one by one; null where a key has none. Values are made distinct before they are gathered."""
+    each = F.explode_outer(values) if dict(rows.dtypes)[values].startswith("array") else F.col(values)
+    return rows.select(key, each.alias(values)).distinct().groupBy(key).agg(F.array_sort(F.collect_list(values)).alias(values)).withColumn(values, F.when(F.size(values) > 0, F.col(values)))
+
+
+def study_text(purpose: Column, collection: Column, conclusion: Column) -> Column:
+    """The parts that are there, joined by spaces; null if there is none."""
+    text = F.concat_ws(" ", *(F.when(F.trim(c) != "", F.trim(c)) for c in (purpose, collection, conclusion)))
+    return F.when(text != "", text)
+
+
+def related_protocols(related: Column) -> Column:
+    """Identifiers of those related ones (structs of identifier, relation, type) whose relation is HasProtocol and which have a type, in order."""
+    have = F.filter(related, lambda r: (r["relation"] == "HasProtocol") & r["type"].isNotNull() & r["identifier"].isNotNull())
+    return F.transform(have, lambda r: r["identifier"])
+
+
+def award_organs(awards: DataFrame, sourced: DataFrame, manual: DataFrame) -> DataFrame:
+    """awards with organ and whether it is an override: the one given by hand, else the sourced one. sourced and manual: award, organ; of several the smallest."""
+    one = lambda rows, name: rows.filter("organ IS NOT NULL").groupBy("award").agg(F.min("organ").alias(name))
+    both = awards.join(one(manual, "_m"), "award", "left").join(one(sourced, "_s"), "award", "left")
+    return both.withColumn("organ", F.coalesce("_m", "_s")).withColumn("override", F.col("_m").isNotNull()).drop("_m", "_s")

@@ -79,3 +79,43 @@ def template_version(spark: SparkSession, d: str) -> DataFrame:
     """Versions from 0.0 to 12.2: 10.0 is later than 9.0."""
     version = F.concat_ws(".", (F.col("o_orderkey") % 13).cast("string"), (F.col("o_orderkey") % 3).cast("string"))
     return V.latest_version(table(spark, d, "orders").select("o_custkey", version.alias("version")), "o_custkey", "version")
+
+
+@query("""SELECT n_nationkey AS nation, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS customers_count, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS suppliers_count,
+(SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = n_nationkey AND o_orderstatus = 'P') AS pending_count FROM nation""")
+def derive_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Each nation's customers, suppliers and pending orders, counted."""
+    customer = table(spark, d, "customer")
+    pending = table(spark, d, "orders").filter("o_orderstatus = 'P'").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("nation"))
+    return V.entity_counts(nations, "nation", {"customers": customer.select(F.col("c_nationkey").alias("nation")), "suppliers": table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation")), "pending": pending.select(F.col("c_nationkey").alias("nation"))})
+
+
+@query("SELECT p_brand AS brand, string_agg(DISTINCT w, ',' ORDER BY w) AS words FROM (SELECT p_brand, unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY 1")
+def derive_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """The different words in the names of each brand's parts, in order."""
+    words = table(spark, d, "part").select(F.col("p_brand").alias("brand"), F.split("p_name", " ").alias("words"))
+    return V.distinct_over(words, "brand", "words").select("brand", F.array_join("words", ",").alias("words"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 10 THEN p_name || ' ' ELSE '' END || p_type || CASE WHEN p_size % 2 = 0 THEN ' ' || p_brand ELSE '' END AS study FROM part")
+def derive_study(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of three parts, of which some are null or blank."""
+    size = F.col("p_size")
+    return table(spark, d, "part").select("p_partkey", V.study_text(F.when(size > 10, F.concat(F.lit(" "), "p_name")), F.col("p_type"), F.when(size % 2 == 0, F.col("p_brand")).otherwise("  ")).alias("study"))
+
+
+@query("SELECT o_custkey, string_agg('p/' || o_orderkey, ',' ORDER BY o_orderkey) AS protocols FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 50000 GROUP BY 1")
+def derive_protocols(spark: SparkSession, d: str) -> DataFrame:
+    """A customer's orders as related identifiers: filled ones are protocols, and those of a low price have no type."""
+    one = F.struct(F.col("o_orderkey").alias("n"), F.concat(F.lit("p/"), F.col("o_orderkey").cast("string")).alias("identifier"), F.when(F.col("o_orderstatus") == "F", "HasProtocol").otherwise("IsCitedBy").alias("relation"), F.when(F.col("o_totalprice") > 50000, "URL").alias("type"))
+    related = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(one)).alias("related"))
+    return related.select("o_custkey", F.array_join(V.related_protocols(F.col("related")), ",").alias("protocols")).filter("protocols <> ''")
+
+
+@query("""SELECT c_custkey AS award, coalesce(CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment END, (SELECT min(s_name) FROM supplier WHERE s_suppkey = c_custkey)) AS organ, coalesce(c_custkey % 5 = 0 AND c_mktsegment IS NOT NULL, false) AS override FROM customer""")
+def derive_award_organs(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as awards: suppliers of the same key are the source, segments of every fifth are given by hand."""
+    customer = table(spark, d, "customer").withColumn("award", F.col("c_custkey"))
+    sourced = table(spark, d, "supplier").select(F.col("s_suppkey").alias("award"), F.col("s_name").alias("organ"))
+    return V.award_organs(customer.select("award"), sourced, customer.filter("award % 5 = 0").select("award", F.col("c_mktsegment").alias("organ")))
