@@ -283,6 +283,23 @@ def test_quality_verdicts(spark):
     assert not any(got[i].kept for i in range(200, 240)) and sum(got[i].kept for i in range(200)) > 0.95 * sum(passed[i] for i in range(200))
 
 
+def test_every_trusted_row_counts(spark, monkeypatch):
+    trusted = quality_rules._trusted(spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic"))
+    assert trusted.count() == 30_000 and 14_000 < trusted.filter("fitted").count() < 16_000
+    pick = random.Random(6)
+    values = [pick.gauss(0, 1) for _ in range(3000)] + [-2.5] * 20
+    table = spark.createDataFrame([(x,) for x in values], "llr double")
+    for share in (0.001, 0.005, 0.5, 1.0):
+        assert quality_rules._quantile(table, share) == sorted(values)[math.ceil(share * len(values)) - 1]
+    assert quality_rules._quantile(table.limit(0), 0.5) is None
+    rows = [(i, " ".join(f"w{int(pick.paretovariate(0.6)) % 300}" for _ in range(80))) for i in range(60)] + [(None, "one " * 60), (3, None)]
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    judged = lambda: listed(quality_rules.quality_rules(docs, labels), "row.doc_id", "llr", "kept")
+    sent = judged()
+    monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", 0)
+    assert judged() == sent
+
+
 # 5
 def test_chunks_cover_and_resist_shifts():
     pick = random.Random(2)
