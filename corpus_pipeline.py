@@ -26,8 +26,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the row with the smallest doc_id; null texts and texts without words are one group."""
-    return simhash_golay.keep_one(docs)
+    """Of each group of near copies (linked by the fingerprints of op3_simhash_golay, or by a similarity of 0.8 or more of five-word shingles) the row with the smallest doc_id; null texts and texts without words are one group."""
+    return simhash_golay.keep_one(docs, simhash_golay.near_duplicates_or_copies)
 
 
 def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

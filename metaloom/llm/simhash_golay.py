@@ -17,7 +17,7 @@ kept, and never the component's id unless all its doc_ids are null; repeated row
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -136,19 +136,35 @@ def links(fps: DataFrame) -> DataFrame:
     return plain.unionByName(near.join(fps.select(F.col("fp").alias("v")), "v", "left_semi").select("u", "v"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, fp, component_id: a row for each of docs."""
+def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints; and fp, root (of its component), first_id."""
     prints = save(with_fingerprints(docs), "simhash-prints")
     fps = save(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     found = components(save(links(fps), "simhash-links"))
-    of_fp = fps.join(found, fps.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
+    return prints, fps.join(found, fps.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, fp, component_id: a row for each of docs."""
+    prints, of_fp = _groups(docs)
     ids = of_fp.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return prints.join(of_fp.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without near copies (near_copies has their definition): of each component the row with the smallest doc_id stays, then that with the smallest hash of its text, then of its other columns."""
-    found = save(near_copies(docs), "near-components")
+def near_duplicates_or_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, component: components of both kinds of links, those of fingerprints and those of near_copies."""
+    found = save(near_copies(docs).select("doc_id", "text_hash", "component"), "near-components")
+    prints, of_fp = _groups(docs)
+    roots = prints.select("text_hash", "fp").distinct().join(of_fp.select("fp", "root"), "fp").select("text_hash", "root")
+    both = save(found.select("text_hash", "component").distinct().join(roots, "text_hash").select("root", "component").distinct(), "near-both")
+    least = both.groupBy("root").agg(F.min("component").alias("u"), F.max("component").alias("v")).filter("u < v").drop("v")
+    united = components(save(both.join(least, "root").filter("u < component").select("u", F.col("component").alias("v")).distinct(), "near-united"))
+    return found.join(united.select(F.col("node").alias("component"), "root"), "component", "left").select("doc_id", "text_hash", F.coalesce("root", "component").alias("component"))
+
+
+def keep_one(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_copies) -> DataFrame:
+    """docs without near copies (groups finds them: near_copies, or with the links of fingerprints near_duplicates_or_copies): of each component the row with the smallest doc_id stays, then that with the smallest hash of its text, then of its other columns."""
+    found = save(groups(docs), "near-groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     stay = found.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
     # one key of id and text, by which rows are dealt for the join and stay dealt for the window; never broadcast, as it grows with the data

@@ -234,6 +234,21 @@ def test_keep_one_leaves_no_pair_of_similar_texts(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
 
 
+def test_pipeline_follows_fingerprints_and_shingles(spark):
+    import corpus_pipeline
+
+    pick = random.Random(9)
+    # few different shingles are shared, but those are the most of the text: one fingerprint
+    chorus = ["red green blue " * 100 + " ".join(f"{name}{i}" for i in range(12)) for name in ("a", "b")]
+    words = [f"w{pick.randrange(5000)}" for _ in range(120)]
+    verse = [" ".join(words), " ".join("other" if i in (50, 51) else w for i, w in enumerate(words))]
+    rows = [(7, chorus[0]), (3, chorus[1]), (5, verse[0]), (6, verse[1]), (9, "one of its own kind"), (None, chorus[0])]
+    prints = [simhash_golay.fingerprint(t.encode()) for t in chorus + verse]
+    assert (prints[0] ^ prints[1]).bit_count() <= 2 < (prints[2] ^ prints[3]).bit_count()
+    kept = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 9]
+
+
 # 4
 def test_quality(spark, docs, empty, all_texts):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(37)] + [(21, 0, None), (None, 1, 1), (0, None, 0)], "doc_id bigint, quality int, toxic int")
