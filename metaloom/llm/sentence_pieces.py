@@ -97,6 +97,10 @@ class Pieces:
         #: Forward states that words shared with the word before, and all that they have.
         self.forward = [0, 0]
 
+    def forget(self) -> None:
+        """Empties the memos: a worker outlives its task, and would hold them while it does others' work."""
+        self.apart, self.words = {}, {}
+
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text, by merging the neighbours of best score, the first of equals, again and again."""
         symbols, scores = list(text), self.scores
@@ -212,15 +216,18 @@ def encode(docs: DataFrame, model_file: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = pieces(model)
-        for batch in batches:
-            at = 0
-            for texts in _over(batch.column("t")):
-                found = [np.frombuffer(x, np.int32) for x in coder.encode(texts)]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                decoded = pa.array([coder.decode(x.tolist()) for x in found], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), ids, decoded], ["doc_id", "ids", "decoded"])
-                at += len(texts)
+        try:
+            for batch in batches:
+                at = 0
+                for texts in _over(batch.column("t")):
+                    found = [np.frombuffer(x, np.int32) for x in coder.encode(texts)]
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                    decoded = pa.array([coder.decode(x.tolist()) for x in found], pa.string())
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), ids, decoded], ["doc_id", "ids", "decoded"])
+                    at += len(texts)
+        finally:
+            coder.forget()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).mapInArrow(run, f"doc_id {id_type}, ids array<int>, decoded string")
 

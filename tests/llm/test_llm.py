@@ -506,6 +506,20 @@ def test_piece_report(docs, empty, all_texts):
     assert {(r.doc_id, r.decoded) for r in sentence_pieces.encode(docs).collect()} == set(all_texts)
 
 
+def test_encoding_leaves_no_memo_in_workers(spark, docs):
+    import pyarrow as pa
+
+    model = open(sentence_pieces.default_model(), "rb").read()
+
+    def probe(batches):
+        for batch in batches:
+            coder = sentence_pieces.pieces(model)
+            yield pa.RecordBatch.from_arrays([pa.array([len(coder.words) + len(coder.apart)] * batch.num_rows)], ["n"])
+
+    assert sentence_pieces.encode(docs).filter("size(ids) > 0").count() > 0
+    assert {r.n for r in spark.range(0, 40, 1, 4).mapInArrow(probe, "n bigint").collect()} == {0}
+
+
 # 8
 def test_decontaminate(spark, docs, empty, all_texts, texts):
     w = WORDS.findall(texts[33].translate(UPPER))
