@@ -39,6 +39,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(saved: DataFrame) -> None:
+    """Removes what save() wrote, where nothing will read it again."""
+    spark = saved.sparkSession
+    for folder in {file.rpartition("/")[0] for file in saved.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """df.checkpoint(), for small tables inside loops."""
     context = df.sparkSession.sparkContext

@@ -1,25 +1,27 @@
 """Language-model scores from a hierarchical Pitman-Yor model of word pairs.
 
-Restaurants. The lexicon has the words that occur MIN_CONTEXT times or more in the training texts (if these are more than
-LEXICON, those above a higher count). Each word of the lexicon, and the start of a text, is a context with a restaurant of
-its own, whose dishes are the words that follow it: every pair of a context and a word is counted. All contexts share the
-root restaurant as parent. Its customers are the contexts' tables and the words after rarer words, which predict from the
-root; its base is uniform over the training words and one unknown word.
+Restaurants. Each word that occurs MIN_CONTEXT times or more in the training texts (1: every word), and the start of a text,
+is a context with a restaurant of its own, whose dishes are the words that follow it: every pair of a context and a word is
+counted. All contexts share the root restaurant as parent. Its customers are the contexts' tables and the words after words
+without a restaurant, which predict from the root; its base is uniform over the training words and one unknown word. The
+lexicon has the LEXICON most frequent of these words at most; it tells only where cells are kept and in which order they are
+swept. The cells of other words, the rarer ones, are in rows: those that follow a rarer context, and those of a rarer word.
 
 Seating. What a prediction needs of a seating is the number of tables of each cell (a restaurant and a dish). Gibbs sweeps
 take the tables of one cell away and draw their number anew from its full conditional given all other cells, which is
 S(n, t) x^t, where S are generalised Stirling numbers for the discount and x is what a new table has against the seated:
 the context's concentration and tables, times the root's probability of the word, both without the cell's own tables.
-Cells of more than LARGE customers get the expected number. A cell of one customer has one table. Sweeps of the lexicon's
-words run side by side over all cells, given the totals of the sweep before; those of rarer words run one cell after the
-other within a row, as such a word has fewer than MIN_CONTEXT cells. Of BURN_IN + SAMPLES sweeps the last SAMPLES count:
-their predictive probabilities are averaged.
+Cells of more than LARGE customers get the expected number. A cell of one customer has one table. Sweeps of pairs inside the
+lexicon run side by side over all cells, given the totals of the sweep before. Then those of rarer contexts, then those of
+rarer words run one cell after the other within a row. A rarer word after a rarer context has one table: its probability at
+the root is so low that a second one would hardly be drawn. Of BURN_IN + SAMPLES sweeps the last SAMPLES count: their
+predictive probabilities are averaged.
 
 Every draw takes its random number from the sweep, the word and the context alone, so results depend on nothing else.
 
 Spark. Counts are combined in each task before they are shuffled, by pair, so that no context or word fills a task. What is
 broadcast or comes to the driver has one entry a word of the lexicon, or PAIRS entries: for scoring, the most frequent
-pairs go to the tasks, and tokens of other pairs and of rarer words are joined with their cells.
+pairs go to the tasks, and tokens of other pairs are joined with their cell, or with the row of the rarer word or context.
 
 Words are 63 bits of their XXH64. Defined cases: a null text counts as empty (its one token is the end); a null doc_id is
 held out; repeated rows are counted and scored each; without training rows every probability is the base.
@@ -27,18 +29,20 @@ held out; repeated rows are counted and scored each; without training rows every
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import discard, save
 
-#: The least count of a word with a restaurant of its own, and the bound of the lexicon.
-MIN_CONTEXT, LEXICON = 200, 1_000_000
+#: The least count of a word with a restaurant of its own (1: every word), and the bound of the lexicon, which only tells where a restaurant is kept.
+MIN_CONTEXT, LEXICON = 1, 200_000
 #: Pairs whose probabilities are broadcast; a bound.
 PAIRS = 2_000_000
 BURN_IN, SAMPLES = 2, 3
@@ -47,13 +51,15 @@ SWEEPS = BURN_IN + SAMPLES
 LARGE = 100
 #: Concentrations of the contexts and of the root. The discounts are fitted: cells or words seen once, over those and twice those seen twice.
 CONCENTRATION, ROOT_CONCENTRATION = 1.0, 1.0
-#: Characters tokenised together, and cells gathered in a task before they are combined.
-SLICE, GATHER = 4_000_000, 3_000_000
+#: Characters tokenised together, cells gathered in a task before they are combined, and rows given to Spark together.
+SLICE, GATHER, ROWS = 4_000_000, 3_000_000, 100_000
 END = b"\n"
 SEED = 42
 ROOT = -2
 #: Keys from here on are a text's own, above those of all pairs.
 OWN = 1 << 62
+#: Words of the lexicon in the row of a rarer context are their numbers from here on; such a row's key is told from that of a rarer word by bits turned.
+WORD, TURN = 1 << 32, 0x2545F4914F6CDD1D
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
@@ -91,7 +97,7 @@ def _places(lexicon: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _contexts(words: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
-    """Of tokens as lexicon numbers: the context of each, -1 for none."""
+    """Of tokens: the word before each, start for the first of a text."""
     out = np.empty(len(words), np.int64)
     out[1:] = words[:-1]
     out[np.cumsum(lengths) - lengths] = start
@@ -132,54 +138,63 @@ def _most(table: DataFrame, least: int, bound: int) -> DataFrame:
     return some if above is None else some.filter(size > above)
 
 
-#: What a row of cells counts: a pair inside the lexicon (a is context << 32 | word), a rarer word after a context (a is the word's hash, b the context or -1), a word of the lexicon (a) after a rarer one.
-PAIR, RARE, DIRECT = 0, 1, 2
+#: What a row of cells counts: a pair inside the lexicon (a is context << 32 | word), a rarer word (a is its hash) after a context of the lexicon (b), what follows a rarer context (a is its hash; b is the word's number, or -1 - its hash).
+PAIR, RARE, AFTER = 0, 1, 2
 
 
-def cells(docs: DataFrame, lexicon: np.ndarray) -> DataFrame:
-    """kind, a, b, n: how often each training word follows each context."""
-    sent = docs.sparkSession.sparkContext.broadcast(lexicon)
+def cells(docs: DataFrame, sent: Broadcast) -> DataFrame:
+    """kind, a, b, n: how often each training word follows each context. Pairs of rarer words that only held-out texts have count 0. sent: the lexicon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, gathered, size = sent.value, [[], [], []], 0
 
-        def combined(kind: int) -> list[np.ndarray]:
-            columns = [np.concatenate([g[k] for g in gathered[kind]]) for k in range(3)]
-            order = np.lexsort((columns[1], columns[0])) if kind == RARE else np.argsort(columns[0], kind="stable")
-            a, b, n = (c[order] for c in columns)
-            new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-            return [a[new], b[new], np.add.reduceat(n, new)]
+        def combined(kind: int) -> tuple[np.ndarray, ...]:
+            """Of a kind, which is no longer gathered: a, b (of pairs none) and n."""
+            columns = [None if g[0] is None else np.concatenate(g) for g in zip(*gathered[kind])]
+            gathered[kind] = []
+            order = np.argsort(columns[0], kind="stable") if kind == PAIR else np.lexsort((columns[1], columns[0]))
+            a, b, n = (None if c is None else c[order] for c in columns)
+            new = a[1:] != a[:-1] if b is None else (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            new = np.flatnonzero(np.append(True, new))
+            return a[new], None if b is None else b[new], np.add.reduceat(n, new, dtype=np.int64)
 
         def out() -> Iterator[pa.RecordBatch]:
             for kind in range(3):
                 if gathered[kind]:
                     a, b, n = combined(kind)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b.astype(np.int32)), pa.array(n)], ["kind", "a", "b", "n"])
+                    for i in range(0, len(a), ROWS):
+                        some = slice(i, i + ROWS)
+                        size = len(a[some])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int8)), pa.array(a[some]), pa.array(np.full(size, -1) if b is None else b[some]), pa.array(n[some].astype(np.int64))], ["kind", "a", "b", "n"])
 
         for batch in batches:
-            for _, texts in _slices(batch):
+            held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
+            for first, texts in _slices(batch):
                 codes, hashes, lengths = _tokens(texts)
+                hashed = hashes[codes]
                 word = _places(known, hashes)[codes]
-                context = _contexts(word, lengths, len(known))
-                pair, rare, direct = (word >= 0) & (context >= 0), word < 0, (word >= 0) & (context < 0)
-                for kind, a, b in ((PAIR, context[pair] << 32 | word[pair], None), (RARE, hashes[codes[rare]], context[rare]), (DIRECT, word[direct], None)):
+                context, before = _contexts(word, lengths, len(known)), _contexts(hashed, lengths, 0)
+                n = np.repeat(~held_out[first : first + len(texts)], lengths).astype(np.int64)
+                pair, rare, after = (word >= 0) & (context >= 0) & (n > 0), (word < 0) & (context >= 0) & (n > 0), (context < 0) & ((n > 0) | (word < 0))
+                codes_after = np.where(word[after] >= 0, word[after], -1 - hashed[after])
+                for kind, a, b in ((PAIR, context[pair] << 32 | word[pair], None), (RARE, hashed[rare], context[rare]), (AFTER, before[after], codes_after)):
                     if len(a):
                         if b is None:
-                            a, n = np.unique(a, return_counts=True)
-                            b = np.full(len(a), -1)
+                            a, times = np.unique(a, return_counts=True)
                         else:
-                            n = np.ones(len(a), np.int64)
-                        gathered[kind].append((a, b, n))
+                            times = n[rare if kind == RARE else after]
+                        gathered[kind].append((a, b, times.astype(np.int32)))
                         size += len(a)
                 if size > GATHER:
-                    gathered = [[tuple(combined(kind))] if gathered[kind] else [] for kind in range(3)]
+                    del codes, hashes, hashed, word, context, before, n, pair, rare, after, codes_after, a, b, times
+                    gathered[:] = [[combined(kind)] if gathered[kind] else [] for kind in range(3)]
                     size = sum(len(g[0][0]) for g in gathered if g)
                     if size > GATHER // 2:
                         yield from out()
-                        gathered, size = [[], [], []], 0
+                        size = 0
         yield from out()
 
-    counts = _told(docs).filter("NOT held_out").mapInArrow(run, "kind tinyint, a bigint, b int, n bigint")
+    counts = _told(docs).mapInArrow(run, "kind tinyint, a bigint, b bigint, n bigint")
     return counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -247,7 +262,7 @@ class Model:
         self.lexicon, self.counts, self.n_tokens, self.n_words = lexicon, counts, n_tokens, n_words
         self.customers = np.zeros(len(lexicon) + 1)
         self.fixed_tables = np.zeros(len(lexicon) + 1)  # of cells that are not swept: of one customer, and of rarer words
-        self.direct = np.zeros(len(lexicon))  # root customers of words of the lexicon: after rarer words, and of cells of one customer
+        self.direct = np.zeros(len(lexicon))  # root customers of words of the lexicon: of cells of rarer contexts, and of cells of one customer
         self.rare_customers = self.rare_tables = 0.0
         self.discount = self.root_discount = 0.5
         #: Of each sweep (the first is the start): tables by context, root customers and root tables by word, all root customers and tables.
@@ -256,6 +271,14 @@ class Model:
         self.root_tables: list[np.ndarray] = []
         self.totals: list[tuple[float, float]] = []
 
+    def after(self, sweep: int) -> Model:
+        """What a sweep of pairs needs of the one before."""
+        out = copy.copy(self)
+        out.lexicon = out.counts = out.direct = out.fixed_tables = out.customers = None
+        for name in ("tables", "root_customers", "root_tables"):
+            setattr(out, name, [x if s == sweep else None for s, x in enumerate(getattr(self, name))])
+        return out
+
     def new_at_root(self, tables: np.ndarray | float) -> np.ndarray | float:
         return (ROOT_CONCENTRATION + self.root_discount * tables) / (self.n_words + 1)
 
@@ -283,18 +306,15 @@ class Model:
         return draw(np.rint(self.root_customers[sweep]).astype(np.int64), x, uniform(sweep, np.arange(len(self.lexicon)), ROOT), table, self.root_discount)
 
     def sweep_rare(self, word: np.ndarray, at: np.ndarray, context: np.ndarray, n: np.ndarray, tables: np.ndarray, root_table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rarer words, all sweeps: tables of each cell, summed over the samples, and by sample the words' customers and tables at the root. at: where each word's cells begin; a context -1 is the root."""
-        now = np.where(context < 0, n, 1).astype(float)
-        below, above = np.add.reduceat(now, at) if len(at) else np.zeros(0), np.ones(len(at))
+        """Rarer words, all sweeps: tables of each cell, summed over the samples, and by sample the words' customers and tables at the root. at: where each word's cells begin; a context -1 is the root, those below are rarer words."""
+        now = np.where(context == -1, n, np.minimum(n, 1)).astype(float)
+        below = np.add.reduceat(now, at) if len(at) else np.zeros(0)
+        above = np.minimum(below, 1)
         swept = np.flatnonzero((n > 1) & (context >= 0))
         of = np.searchsorted(at, swept, side="right") - 1
-        # the first swept cell of each word, then the second, and so on
-        rank = np.arange(len(swept)) - np.searchsorted(of, of)
-        order = np.argsort(rank, kind="stable")
-        rounds = np.split(order, np.cumsum(np.bincount(rank))[:-1]) if len(swept) else []
         sums, kept = np.zeros(len(n)), []
         for sweep in range(1, SWEEPS + 1):
-            for some in rounds:
+            for some in _rounds(of):
                 cell, row = swept[some], of[some]
                 x = (CONCENTRATION + self.discount * (self.tables[sweep][context[cell]] - 1)) * self.root(sweep, below[row], above[row], now[cell])
                 new = draw(n[cell], x, uniform(sweep, word[row], context[cell]), tables, self.discount)
@@ -307,17 +327,41 @@ class Model:
                 kept.append((below.copy(), above))
         return sums, np.stack([k[0] for k in kept], 1), np.stack([k[1] for k in kept], 1)
 
+    def sweep_after(self, context: np.ndarray, at: np.ndarray, word: np.ndarray, n: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rarer contexts, all sweeps: tables of each cell, summed over the samples, and of each context, their mean. at: where each context's cells begin; words below 0 are rarer ones, whose cells keep one table."""
+        now = np.minimum(n, 1).astype(float)
+        seated = np.add.reduceat(now, at) if len(at) else np.zeros(0)
+        swept = np.flatnonzero((n > 1) & (word >= 0))
+        of = np.searchsorted(at, swept, side="right") - 1
+        sums = np.zeros(len(n))
+        for sweep in range(1, SWEEPS + 1):
+            for some in _rounds(of):
+                cell, row = swept[some], of[some]
+                # at the root the cell counts as one customer
+                root = self.root(sweep, self.root_customers[sweep][word[cell]], self.root_tables[sweep][word[cell]], 1)
+                new = draw(n[cell], (CONCENTRATION + self.discount * (seated[row] - now[cell])) * root, uniform(sweep, word[cell], context[row]), tables, self.discount)
+                seated[row] += new - now[cell]
+                now[cell] = new
+            sums += now * (sweep > BURN_IN)
+        return sums, (np.add.reduceat(sums, at) if len(at) else np.zeros(0)) / SAMPLES
+
+
+def _rounds(of: np.ndarray) -> list[np.ndarray]:
+    """of: the row of each cell, ascending. The first cells of all rows, then the second, and so on."""
+    if not len(of):
+        return []
+    rank = np.arange(len(of)) - np.searchsorted(of, of)
+    return np.split(np.argsort(rank, kind="stable"), np.cumsum(np.bincount(rank))[:-1])
+
 
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def _vector(rows: list, size: int) -> np.ndarray:
-    """rows: place, value, null place left out."""
-    out = np.zeros(size)
-    for r in rows:
-        out[r[0]] += r[1]
-    return out
+def _vector(rows: DataFrame, size: int) -> np.ndarray:
+    """rows: place and value, size rows at most."""
+    found = rows.toArrow()
+    return _sums(found[0].to_numpy(), found[1].to_numpy(), size)
 
 
 def _context(key: str) -> Column:
@@ -328,49 +372,61 @@ def _word(key: str) -> Column:
     return F.col(key).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
-def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
-    """The model; key, n, tables (summed over samples) of pairs inside the lexicon; word, n, contexts, ns, tables (summed), customers and root_tables (by sample) of rarer words."""
+def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
+    """The model; key, n, tables (summed over samples) of pairs inside the lexicon; word, n, contexts, ns, tables (summed), customers and root_tables (by sample) of rarer words, and sizes and seated (the contexts' customers and tables, where these are rarer words); context, n, seated, words, ns, tables of rarer contexts."""
     spark = docs.sparkSession
     all_words = save(words(docs), "lm-words")
     n_words, n_tokens = all_words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     found = _most(all_words, MIN_CONTEXT, LEXICON).orderBy("word").toArrow()  # LEXICON rows at most
     model = Model(found["word"].to_numpy(), found["n"].to_numpy().astype(float), n_tokens, n_words)
-    table = save(cells(docs, model.lexicon), "lm-cells")
+    discard(all_words)
+    sent = spark.sparkContext.broadcast(model.lexicon)
+    table = save(cells(docs, sent), "lm-cells")
+    sent.destroy()
     pairs, size = table.filter(F.col("kind") == PAIR), len(model.lexicon)
-    context = F.when(F.col("kind") == PAIR, _context("a")).when(F.col("kind") == RARE, F.col("b"))
-    by_context = table.groupBy(context.alias("c")).agg(F.sum("n").alias("n"), F.count_if((F.col("n") == 1) | (F.col("kind") == RARE)).alias("fixed")).filter("c >= 0").collect()  # LEXICON + 1 rows at most, as the next two
-    model.customers, model.fixed_tables = _vector([(r.c, r.n) for r in by_context], size + 1), _vector([(r.c, r.fixed) for r in by_context], size + 1)
-    word = F.when(F.col("kind") == PAIR, _word("a")).otherwise(F.col("a").cast("int"))
-    fixed = table.filter((F.col("kind") == DIRECT) | ((F.col("kind") == PAIR) & (F.col("n") == 1))).groupBy(word.alias("w")).agg(F.sum("n").alias("n"))
-    model.direct = _vector(fixed.collect(), size)
-    struct = F.struct(F.col("b").alias("context"), "n")
-    rare = table.filter(F.col("kind") == RARE).groupBy(F.col("a").alias("word")).agg(F.sort_array(F.collect_list(struct)).alias("cells"), F.sum("n").alias("n"))
-    rare = save(rare.withColumn("below", F.aggregate("cells", F.lit(0).cast("bigint"), lambda s, c: s + F.when(c["context"] < 0, c["n"]).otherwise(1))), "lm-rare")
+    # a rarer context's cells are fewer than the least count of the lexicon, and the pairs of rarer words of held-out texts
+    after = table.filter(F.col("kind") == AFTER).groupBy(F.col("a").alias("context")).agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct(F.col("b").alias("word"), "n"))).alias("cells"))
+    after = save(after.filter("n > 0 OR exists(cells, c -> c.word < 0)"), "lm-after")
+    has_own = F.col("n") >= max(MIN_CONTEXT, 1)
+    followers = after.select(has_own.alias("has_own"), F.explode("cells").alias("c")).select("has_own", "c.*")
+    context = F.when(F.col("kind") == PAIR, _context("a")).when(F.col("kind") == RARE, F.col("b").cast("int"))
+    by_context = table.groupBy(context.alias("c")).agg(F.sum("n").alias("n"), F.count_if((F.col("n") == 1) | (F.col("kind") == RARE)).alias("fixed")).filter("c >= 0").toArrow()  # LEXICON + 1 rows at most, as all vectors
+    model.customers, model.fixed_tables = (_sums(by_context["c"].to_numpy(), by_context[c].to_numpy(), size + 1) for c in ("n", "fixed"))
+    of_pairs = pairs.filter("n = 1").select(_word("a").alias("w"), "n")
+    of_after = followers.filter("word >= 0").select(F.col("word").cast("int").alias("w"), F.when(F.col("has_own"), F.least("n", F.lit(1))).otherwise(F.col("n")).alias("n"))
+    model.direct = _vector(of_pairs.unionByName(of_after).groupBy("w").agg(F.sum("n")), size)
     once = lambda c, k: F.count_if(F.col(c) == k)
-    own = table.filter(context >= 0).agg(once("n", 1), once("n", 2)).first()
-    at_root = rare.agg(once("below", 1), once("below", 2), F.coalesce(F.sum("below"), F.lit(0)), F.count("*")).first()
-    model.discount, model.root_discount = _discount(*own), _discount(at_root[0], at_root[1])
+    own = table.filter(context >= 0).select("n").unionByName(followers.filter("has_own").select("n")).agg(once("n", 1), once("n", 2)).first()
+    model.discount = _discount(*own)
+    # customers at the root of rarer words, with one table a cell
+    rarer = table.filter(F.col("kind") == RARE).select(F.col("a").alias("word"), F.lit(1).cast("bigint").alias("below"))
+    rarer = rarer.unionByName(followers.filter("word < 0").select((-1 - F.col("word")).alias("word"), F.when(F.col("has_own"), F.least("n", F.lit(1))).otherwise(F.col("n")).alias("below")))
+    at_root = rarer.groupBy("word").agg(F.sum("below").alias("below")).agg(once("below", 1), once("below", 2), F.coalesce(F.sum("below"), F.lit(0)), F.count_if(F.col("below") > 0)).first()
     model.rare_customers, model.rare_tables = float(at_root[2]), float(at_root[3])
-    own_table, root_table = stirling(model.discount), stirling(model.root_discount)
+    own_table = stirling(model.discount)
 
-    def begin(by_context: list, by_word: list) -> None:
+    def begin(by_context: np.ndarray, by_word: np.ndarray) -> None:
         """Totals from the tables of the swept cells."""
-        model.tables.append(model.fixed_tables + _vector(by_context, size + 1))
-        model.root_customers.append(model.direct + _vector(by_word, size))
+        model.tables.append(model.fixed_tables + by_context)
+        model.root_customers.append(model.direct + by_word)
 
     def close(root_tables: np.ndarray) -> None:
         model.root_tables.append(root_tables)
         model.totals.append((model.root_customers[-1].sum() + model.rare_customers, root_tables.sum() + model.rare_tables))
 
-    def sums(swept: DataFrame) -> tuple[list, list]:
-        by = lambda c: swept.groupBy(c.alias("place")).agg(F.sum("now").alias("t")).collect()
-        return by(_context("key")), by(_word("key"))
+    def sums(swept: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        by = lambda c, size: _vector(swept.groupBy(c.alias("place")).agg(F.sum("now")), size)
+        return by(_context("key"), size + 1), by(_word("key"), size)
 
     swept = save(pairs.filter("n > 1").select(F.col("a").alias("key"), "n", F.lit(1.0).alias("now"), F.lit(0.0).alias("tables")), "lm-pairs")
     begin(*sums(swept))
     close(np.minimum(model.root_customers[0], 1))
+    # fitted over all words; where rarer ones have no restaurant, over those
+    seen = model.root_customers[0] if MIN_CONTEXT <= 1 else np.zeros(0)
+    model.root_discount = _discount(at_root[0] + int((seen == 1).sum()), at_root[1] + int((seen == 2).sum()))
+    root_table = stirling(model.root_discount)
     for sweep in range(1, SWEEPS + 1):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast(model.after(sweep - 1))
 
         def run(batches: Iterator[pa.RecordBatch], sweep: int = sweep, sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -379,41 +435,79 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
                     new = sent.value.sweep_pairs(sweep, key, n, now, own_table)
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new), pa.array(before + new * (sweep > BURN_IN))], ["key", "n", "now", "tables"])
 
-        swept = save(swept.mapInArrow(run, "key bigint, n bigint, now double, tables double"), "lm-sweep")
+        last, swept = swept, save(swept.mapInArrow(run, "key bigint, n bigint, now double, tables double"), "lm-sweep")
+        discard(last)
+        sent.destroy()
         begin(*sums(swept))
         close(model.sweep_root(sweep, root_table))
-    rare = save(_rare(rare, model, own_table, root_table), "lm-rare-swept")
+    sent = spark.sparkContext.broadcast(model)
+    own_after = save(_after(after.filter(has_own), sent, own_table), "lm-after-swept")
+    sent.destroy()
+    followers = own_after.select("context", F.col("n").alias("size"), "seated", F.explode(F.arrays_zip("words", "ns", "tables")).alias("c")).select("context", "size", "seated", "c.*")
+    # the samples' customers at the root, now with the tables that rarer contexts have: like those of rarer words, these count with their mean
+    more = _vector(followers.filter("words >= 0").groupBy(F.col("words").cast("int")).agg(F.sum(F.col("tables") / SAMPLES - F.least("ns", F.lit(1)))), size)
+    for sweep in range(BURN_IN + 1, SWEEPS + 1):
+        model.root_customers[sweep] = model.root_customers[sweep] + more
+    struct = F.struct("context", "n", "size", "seated")
+    none = [F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("double").alias("seated")]
+    rare = table.filter(F.col("kind") == RARE).select(F.col("a").alias("word"), F.col("b").alias("context"), "n", *none)
+    rare = rare.unionByName(followers.filter("words < 0").select((-1 - F.col("words")).alias("word"), (-2 - F.col("context")).alias("context"), F.col("ns").alias("n"), "size", "seated"))
+    at_once = after.filter(~has_own).select(F.explode("cells").alias("c")).select("c.*").filter("word < 0").groupBy((-1 - F.col("word")).alias("word")).agg(F.lit(-1).cast("bigint").alias("context"), F.sum("n").alias("n"))
+    rare = rare.unionByName(at_once.select("word", "context", "n", *none)).groupBy("word").agg(F.sort_array(F.collect_list(struct)).alias("cells"), F.sum("n").alias("n"))
+    sent = spark.sparkContext.broadcast(model)
+    rare = save(_rare(rare, sent, own_table, root_table), "lm-rare-swept")
+    sent.destroy()
+    discard(after)
     # the samples' totals, now with the tables that rarer words have
     sampled = [F.sum(F.get(c, F.lit(s))) for c in ("customers", "root_tables") for s in range(SAMPLES)]
     of_rare = rare.agg(*(F.coalesce(x, F.lit(0.0)) for x in sampled)).first()
     cell = rare.select(F.explode(F.arrays_zip("contexts", "tables")).alias("c")).select("c.*").filter("contexts >= 0")
-    more = _vector(cell.groupBy("contexts").agg(F.sum(F.col("tables") / SAMPLES - 1)).collect(), size + 1)
+    more = _vector(cell.groupBy("contexts").agg(F.sum(F.col("tables") / SAMPLES - 1)), size + 1)
     for s in range(SAMPLES):
         sweep = BURN_IN + 1 + s
         model.tables[sweep] = model.tables[sweep] + more
         model.totals[sweep] = (model.root_customers[sweep].sum() + of_rare[s], model.root_tables[sweep].sum() + of_rare[SAMPLES + s])
     singles = pairs.filter("n = 1").select(F.col("a").alias("key"), "n", F.lit(float(SAMPLES)).alias("tables"))
-    return model, swept.select("key", "n", "tables").unionByName(singles), rare
+    return model, swept.select("key", "n", "tables").unionByName(singles), rare, own_after
+
+
+def _inner(cell: pa.ListArray) -> tuple[np.ndarray, pa.StructArray]:
+    """Where each row's structs begin and the last ends, and all of them."""
+    offsets = cell.offsets.to_numpy()
+    return offsets - offsets[0], cell.flatten()
+
+
+def _lists(values: np.ndarray | pa.Array, at: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def _after(after: DataFrame, sent: Broadcast, own_table: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ends, inner = _inner(batch.column("cells"))
+                word, n = inner.field("word").to_numpy(), inner.field("n").to_numpy()
+                tables, seated = sent.value.sweep_after(batch.column("context").to_numpy(), ends[:-1], word, n, own_table)
+                columns = [batch.column("context"), batch.column("n"), pa.array(seated), _lists(word, ends), _lists(n, ends), _lists(tables, ends)]
+                yield pa.RecordBatch.from_arrays(columns, ["context", "n", "seated", "words", "ns", "tables"])
 
+    return after.select("context", "n", "cells").mapInArrow(run, "context bigint, n bigint, seated double, words array<bigint>, ns array<bigint>, tables array<double>")
 
-def _rare(rare: DataFrame, model: Model, own_table: np.ndarray, root_table: np.ndarray) -> DataFrame:
-    sent = rare.sparkSession.sparkContext.broadcast(model)
 
+def _rare(rare: DataFrame, sent: Broadcast, own_table: np.ndarray, root_table: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cell = batch.column("cells")
-            offsets, inner = cell.offsets.to_numpy(), cell.flatten()
+            ends, inner = _inner(batch.column("cells"))
             context, n = inner.field("context").to_numpy(), inner.field("n").to_numpy()
-            ends = offsets - offsets[0]
-            tables, below, above = sent.value.sweep_rare(batch.column("word").to_numpy(), ends[:-1], context.astype(np.int64), n, own_table, root_table)
-            lists = lambda values, at: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values))
+            tables, below, above = sent.value.sweep_rare(batch.column("word").to_numpy(), ends[:-1], context, n, own_table, root_table)
             each = np.arange(0, SAMPLES * batch.num_rows + 1, SAMPLES)
-            columns = [batch.column("word"), batch.column("n"), lists(context, ends), lists(n, ends), lists(tables, ends), lists(below.ravel(), each), lists(above.ravel(), each)]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "n", "contexts", "ns", "tables", "customers", "root_tables"])
+            columns = [batch.column("word"), batch.column("n"), *(_lists(x, ends) for x in (context, n, tables, inner.field("size"), inner.field("seated"))), _lists(below.ravel(), each), _lists(above.ravel(), each)]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "n", "contexts", "ns", "tables", "sizes", "seated", "customers", "root_tables"])
 
-    return rare.select("word", "n", "cells").mapInArrow(run, "word bigint, n bigint, contexts array<int>, ns array<bigint>, tables array<double>, customers array<double>, root_tables array<double>")
+    schema = "word bigint, n bigint, contexts array<bigint>, ns array<bigint>, tables array<double>, sizes array<bigint>, seated array<double>, customers array<double>, root_tables array<double>"
+    return rare.select("word", "n", "cells").mapInArrow(run, schema)
 
 
 class Predictions:
@@ -452,76 +546,85 @@ class Predictions:
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each of docs."""
-    model, pairs, rare = fit(docs)
+    model, pairs, rare, after = fit(docs)
     told = Predictions(model)
     base = lambda n: np.log10((n + 0.1) / (model.n_tokens + 0.1 * (model.n_words + 1)))
     head = _most(pairs, 2, PAIRS).orderBy("key").toArrow()  # PAIRS rows at most
     head_keys = head["key"].to_numpy()
     head_log = np.log10(told.of_pairs(head_keys, head["n"].to_numpy(), head["tables"].to_numpy()))
-    sent = docs.sparkSession.sparkContext.broadcast((told, head_keys, head_log, base(model.counts)))
-    names = ["k", "row", "context", "times", "own"]
+    sent = docs.sparkSession.sparkContext.broadcast((model.lexicon, head_keys, head_log, base(model.counts)))
+    names = ["k", "row", "other", "times", "own"]
     of_text = ["doc_id", "held_out", "n_tokens", "n_known", "base", "log"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told, head_keys, head_log, log_base = sent.value
-        lexicon = told.model.lexicon
-        alone = np.log10(told.root.mean(0))
+        lexicon, head_keys, head_log, log_base = sent.value
         for batch in batches:
             for first, texts in _slices(batch):
                 codes, hashes, lengths = _tokens(texts)
                 word = _places(lexicon, hashes)[codes]
-                context, of, n = _contexts(word, lengths, len(lexicon)), np.repeat(np.arange(len(texts)), lengths), len(texts)
-                known, direct, pair = word >= 0, (word >= 0) & (context < 0), (word >= 0) & (context >= 0)
+                hashed = hashes[codes]
+                context, before = _contexts(word, lengths, len(lexicon)), _contexts(hashed, lengths, 0)
+                of, n = np.repeat(np.arange(len(texts)), lengths), len(texts)
+                known, follows, pair = word >= 0, (word >= 0) & (context < 0), (word >= 0) & (context >= 0)
                 key = context[pair] << 32 | word[pair]
                 place = _places(head_keys, key)
                 is_head = place >= 0
-                log = _sums(of[direct], alone[word[direct]], n) + _sums(of[pair][is_head], head_log[place[is_head]], n)
+                log = _sums(of[pair][is_head], head_log[place[is_head]], n)
                 some = batch.slice(first, n)
                 # a key of its own, which meets nothing, keeps a text's own row from those that share one
                 row = some.column("row").to_numpy()
                 own = [some.column("doc_id"), some.column("held_out"), pa.array(lengths), pa.array(_sums(of[known], np.ones(known.sum()), n).astype(np.int64)), pa.array(_sums(of[known], log_base[word[known]], n)), pa.array(log)]
                 own = pa.StructArray.from_arrays(own, of_text)
-                yield pa.RecordBatch.from_arrays([pa.array(OWN + row), pa.array(row), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), own], names)
+                yield pa.RecordBatch.from_arrays([pa.array(OWN + row), pa.array(row), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), own], names)
                 # tokens that are scored by a join; sorted by key they stay in the order of texts, so those of a text and a cell stand together
-                rest = ~(direct | pair)
-                k = np.concatenate([key[~is_head], -1 - hashes[codes[rest]]])
-                who = np.concatenate([of[pair][~is_head], of[rest]])
-                after = np.concatenate([np.full((~is_head).sum(), -1), context[rest]])
-                order = np.argsort(k, kind="stable")
+                rest = word < 0
+                k = np.concatenate([key[~is_head], -1 - hashed[rest], -1 - (before[follows] ^ TURN)])
+                who = np.concatenate([of[pair][~is_head], of[rest], of[follows]])
+                after = np.concatenate([np.full((~is_head).sum(), -1), np.where(context[rest] >= 0, context[rest], -2 - before[rest]), WORD + word[follows]])
+                order = np.lexsort((after, who, k))
                 k, who, after = k[order], who[order], after[order]
                 new = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (k[1:] != k[:-1]) | (after[1:] != after[:-1]))) if len(k) else np.zeros(0, np.int64)
                 times = np.diff(np.append(new, len(k))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(row[who[new]]), pa.array(after[new].astype(np.int32)), pa.array(times), pa.nulls(len(new), own.type)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(row[who[new]]), pa.array(after[new]), pa.array(times), pa.nulls(len(new), own.type)], names)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"k bigint, row bigint, context int, times int, own struct<doc_id: {id_type}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, log: double>"
+    schema = f"k bigint, row bigint, other bigint, times int, own struct<doc_id: {id_type}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, log: double>"
     tokens = _told(docs).mapInArrow(run, schema)
-    # the cells of both kinds under one key: pairs as they are, rarer words by the complement of their hash
+    # the cells of all kinds under one key: pairs as they are, rarer words by the complement of their hash, rarer contexts by that of the turned hash
     none = lambda kind: F.lit(None).cast(kind)
-    lists = {"contexts": "array<int>", "ns": "array<bigint>", "ts": "array<double>"}
+    lists = {"others": "array<bigint>", "ns": "array<bigint>", "ts": "array<double>", "sizes": "array<bigint>", "seats": "array<double>"}
+    of_row = {"tables": "double", "size": "bigint", "seated": "double"}
     roots = [f"root{s}" for s in range(SAMPLES)]
-    known = pairs.select(F.col("key").alias("k"), F.col("n").alias("total"), "tables", *(none(kind).alias(c) for c, kind in lists.items()), *(none("double").alias(c) for c in roots))
+    empty = lambda kinds, *but: [none(kind).alias(c) for c, kind in kinds.items() if c not in but]
+    known = pairs.select(F.col("key").alias("k"), F.col("n").alias("total"), "tables", *empty(of_row, "tables"), *empty(lists), *(none("double").alias(c) for c in roots))
     of_rare = [told.of_root(s, F.get("customers", F.lit(s)), F.get("root_tables", F.lit(s))) for s in range(SAMPLES)]
-    rarer = rare.select((-1 - F.col("word")).alias("k"), F.col("n").alias("total"), none("double").alias("tables"), "contexts", "ns", F.col("tables").alias("ts"), *(x.alias(c) for x, c in zip(of_rare, roots)))
-    is_own, is_pair, after = F.col("k") >= OWN, F.col("k") >= 0, F.col("context") >= 0
-    place = F.when(after & ~is_pair, F.array_position("contexts", F.col("context")).cast("int"))
+    cells_of_rare = [F.col("contexts").alias("others"), F.col("ns"), F.col("tables").alias("ts"), F.col("sizes"), F.col("seated").alias("seats")]
+    rarer = rare.select((-1 - F.col("word")).alias("k"), F.col("n").alias("total"), *empty(of_row), *cells_of_rare, *(x.alias(c) for x, c in zip(of_rare, roots)))
+    cells_of_after = [F.transform("words", lambda w: w + WORD).alias("others"), F.col("ns"), F.col("tables").alias("ts"), *empty({c: lists[c] for c in ("sizes", "seats")})]
+    follow = after.select((-1 - F.col("context").bitwiseXOR(F.lit(TURN))).alias("k"), F.col("n").alias("total"), *empty(of_row, "size", "seated"), F.col("n").alias("size"), "seated", *cells_of_after, *(none("double").alias(c) for c in roots))
+    is_own, is_pair, is_after = F.col("k") >= OWN, F.col("k") >= 0, (F.col("k") < 0) & (F.col("other") >= WORD)
+    place = F.when(~is_pair, F.array_position("others", F.col("other")).cast("int"))
     at = lambda c: F.when(place > 0, F.get(c, place - 1))
-    met = tokens.join(known.unionByName(rarer).hint("merge"), "k", "left").select(
-        "k", "row", "times", "own", F.coalesce("total", F.lit(0)).alias("total"), *roots,
+    met = tokens.join(known.unionByName(rarer).unionByName(follow).hint("merge"), "k", "left").select(
+        "k", "row", "times", "own", "other", F.coalesce("total", F.lit(0)).alias("total"), *roots,
         F.coalesce(F.when(is_pair, F.col("total")).otherwise(at("ns")), F.lit(0)).alias("n"), F.coalesce(F.when(is_pair, F.col("tables")).otherwise(at("ts")), F.lit(0.0)).alias("tables"),
-        F.when(is_pair & ~is_own, _context("k")).when(after, F.col("context")).alias("c"), F.when(is_pair & ~is_own, _word("k")).alias("w"),
+        F.coalesce("size", at("sizes"), F.lit(0)).alias("size"), F.coalesce("seated", at("seats"), F.lit(0.0)).alias("seated"),
+        F.when(is_pair & ~is_own, _context("k")).when(~is_own & F.col("other").between(0, WORD - 1), F.col("other").cast("int")).alias("c"),
+        F.when(is_pair & ~is_own, _word("k")).when(is_after, (F.col("other") - WORD).cast("int")).alias("w"),
     )
     by_context, by_word = told.tables(docs.sparkSession)  # LEXICON + 1 rows at most
     met = met.join(F.broadcast(by_context), "c", "left").join(F.broadcast(by_word), "w", "left")
     alone = [told.of_root(s, F.lit(0.0), F.lit(0.0)) for s in range(SAMPLES)]
     root = [F.coalesce(f"word{s}", f"root{s}", alone[s]) for s in range(SAMPLES)]
-    lower = sum(F.coalesce(f"backoff{s}", F.lit(1.0)) * root[s] for s in range(SAMPLES)) / SAMPLES
-    p = F.greatest(F.col("n") - model.discount / SAMPLES * F.col("tables"), F.lit(0.0)) / (CONCENTRATION + F.coalesce("customers", F.lit(0.0))) + lower
+    # a rarer context has its customers and tables beside the cell, an unknown one has none
+    rarer_backoff = (CONCENTRATION + model.discount * F.col("seated")) / (CONCENTRATION + F.col("size"))
+    lower = sum(F.coalesce(f"backoff{s}", rarer_backoff) * root[s] for s in range(SAMPLES)) / SAMPLES
+    p = F.greatest(F.col("n") - model.discount / SAMPLES * F.col("tables"), F.lit(0.0)) / (CONCENTRATION + F.coalesce("customers", "size")) + lower
     of_token = F.log10((F.col("total") + 0.1) / (model.n_tokens + 0.1 * (model.n_words + 1)))
     first = lambda c: F.max(f"own.{c}").alias(c)
     each = lambda own, token: F.sum(F.when(is_own, F.col(f"own.{own}")).otherwise(token))
     out = met.groupBy("row").agg(
-        first("doc_id"), first("held_out"), first("n_tokens"), each("n_known", F.when(~is_pair & (F.col("total") > 0), F.col("times")).otherwise(0)).alias("n_known"),
-        each("base", F.when(is_pair, 0.0).otherwise(F.col("times") * of_token)).alias("base_score"), each("log", F.col("times") * F.log10(p)).alias("score"),
+        first("doc_id"), first("held_out"), first("n_tokens"), each("n_known", F.when(~is_pair & ~is_after & (F.col("total") > 0), F.col("times")).otherwise(0)).alias("n_known"),
+        each("base", F.when(is_pair | is_after, 0.0).otherwise(F.col("times") * of_token)).alias("base_score"), each("log", F.col("times") * F.log10(p)).alias("score"),
     )
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

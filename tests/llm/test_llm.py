@@ -737,6 +737,102 @@ def test_language_model_without_training_rows(spark):
         assert r.score == pytest.approx(0) and r.train_tokens == 0 and r.held_out
 
 
+def test_every_context_has_a_restaurant(spark, monkeypatch):
+    """Beyond the lexicon too: all cells are counted, tables are customers of the root, and each context's probabilities sum to 1."""
+    py, hashed = pitman_yor, lambda w: xxhash.xxh64_intdigest(w.encode(), 42) >> 1
+    monkeypatch.setattr(py, "LEXICON", 20)
+    monkeypatch.setattr(py, "PAIRS", 30)
+    pick = random.Random(5)
+    texts = [" ".join(f"w{min(int(pick.paretovariate(0.5)), pick.randrange(50, 120))}" for _ in range(pick.randrange(40))) for _ in range(120)]
+    texts += ["qa qb qc w1 " * 9, "qa qb new qa w2 newer qc"] + texts[:30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    told = [(i, zlib.crc32(str(i).encode()) % 10 == 0, t.split() + ["\n"]) for i, t in enumerate(texts)]
+    assert 2 < sum(held for _, held, _ in told) < 60
+    of = lambda words: list(zip([None] + words[:-1], words))
+    want = collections.Counter(p for _, held, words in told if not held for p in of(words))
+    name = {hashed(w): w for _, _, words in told for w in words}
+
+    model, pairs, rare, after = py.fit(docs)
+    listed = [name[h] for h in model.lexicon.tolist()] + [None]
+    assert len(listed) <= 21
+    n, tables, root = {}, {}, {w: [] for w in listed[:-1]}
+    for r in pairs.collect():
+        cell = listed[r.key >> 32], listed[r.key & 0xFFFFFFFF]
+        n[cell], tables[cell] = r.n, r.tables / py.SAMPLES
+    for r in after.collect():
+        for w, k, t in zip(r.words, r.ns, r.tables):
+            cell = name[r.context], listed[w] if w >= 0 else name[-1 - w]
+            n[cell], tables[cell] = k, t / py.SAMPLES
+    assert sum(u is not None and u not in listed and k > 1 and tables[u, w] > 1 for (u, w), k in n.items()) > 5
+    for r in rare.collect():
+        root[name[r.word]] = list(zip(r.customers, r.root_tables))
+        for u, k, t in zip(r.contexts, r.ns, r.tables):
+            cell = listed[u] if u >= 0 else name.get(-2 - u), name[r.word]
+            assert u >= 0 or u == -1 or (n[cell], tables[cell]) == (k, t / py.SAMPLES)
+            if u >= 0:
+                n[cell], tables[cell] = k, t / py.SAMPLES
+    assert {c: k for c, k in n.items() if k} == want and all(min(k, 1) <= tables[c] <= k for c, k in n.items())
+
+    kept = range(py.BURN_IN + 1, py.SWEEPS + 1)
+    for w, i in zip(listed[:-1], range(len(listed))):
+        root[w] = [(model.root_customers[s][i], model.root_tables[s][i]) for s in kept]
+    known = {w for _, w in want}
+    for w in known:
+        assert sum(c for c, _ in root[w]) / py.SAMPLES == pytest.approx(sum(t for (_, x), t in tables.items() if x == w))
+    size, seated = collections.Counter(), collections.Counter()
+    for (u, w), k in n.items():
+        size[u] += k
+        seated[u] += tables[u, w]
+    for i, u in enumerate(listed):
+        assert sum(model.tables[s][i] for s in kept) / py.SAMPLES == pytest.approx(seated[u])
+    d, d0, v = model.discount, model.root_discount, len(known)
+    totals = [[sum(root[w][s][k] for w in known) for k in range(2)] for s in range(py.SAMPLES)]
+
+    def p(u, w):
+        total = 0.0
+        for s, sweep in enumerate(kept):
+            c, t = root[w][s] if w in known else (0, 0)
+            at_root = (max(c - d0 * min(t, c), 0) + (py.ROOT_CONCENTRATION + d0 * totals[s][1]) / (v + 1)) / (py.ROOT_CONCENTRATION + totals[s][0])
+            t_u = model.tables[sweep][listed.index(u)] if u in listed else seated[u]
+            total += (py.CONCENTRATION + d * t_u) * at_root / (py.CONCENTRATION + size[u])
+        return total / py.SAMPLES + max(n.get((u, w), 0) - d * tables.get((u, w), 0), 0) / (py.CONCENTRATION + size[u])
+
+    rarer = [w for w in known if w not in listed]
+    assert len(rarer) > 40 and {"qa", "qb"} & set(rarer)
+    for u in [None, *listed[:3], *rarer[:20], "qa", "not there"]:
+        assert sum(p(u, w) for w in known) + p(u, "not there") == pytest.approx(1, rel=1e-9)
+    # cells handed over in small pieces
+    monkeypatch.setattr(py, "GATHER", 300)
+    monkeypatch.setattr(py, "ROWS", 7)
+    out = {r.doc_id: r.score for r in py.score(docs.repartition(3)).collect()}
+    for i, _, words in told:
+        assert out[i] == pytest.approx(sum(math.log10(p(u, w)) for u, w in of(words)), rel=1e-9)
+
+
+def test_tables_of_rarer_contexts_are_drawn_one_cell_after_the_other():
+    py, pick = pitman_yor, np.random.default_rng(4)
+    model = py.Model(np.arange(6), np.ones(6), 900, 50)
+    model.discount, model.root_discount, model.customers = 0.6, 0.7, np.full(7, 30.0)
+    for _ in range(py.SWEEPS + 1):
+        model.root_customers.append(pick.integers(20, 90, 6).astype(float))
+        model.root_tables.append(np.full(6, 2.0))
+        model.totals.append((400.0, 60.0))
+    context, at = np.array([77, 78, 79]), np.array([0, 4, 5])
+    word, n = np.array([0, 1, 2, -9, 3, -8, 0, 5]), np.array([9, 1, 150, 7, 20, 0, 4, 2])
+    sums, seated = model.sweep_after(context, at, word, n, py.stirling(0.6))
+    for row, (a, b) in enumerate([(0, 4), (4, 5), (5, 8)]):
+        now, want = [float(min(k, 1)) for k in n[a:b]], [0.0] * (b - a)
+        for sweep in range(1, py.SWEEPS + 1):
+            for j in range(a, b):
+                if n[j] > 1 and word[j] >= 0:
+                    root = (model.root_customers[sweep][word[j]] - 1 - 0.7 * 2 + (py.ROOT_CONCENTRATION + 0.7 * 60) / 51) / (py.ROOT_CONCENTRATION + 400 - 1)
+                    x = (py.CONCENTRATION + 0.6 * (sum(now) - now[j - a])) * root
+                    now[j - a] = py.draw(n[j : j + 1], np.array([x]), py.uniform(sweep, word[j : j + 1], context[row]), py.stirling(0.6), 0.6)[0]
+            want = [t + x * (sweep > py.BURN_IN) for t, x in zip(want, now)]
+        assert sums[a:b] == pytest.approx(want) and seated[row] == pytest.approx(sum(want) / py.SAMPLES)
+    assert sums[0] > py.SAMPLES
+
+
 # the pipeline
 def test_pipeline_stages(spark, docs, texts, tmp_path):
     import corpus_pipeline
