@@ -22,6 +22,7 @@ Every draw takes its random number from the sweep, the word and the context alon
 Spark. Counts are combined in each task before they are shuffled, by pair, so that no context or word fills a task. What is
 broadcast or comes to the driver has one entry a word of the lexicon, or PAIRS entries: for scoring, the most frequent
 pairs go to the tasks, and tokens of other pairs are joined with their cell, or with the row of the rarer word or context.
+Probabilities are computed once a cell, in tasks; what the driver gets of the most frequent pairs is compressed there.
 
 Words are 63 bits of their XXH64. Defined cases: a null text counts as empty (its one token is the end); a null doc_id is
 held out; repeated rows are counted and scored each; without training rows every probability is the base.
@@ -29,6 +30,7 @@ held out; repeated rows are counted and scored each; without training rows every
 
 from __future__ import annotations
 
+import contextlib
 import copy
 from collections.abc import Iterator
 
@@ -84,7 +86,7 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         words.append(END)
         lengths.append(len(own) + 1)
     coded = pa.array(words, pa.binary()).dictionary_encode()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in coded.dictionary.to_pylist()), np.uint64) >> np.uint64(1)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in coded.dictionary.to_numpy(zero_copy_only=False)), np.uint64, len(coded.dictionary)) >> np.uint64(1)
     return coded.indices.to_numpy(), hashes.astype(np.int64), np.array(lengths)
 
 
@@ -92,8 +94,13 @@ def _places(lexicon: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The number of each word in the sorted lexicon, -1 for others."""
     if not len(lexicon):
         return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(lexicon, hashes), len(lexicon) - 1)
-    return np.where(lexicon[at] == hashes, at, -1)
+    # looked up in ascending order, which reads the lexicon once and in order
+    order = np.argsort(hashes)
+    ascending = hashes[order]
+    at = np.minimum(np.searchsorted(lexicon, ascending), len(lexicon) - 1)
+    out = np.empty(len(hashes), np.int64)
+    out[order] = np.where(lexicon[at] == ascending, at, -1)
+    return out
 
 
 def _contexts(words: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
@@ -108,6 +115,36 @@ def _sums(where: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(where, values, size).astype(float)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in batches of ROWS rows or a little more."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        some.append(batch)
+        if sum(x.num_rows for x in some) >= ROWS:
+            yield pa.concat_batches(some)
+            some = []
+    if sum(x.num_rows for x in some):
+        yield pa.concat_batches(some)
+
+
+def _handed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """batch in pieces of a tenth of ROWS, so that Spark holds little of it at once."""
+    for i in range(0, batch.num_rows, max(ROWS // 10, 1)):
+        yield batch.slice(i, max(ROWS // 10, 1))
+
+
+@contextlib.contextmanager
+def _removed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What actions in here shuffle is removed from disk as each ends, and not when the driver comes to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _told(docs: DataFrame) -> DataFrame:
     remainder = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)), F.lit(0))
     return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), (remainder == 0).alias("held_out"), F.coalesce("text", F.lit("")).cast("binary").alias("t"))
@@ -125,8 +162,8 @@ def words(docs: DataFrame) -> DataFrame:
     return _told(docs).filter("NOT held_out").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _most(table: DataFrame, least: int, bound: int) -> DataFrame:
-    """The rows with n of least or more, or of more than that so that they are at most bound: a histogram of the counts' logarithms tells."""
+def _most(table: DataFrame, least: int, bound: int) -> Column:
+    """Of rows: whether n is least or more, or more than that so that they are at most bound: a histogram of the counts' logarithms tells."""
     size = F.floor(F.log2("n") * 16).cast("int")
     total, above = 0, None
     for r in sorted(table.filter(F.col("n") >= least).groupBy(size.alias("size")).count().collect(), reverse=True):  # 64 * 16 rows at most
@@ -134,8 +171,7 @@ def _most(table: DataFrame, least: int, bound: int) -> DataFrame:
         if total > bound:
             above = r["size"]
             break
-    some = table.filter(F.col("n") >= least)
-    return some if above is None else some.filter(size > above)
+    return F.col("n") >= least if above is None else (F.col("n") >= least) & (size > above)
 
 
 #: What a row of cells counts: a pair inside the lexicon (a is context << 32 | word), a rarer word (a is its hash) after a context of the lexicon (b), what follows a rarer context (a is its hash; b is the word's number, or -1 - its hash).
@@ -143,20 +179,24 @@ PAIR, RARE, AFTER = 0, 1, 2
 
 
 def cells(docs: DataFrame, sent: Broadcast) -> DataFrame:
-    """kind, a, b, n: how often each training word follows each context. Pairs of rarer words that only held-out texts have count 0. sent: the lexicon."""
+    """kind, a, b, n: how often each training word follows each context. Pairs with rarer words that only held-out texts have count 0. sent: the lexicon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, gathered, size = sent.value, [[], [], []], 0
 
-        def combined(kind: int) -> tuple[np.ndarray, ...]:
+        def combined(kind: int) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
             """Of a kind, which is no longer gathered: a, b (of pairs none) and n."""
-            columns = [None if g[0] is None else np.concatenate(g) for g in zip(*gathered[kind])]
+            columns = [np.concatenate(c) for c in zip(*gathered[kind])]
             gathered[kind] = []
-            order = np.argsort(columns[0], kind="stable") if kind == PAIR else np.lexsort((columns[1], columns[0]))
-            a, b, n = (None if c is None else c[order] for c in columns)
-            new = a[1:] != a[:-1] if b is None else (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            new = np.flatnonzero(np.append(True, new))
-            return a[new], None if b is None else b[new], np.add.reduceat(n, new, dtype=np.int64)
+            if kind == PAIR:  # tokens, sorted where they lie
+                a = columns[0]
+                a.sort()
+                new = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+                return a[new], None, np.diff(np.append(new, len(a)))
+            order = np.lexsort((columns[1], columns[0]))
+            a, b, n = (c[order] for c in columns)
+            new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            return a[new], b[new], np.add.reduceat(n, new, dtype=np.int64)
 
         def out() -> Iterator[pa.RecordBatch]:
             for kind in range(3):
@@ -166,36 +206,33 @@ def cells(docs: DataFrame, sent: Broadcast) -> DataFrame:
                         some = slice(i, i + ROWS)
                         size = len(a[some])
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int8)), pa.array(a[some]), pa.array(np.full(size, -1) if b is None else b[some]), pa.array(n[some].astype(np.int64))], ["kind", "a", "b", "n"])
+                    del a, b, n
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
             for first, texts in _slices(batch):
                 codes, hashes, lengths = _tokens(texts)
-                hashed = hashes[codes]
-                word = _places(known, hashes)[codes]
+                word, hashed = _places(known, hashes)[codes], hashes[codes]
                 context, before = _contexts(word, lengths, len(known)), _contexts(hashed, lengths, 0)
-                n = np.repeat(~held_out[first : first + len(texts)], lengths).astype(np.int64)
-                pair, rare, after = (word >= 0) & (context >= 0) & (n > 0), (word < 0) & (context >= 0) & (n > 0), (context < 0) & ((n > 0) | (word < 0))
-                codes_after = np.where(word[after] >= 0, word[after], -1 - hashed[after])
-                for kind, a, b in ((PAIR, context[pair] << 32 | word[pair], None), (RARE, hashed[rare], context[rare]), (AFTER, before[after], codes_after)):
-                    if len(a):
-                        if b is None:
-                            a, times = np.unique(a, return_counts=True)
-                        else:
-                            times = n[rare if kind == RARE else after]
-                        gathered[kind].append((a, b, times.astype(np.int32)))
-                        size += len(a)
+                counts = np.repeat(~held_out[first : first + len(texts)], lengths)
+                pair, rare, after = (word >= 0) & (context >= 0) & counts, (word < 0) & (context >= 0), (context < 0) & (counts | (word < 0))
+                if pair.any():
+                    gathered[PAIR].append((context[pair] << 32 | word[pair],))
+                if rare.any():
+                    gathered[RARE].append((hashed[rare], context[rare], counts[rare]))
+                if after.any():
+                    gathered[AFTER].append((before[after], np.where(word[after] >= 0, word[after], -1 - hashed[after]), counts[after]))
+                size += len(codes)
+                del codes, hashes, hashed, word, context, before, counts, pair, rare, after
                 if size > GATHER:
-                    del codes, hashes, hashed, word, context, before, n, pair, rare, after, codes_after, a, b, times
-                    gathered[:] = [[combined(kind)] if gathered[kind] else [] for kind in range(3)]
-                    size = sum(len(g[0][0]) for g in gathered if g)
-                    if size > GATHER // 2:
-                        yield from out()
-                        size = 0
+                    yield from out()
+                    size = 0
         yield from out()
 
     counts = _told(docs).mapInArrow(run, "kind tinyint, a bigint, b bigint, n bigint")
-    return counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    # dealt before they are summed: a task's rows are combined already, and a map of them in each would take memory for nothing
+    return counts.repartition("kind", "a", "b").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -377,7 +414,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     spark = docs.sparkSession
     all_words = save(words(docs), "lm-words")
     n_words, n_tokens = all_words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    found = _most(all_words, MIN_CONTEXT, LEXICON).orderBy("word").toArrow()  # LEXICON rows at most
+    found = all_words.filter(_most(all_words, MIN_CONTEXT, LEXICON)).orderBy("word").toArrow()  # LEXICON rows at most
     model = Model(found["word"].to_numpy(), found["n"].to_numpy().astype(float), n_tokens, n_words)
     discard(all_words)
     sent = spark.sparkContext.broadcast(model.lexicon)
@@ -390,7 +427,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     has_own = F.col("n") >= max(MIN_CONTEXT, 1)
     followers = after.select(has_own.alias("has_own"), F.explode("cells").alias("c")).select("has_own", "c.*")
     context = F.when(F.col("kind") == PAIR, _context("a")).when(F.col("kind") == RARE, F.col("b").cast("int"))
-    by_context = table.groupBy(context.alias("c")).agg(F.sum("n").alias("n"), F.count_if((F.col("n") == 1) | (F.col("kind") == RARE)).alias("fixed")).filter("c >= 0").toArrow()  # LEXICON + 1 rows at most, as all vectors
+    by_context = table.groupBy(context.alias("c")).agg(F.sum("n").alias("n"), F.count_if((F.col("n") == 1) | (F.col("kind") == RARE) & (F.col("n") > 0)).alias("fixed")).filter("c >= 0").toArrow()  # LEXICON + 1 rows at most, as all vectors
     model.customers, model.fixed_tables = (_sums(by_context["c"].to_numpy(), by_context[c].to_numpy(), size + 1) for c in ("n", "fixed"))
     of_pairs = pairs.filter("n = 1").select(_word("a").alias("w"), "n")
     of_after = followers.filter("word >= 0").select(F.col("word").cast("int").alias("w"), F.when(F.col("has_own"), F.least("n", F.lit(1))).otherwise(F.col("n")).alias("n"))
@@ -399,7 +436,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     own = table.filter(context >= 0).select("n").unionByName(followers.filter("has_own").select("n")).agg(once("n", 1), once("n", 2)).first()
     model.discount = _discount(*own)
     # customers at the root of rarer words, with one table a cell
-    rarer = table.filter(F.col("kind") == RARE).select(F.col("a").alias("word"), F.lit(1).cast("bigint").alias("below"))
+    rarer = table.filter(F.col("kind") == RARE).select(F.col("a").alias("word"), F.least("n", F.lit(1)).alias("below"))
     rarer = rarer.unionByName(followers.filter("word < 0").select((-1 - F.col("word")).alias("word"), F.when(F.col("has_own"), F.least("n", F.lit(1))).otherwise(F.col("n")).alias("below")))
     at_root = rarer.groupBy("word").agg(F.sum("below").alias("below")).agg(once("below", 1), once("below", 2), F.coalesce(F.sum("below"), F.lit(0)), F.count_if(F.col("below") > 0)).first()
     model.rare_customers, model.rare_tables = float(at_root[2]), float(at_root[3])
@@ -429,11 +466,10 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
         sent = spark.sparkContext.broadcast(model.after(sweep - 1))
 
         def run(batches: Iterator[pa.RecordBatch], sweep: int = sweep, sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    key, n, now, before = (c.to_numpy() for c in batch.columns)
-                    new = sent.value.sweep_pairs(sweep, key, n, now, own_table)
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new), pa.array(before + new * (sweep > BURN_IN))], ["key", "n", "now", "tables"])
+            for batch in _gathered(batches):
+                key, n, now, before = (c.to_numpy() for c in batch.columns)
+                new = sent.value.sweep_pairs(sweep, key, n, now, own_table)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new), pa.array(before + new * (sweep > BURN_IN))], ["key", "n", "now", "tables"])
 
         last, swept = swept, save(swept.mapInArrow(run, "key bigint, n bigint, now double, tables double"), "lm-sweep")
         discard(last)
@@ -461,8 +497,8 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     # the samples' totals, now with the tables that rarer words have
     sampled = [F.sum(F.get(c, F.lit(s))) for c in ("customers", "root_tables") for s in range(SAMPLES)]
     of_rare = rare.agg(*(F.coalesce(x, F.lit(0.0)) for x in sampled)).first()
-    cell = rare.select(F.explode(F.arrays_zip("contexts", "tables")).alias("c")).select("c.*").filter("contexts >= 0")
-    more = _vector(cell.groupBy("contexts").agg(F.sum(F.col("tables") / SAMPLES - 1)), size + 1)
+    cell = rare.select(F.explode(F.arrays_zip("contexts", "ns", "tables")).alias("c")).select("c.*").filter("contexts >= 0")
+    more = _vector(cell.groupBy("contexts").agg(F.sum(F.col("tables") / SAMPLES - F.least("ns", F.lit(1)))), size + 1)
     for s in range(SAMPLES):
         sweep = BURN_IN + 1 + s
         model.tables[sweep] = model.tables[sweep] + more
@@ -483,82 +519,167 @@ def _lists(values: np.ndarray | pa.Array, at: np.ndarray) -> pa.ListArray:
 
 def _after(after: DataFrame, sent: Broadcast, own_table: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                ends, inner = _inner(batch.column("cells"))
-                word, n = inner.field("word").to_numpy(), inner.field("n").to_numpy()
-                tables, seated = sent.value.sweep_after(batch.column("context").to_numpy(), ends[:-1], word, n, own_table)
-                columns = [batch.column("context"), batch.column("n"), pa.array(seated), _lists(word, ends), _lists(n, ends), _lists(tables, ends)]
-                yield pa.RecordBatch.from_arrays(columns, ["context", "n", "seated", "words", "ns", "tables"])
+        for batch in _gathered(batches):
+            ends, inner = _inner(batch.column("cells"))
+            word, n = inner.field("word").to_numpy(), inner.field("n").to_numpy()
+            tables, seated = sent.value.sweep_after(batch.column("context").to_numpy(), ends[:-1], word, n, own_table)
+            columns = [batch.column("context"), batch.column("n"), pa.array(seated), _lists(word, ends), _lists(n, ends), _lists(tables, ends)]
+            yield from _handed(pa.RecordBatch.from_arrays(columns, ["context", "n", "seated", "words", "ns", "tables"]))
 
     return after.select("context", "n", "cells").mapInArrow(run, "context bigint, n bigint, seated double, words array<bigint>, ns array<bigint>, tables array<double>")
 
 
 def _rare(rare: DataFrame, sent: Broadcast, own_table: np.ndarray, root_table: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _gathered(batches):
             ends, inner = _inner(batch.column("cells"))
             context, n = inner.field("context").to_numpy(), inner.field("n").to_numpy()
             tables, below, above = sent.value.sweep_rare(batch.column("word").to_numpy(), ends[:-1], context, n, own_table, root_table)
             each = np.arange(0, SAMPLES * batch.num_rows + 1, SAMPLES)
             columns = [batch.column("word"), batch.column("n"), *(_lists(x, ends) for x in (context, n, tables, inner.field("size"), inner.field("seated"))), _lists(below.ravel(), each), _lists(above.ravel(), each)]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "n", "contexts", "ns", "tables", "sizes", "seated", "customers", "root_tables"])
+            yield from _handed(pa.RecordBatch.from_arrays(columns, ["word", "n", "contexts", "ns", "tables", "sizes", "seated", "customers", "root_tables"]))
 
     schema = "word bigint, n bigint, contexts array<bigint>, ns array<bigint>, tables array<double>, sizes array<bigint>, seated array<double>, customers array<double>, root_tables array<double>"
     return rare.select("word", "n", "cells").mapInArrow(run, schema)
 
 
 class Predictions:
-    """Probabilities, averaged over the samples."""
+    """Probabilities, averaged over the samples, with the vectors that they need."""
 
     def __init__(self, model: Model):
         kept = range(BURN_IN + 1, SWEEPS + 1)
-        self.model, self.sweeps = model, list(kept)
+        self.model, self.sweeps = model.after(-1), list(kept)
         self.backoff = np.stack([model.backoff(s) for s in kept])  # samples x contexts, the last for none
         self.customers = np.append(model.customers, 0.0)
         self.root = np.stack([model.root(s, model.root_customers[s], model.root_tables[s]) for s in kept])  # samples x words
+        self.mean_root = self.root.mean(0)
+
+    def own(self, n: np.ndarray | float, tables: np.ndarray | float) -> np.ndarray | float:
+        return np.maximum(n - self.model.discount * tables / SAMPLES, 0)
 
     def __call__(self, context: np.ndarray, root: np.ndarray, n: np.ndarray | float, tables: np.ndarray | float) -> np.ndarray:
         """Of tokens: root is samples x tokens, n and tables (summed over the samples) are those of the cells, 0 for none."""
-        own = np.maximum(n - self.model.discount * tables / SAMPLES, 0) / (CONCENTRATION + self.customers[context])
-        return own + (self.backoff[:, context] * root).mean(0)
+        return self.own(n, tables) / (CONCENTRATION + self.customers[context]) + (self.backoff[:, context] * root).mean(0)
 
     def of_pairs(self, key: np.ndarray, n: np.ndarray | float, tables: np.ndarray | float) -> np.ndarray:
         return self(key >> 32, self.root[:, key & (1 << 32) - 1], n, tables)
 
-    def of_root(self, s: int, customers: Column, tables: Column) -> Column:
-        """By sample: the root's probability of a word outside the lexicon."""
-        model, sweep = self.model, self.sweeps[s]
-        all_customers, all_tables = model.totals[sweep]
-        seated = F.greatest(customers - float(model.root_discount) * F.least(tables, customers), F.lit(0.0))
-        return (seated + float(model.new_at_root(all_tables))) / (ROOT_CONCENTRATION + float(all_customers))
+    def rarer_backoff(self, size: np.ndarray, seated: np.ndarray) -> np.ndarray:
+        """The share that goes to the root of a rarer context, whose tables count with their mean."""
+        return (CONCENTRATION + self.model.discount * seated) / (CONCENTRATION + size)
+
+    def of_root(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Samples x words: the root's probability of words outside the lexicon, whose customers and tables are words x samples."""
+        return np.stack([self.model.root(sweep, customers[:, s], tables[:, s]) for s, sweep in enumerate(self.sweeps)])
+
+
+class Head:
+    """The most frequent pairs and the logarithms of their probabilities: compressed, until a task asks for them."""
+
+    def __init__(self, parts: list[tuple[int, bytes]]):
+        self.parts, self.opened = parts, None
+
+    def __call__(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys, ascending, and logarithms."""
+        if self.opened is None:
+            found = [np.frombuffer(pa.decompress(x, 16 * n, "zstd", asbytes=True), np.int64).reshape(2, n) for n, x in self.parts]
+            key = np.concatenate([x[0].cumsum() for x in found] or [np.zeros(0, np.int64)])
+            log = np.concatenate([x[1].view(float) for x in found] or [np.zeros(0)])
+            order = np.argsort(key, kind="stable")
+            self.opened, self.parts = (key[order], log[order]), []
+        return self.opened
+
+
+def _head(pairs: DataFrame) -> Head:
+    """pairs: k and log. Tasks compress them, so what the driver gets and holds is less than the pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if found := [tuple(c.to_numpy() for c in batch.columns) for batch in batches if batch.num_rows]:
+            key, log = map(np.concatenate, zip(*found))
+            order = np.argsort(key)
+            packed = pa.compress(np.stack([np.diff(key[order], prepend=0), log[order].view(np.int64)]).tobytes(), "zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([len(key)]), pa.array([packed], pa.binary())], ["n", "packed"])
+
+    return Head([(r["n"], bytes(r["packed"])) for r in pairs.mapInArrow(run, "n bigint, packed binary").collect()])  # PAIRS pairs at most
 
-    def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-        """c, customers, a backoff for each sample; and w, the root's probability in each sample."""
-        n = len(self.model.lexicon)
-        names = lambda x: [f"{x}{s}" for s in range(SAMPLES)]
-        by_context = pa.table([pa.array(np.arange(n + 1, dtype=np.int32)), pa.array(self.model.customers), *map(pa.array, self.backoff[:, : n + 1])], ["c", "customers", *names("backoff")])
-        by_word = pa.table([pa.array(np.arange(n, dtype=np.int32)), *map(pa.array, self.root)], ["w", *names("word")])
-        return spark.createDataFrame(by_context), spark.createDataFrame(by_word)
+
+def _pair_logs(pairs: DataFrame, sent: Broadcast) -> DataFrame:
+    """k, log: the logarithms of the probabilities of pairs inside the lexicon."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, n, tables = (c.to_numpy() for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.log10(sent.value.of_pairs(key, n, tables)))], ["k", "log"])
+
+    return pairs.select("key", "n", "tables").mapInArrow(run, "k bigint, log double")
+
+
+def _rare_logs(rare: DataFrame, sent: Broadcast) -> DataFrame:
+    """k, total, others, logs, at_root of rarer words: their cells' contexts and logarithms, and that of the root."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            told, (ends, context) = sent.value, _inner(batch.column("contexts"))
+            context, of = context.to_numpy(), np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            n, tables = (batch.column(c).flatten().to_numpy() for c in ("ns", "tables"))
+            size, seated = (batch.column(c).flatten().fill_null(0).to_numpy() for c in ("sizes", "seated"))
+            customers, root_tables = (batch.column(c).flatten().to_numpy().reshape(-1, SAMPLES) for c in ("customers", "root_tables"))
+            root = told.of_root(customers, root_tables)
+            p = told.own(n, tables) / (CONCENTRATION + size) + told.rarer_backoff(size, seated) * root.mean(0)[of]
+            inside = context >= 0
+            p[inside] = told(context[inside], root[:, of[inside]], n[inside], tables[inside])
+            columns = [pa.array(-1 - batch.column("word").to_numpy()), batch.column("n"), _lists(context, ends), _lists(np.log10(p), ends), pa.array(np.log10(root.mean(0)))]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "total", "others", "logs", "at_root"])
+
+    columns = "word", "n", "contexts", "ns", "tables", "sizes", "seated", "customers", "root_tables"
+    return rare.select(*columns).mapInArrow(run, "k bigint, total bigint, others array<bigint>, logs array<double>, at_root double")
+
+
+def _after_logs(after: DataFrame, sent: Broadcast) -> DataFrame:
+    """k, others, logs, back of rarer contexts: the words of the lexicon after them and their logarithms, and that of the share that goes to the root."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            told, (ends, word) = sent.value, _inner(batch.column("words"))
+            word, of = word.to_numpy(), np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            inside = word >= 0
+            word, of, (n, tables) = word[inside], of[inside], (batch.column(c).flatten().to_numpy()[inside] for c in ("ns", "tables"))
+            size, seated = batch.column("n").to_numpy(), batch.column("seated").to_numpy()
+            back = told.rarer_backoff(size, seated)
+            p = told.own(n, tables) / (CONCENTRATION + size[of]) + back[of] * told.mean_root[word]
+            ends = np.append(0, np.cumsum(inside))[ends]
+            columns = [pa.array(-1 - (batch.column("context").to_numpy() ^ TURN)), _lists(word + WORD, ends), _lists(np.log10(p), ends), pa.array(np.log10(back))]
+            yield pa.RecordBatch.from_arrays(columns, ["k", "others", "logs", "back"])
+
+    return after.select("context", "n", "seated", "words", "ns", "tables").mapInArrow(run, "k bigint, others array<bigint>, logs array<double>, back double")
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each of docs."""
-    model, pairs, rare, after = fit(docs)
+    spark = docs.sparkSession
+    with _removed_shuffles(spark):
+        model, pairs, rare, after = fit(docs)
+    n_tokens, n_words = model.n_tokens, model.n_words
     told = Predictions(model)
-    base = lambda n: np.log10((n + 0.1) / (model.n_tokens + 0.1 * (model.n_words + 1)))
-    head = _most(pairs, 2, PAIRS).orderBy("key").toArrow()  # PAIRS rows at most
-    head_keys = head["key"].to_numpy()
-    head_log = np.log10(told.of_pairs(head_keys, head["n"].to_numpy(), head["tables"].to_numpy()))
-    sent = docs.sparkSession.sparkContext.broadcast((model.lexicon, head_keys, head_log, base(model.counts)))
-    names = ["k", "row", "other", "times", "own"]
+    alone = float(np.log10(told.of_root(np.zeros((1, SAMPLES)), np.zeros((1, SAMPLES))).mean()))
+    vectors = spark.sparkContext.broadcast(told)
+    with _removed_shuffles(spark):
+        is_head = _most(pairs, 2, PAIRS)
+        head = _head(_pair_logs(pairs.filter(is_head), vectors))
+    sent = spark.sparkContext.broadcast((model.lexicon, np.log10((model.counts + 0.1) / (n_tokens + 0.1 * (n_words + 1))), head))
+    del model, told, head
+    names = ["k", "row", "other", "times", "miss", "own"]
     of_text = ["doc_id", "held_out", "n_tokens", "n_known", "base", "log"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, head_keys, head_log, log_base = sent.value
+        (lexicon, log_base, head), told = sent.value, vectors.value
+        head_keys, head_log = head()
         for batch in batches:
+            held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
             for first, texts in _slices(batch):
                 codes, hashes, lengths = _tokens(texts)
                 word = _places(lexicon, hashes)[codes]
@@ -566,65 +687,58 @@ def score(docs: DataFrame) -> DataFrame:
                 context, before = _contexts(word, lengths, len(lexicon)), _contexts(hashed, lengths, 0)
                 of, n = np.repeat(np.arange(len(texts)), lengths), len(texts)
                 known, follows, pair = word >= 0, (word >= 0) & (context < 0), (word >= 0) & (context >= 0)
-                key = context[pair] << 32 | word[pair]
+                key, of_pair = context[pair] << 32 | word[pair], of[pair]
                 place = _places(head_keys, key)
                 is_head = place >= 0
-                log = _sums(of[pair][is_head], head_log[place[is_head]], n)
+                log = _sums(of_pair[is_head], head_log[place[is_head]], n)
                 some = batch.slice(first, n)
                 # a key of its own, which meets nothing, keeps a text's own row from those that share one
                 row = some.column("row").to_numpy()
                 own = [some.column("doc_id"), some.column("held_out"), pa.array(lengths), pa.array(_sums(of[known], np.ones(known.sum()), n).astype(np.int64)), pa.array(_sums(of[known], log_base[word[known]], n)), pa.array(log)]
                 own = pa.StructArray.from_arrays(own, of_text)
-                yield pa.RecordBatch.from_arrays([pa.array(OWN + row), pa.array(row), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), own], names)
+                yield pa.RecordBatch.from_arrays([pa.array(OWN + row), pa.array(row), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()), own], names)
                 # tokens that are scored by a join; sorted by key they stay in the order of texts, so those of a text and a cell stand together
                 rest = word < 0
                 k = np.concatenate([key[~is_head], -1 - hashed[rest], -1 - (before[follows] ^ TURN)])
-                who = np.concatenate([of[pair][~is_head], of[rest], of[follows]])
+                if not len(k):
+                    continue
+                who = np.concatenate([of_pair[~is_head], of[rest], of[follows]])
                 after = np.concatenate([np.full((~is_head).sum(), -1), np.where(context[rest] >= 0, context[rest], -2 - before[rest]), WORD + word[follows]])
-                order = np.lexsort((after, who, k))
+                n_pairs = len(k) - rest.sum() - follows.sum()
+                order = np.append(np.argsort(k[:n_pairs], kind="stable"), n_pairs + np.lexsort((after[n_pairs:], who[n_pairs:], k[n_pairs:])))
                 k, who, after = k[order], who[order], after[order]
-                new = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (k[1:] != k[:-1]) | (after[1:] != after[:-1]))) if len(k) else np.zeros(0, np.int64)
+                new = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (k[1:] != k[:-1]) | (after[1:] != after[:-1])))
                 times = np.diff(np.append(new, len(k))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(row[who[new]]), pa.array(after[new]), pa.array(times), pa.nulls(len(new), own.type)], names)
+                k, who, after = k[new], who[new], after[new]
+                del codes, hashes, hashed, word, context, before, of, known, follows, pair, key, of_pair, place, is_head, rest, order, new
+                # where there may be no cell, what counts then: of pairs the probability, of rarer contexts the root's
+                lost = held_out[first : first + n][who]
+                miss = np.full(len(k), np.nan)
+                inside, behind = (k >= 0) & lost, (after >= WORD) & (lost | (MIN_CONTEXT > 1))
+                miss[inside] = np.log10(told.of_pairs(k[inside], 0, 0))
+                miss[behind] = np.log10(told.mean_root[after[behind] - WORD])
+                yield from _handed(pa.RecordBatch.from_arrays([pa.array(k), pa.array(row[who]), pa.array(after), pa.array(times), pa.array(miss, from_pandas=True), pa.nulls(len(k), own.type)], names))
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"k bigint, row bigint, other bigint, times int, own struct<doc_id: {id_type}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, log: double>"
+    schema = f"k bigint, row bigint, other bigint, times int, miss double, own struct<doc_id: {id_type}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, log: double>"
     tokens = _told(docs).mapInArrow(run, schema)
     # the cells of all kinds under one key: pairs as they are, rarer words by the complement of their hash, rarer contexts by that of the turned hash
-    none = lambda kind: F.lit(None).cast(kind)
-    lists = {"others": "array<bigint>", "ns": "array<bigint>", "ts": "array<double>", "sizes": "array<bigint>", "seats": "array<double>"}
-    of_row = {"tables": "double", "size": "bigint", "seated": "double"}
-    roots = [f"root{s}" for s in range(SAMPLES)]
-    empty = lambda kinds, *but: [none(kind).alias(c) for c, kind in kinds.items() if c not in but]
-    known = pairs.select(F.col("key").alias("k"), F.col("n").alias("total"), "tables", *empty(of_row, "tables"), *empty(lists), *(none("double").alias(c) for c in roots))
-    of_rare = [told.of_root(s, F.get("customers", F.lit(s)), F.get("root_tables", F.lit(s))) for s in range(SAMPLES)]
-    cells_of_rare = [F.col("contexts").alias("others"), F.col("ns"), F.col("tables").alias("ts"), F.col("sizes"), F.col("seated").alias("seats")]
-    rarer = rare.select((-1 - F.col("word")).alias("k"), F.col("n").alias("total"), *empty(of_row), *cells_of_rare, *(x.alias(c) for x, c in zip(of_rare, roots)))
-    cells_of_after = [F.transform("words", lambda w: w + WORD).alias("others"), F.col("ns"), F.col("tables").alias("ts"), *empty({c: lists[c] for c in ("sizes", "seats")})]
-    follow = after.select((-1 - F.col("context").bitwiseXOR(F.lit(TURN))).alias("k"), F.col("n").alias("total"), *empty(of_row, "size", "seated"), F.col("n").alias("size"), "seated", *cells_of_after, *(none("double").alias(c) for c in roots))
+    logs = _pair_logs(pairs.filter(~is_head), vectors)
+    for more in (_rare_logs(rare, vectors), _after_logs(after, vectors)):
+        logs = logs.unionByName(more, allowMissingColumns=True)
     is_own, is_pair, is_after = F.col("k") >= OWN, F.col("k") >= 0, (F.col("k") < 0) & (F.col("other") >= WORD)
     place = F.when(~is_pair, F.array_position("others", F.col("other")).cast("int"))
-    at = lambda c: F.when(place > 0, F.get(c, place - 1))
-    met = tokens.join(known.unionByName(rarer).unionByName(follow).hint("merge"), "k", "left").select(
-        "k", "row", "times", "own", "other", F.coalesce("total", F.lit(0)).alias("total"), *roots,
-        F.coalesce(F.when(is_pair, F.col("total")).otherwise(at("ns")), F.lit(0)).alias("n"), F.coalesce(F.when(is_pair, F.col("tables")).otherwise(at("ts")), F.lit(0.0)).alias("tables"),
-        F.coalesce("size", at("sizes"), F.lit(0)).alias("size"), F.coalesce("seated", at("seats"), F.lit(0.0)).alias("seated"),
-        F.when(is_pair & ~is_own, _context("k")).when(~is_own & F.col("other").between(0, WORD - 1), F.col("other").cast("int")).alias("c"),
-        F.when(is_pair & ~is_own, _word("k")).when(is_after, (F.col("other") - WORD).cast("int")).alias("w"),
+    # a rarer context that is not known, or has no restaurant, leaves all to the root; an unknown word has the root's last share
+    without = F.when(is_pair, F.col("miss")).when(is_after, F.coalesce("back", F.lit(0.0)) + F.col("miss")).otherwise(F.coalesce("at_root", F.lit(alone)))
+    total = F.coalesce("total", F.lit(0))
+    met = tokens.join(logs.hint("merge"), "k", "left").select(
+        "k", "row", "times", "own", "other", total.alias("total"), F.coalesce("log", F.when(place > 0, F.get("logs", place - 1)), without).alias("of_token"),
     )
-    by_context, by_word = told.tables(docs.sparkSession)  # LEXICON + 1 rows at most
-    met = met.join(F.broadcast(by_context), "c", "left").join(F.broadcast(by_word), "w", "left")
-    alone = [told.of_root(s, F.lit(0.0), F.lit(0.0)) for s in range(SAMPLES)]
-    root = [F.coalesce(f"word{s}", f"root{s}", alone[s]) for s in range(SAMPLES)]
-    # a rarer context has its customers and tables beside the cell, an unknown one has none
-    rarer_backoff = (CONCENTRATION + model.discount * F.col("seated")) / (CONCENTRATION + F.col("size"))
-    lower = sum(F.coalesce(f"backoff{s}", rarer_backoff) * root[s] for s in range(SAMPLES)) / SAMPLES
-    p = F.greatest(F.col("n") - model.discount / SAMPLES * F.col("tables"), F.lit(0.0)) / (CONCENTRATION + F.coalesce("customers", "size")) + lower
-    of_token = F.log10((F.col("total") + 0.1) / (model.n_tokens + 0.1 * (model.n_words + 1)))
+    base = F.log10((F.col("total") + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
     first = lambda c: F.max(f"own.{c}").alias(c)
     each = lambda own, token: F.sum(F.when(is_own, F.col(f"own.{own}")).otherwise(token))
     out = met.groupBy("row").agg(
         first("doc_id"), first("held_out"), first("n_tokens"), each("n_known", F.when(~is_pair & ~is_after & (F.col("total") > 0), F.col("times")).otherwise(0)).alias("n_known"),
-        each("base", F.when(is_pair | is_after, 0.0).otherwise(F.col("times") * of_token)).alias("base_score"), each("log", F.col("times") * F.log10(p)).alias("score"),
+        each("base", F.when(is_pair | is_after, 0.0).otherwise(F.col("times") * base)).alias("base_score"), each("log", F.col("times") * F.col("of_token")).alias("score"),
     )
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

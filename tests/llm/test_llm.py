@@ -809,6 +809,29 @@ def test_every_context_has_a_restaurant(spark, monkeypatch):
         assert out[i] == pytest.approx(sum(math.log10(p(u, w)) for u, w in of(words)), rel=1e-9)
 
 
+def test_no_table_of_the_language_model_passes_through_the_driver(spark, monkeypatch):
+    """But for vectors over the lexicon and the compressed head, which changes no score."""
+    monkeypatch.setattr(pitman_yor, "LEXICON", 40)
+    monkeypatch.setattr(pitman_yor, "PAIRS", 300)
+    pick = random.Random(7)
+    docs = [(i, " ".join(f"w{pick.randrange(pick.randrange(1, 60))}" for _ in range(80))) for i in range(120)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows, as_arrow = [], type(docs).toArrow
+    heads, head = [], pitman_yor._head
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "toArrow", lambda df: rows.append(as_arrow(df)) or rows[-1])
+        patch.setattr(type(spark), "createDataFrame", lambda *_, **__: pytest.fail("a table was made on the driver"))
+        patch.setattr(pitman_yor, "_head", lambda pairs: heads.append(head(pairs)) or heads[-1])
+        out = {r.doc_id: r.score for r in pitman_yor.score(docs).collect()}
+    assert rows and max(t.num_rows for t in rows) <= 41
+    size, packed = sum(n for n, _ in heads[0].parts), sum(len(x) for _, x in heads[0].parts)
+    key, log = heads[0]()
+    assert 100 < size == len(key) == len(log) <= 300 and packed < 16 * size and (np.diff(key) > 0).all() and (log < 0).all()
+    monkeypatch.setattr(pitman_yor, "PAIRS", 0)
+    for r in pitman_yor.score(docs).collect():
+        assert r.score == pytest.approx(out[r.doc_id], rel=1e-9)
+
+
 def test_tables_of_rarer_contexts_are_drawn_one_cell_after_the_other():
     py, pick = pitman_yor, np.random.default_rng(4)
     model = py.Model(np.arange(6), np.ones(6), 900, 50)
