@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import save
+from .relational import growing
 
 KEYFRAME = 40
 
@@ -51,22 +52,42 @@ def replay(log: DataFrame, key: str, at: Column | None = None, order: Sequence[s
     return some.withColumn("_n", F.row_number().over(newest)).filter("_n = 1 AND op = 'upsert'").drop("_n")
 
 
+def _circling(links: DataFrame) -> DataFrame:
+    """_lost: of links (id, _top: its parent) the nodes on or below a cycle, by doubling jumps.
+
+    A jump of 2**k steps is left for the nodes that are so deep. Depths have no gaps, so where doubling loses no jump those that are left lead round. No names are carried: round a cycle they would double, too.
+    """
+    jumps = save(links.select("id", "_top").distinct(), "jumps")
+    n = jumps.count()
+    for _ in range(n.bit_length()):
+        a, b = jumps.alias("a"), growing(jumps.alias("b"))
+        jumps = save(a.join(b, F.col("a._top") == F.col("b.id")).select(F.col("a.id").alias("id"), F.col("b._top").alias("_top")), "jumps")
+        if (now := jumps.count()) == n:
+            break
+        n = now
+    return jumps.select(F.col("id").alias("_lost")).distinct()
+
+
 def tree_paths(nodes: DataFrame) -> DataFrame:
     """nodes: id, parent_id, name. Adds path (names from the root), depth and error, by doubling jumps: a tree of depth n takes log2(n) rounds.
 
     Nodes whose parent is missing begin a path of their own; those on or below a cycle have no path, and the error "cycle".
     """
-    known = nodes.select(F.col("id").alias("_top"))
-    state = save(nodes.join(known, nodes.parent_id == known._top, "left").withColumn("path", F.col("name")).withColumn("depth", F.lit(0)), "paths")
+    known = growing(nodes.select(F.col("id").alias("_top")))
+    linked = save(nodes.join(known, nodes.parent_id == known._top, "left"), "parents")
+    lost = growing(save(_circling(linked.filter("_top IS NOT NULL")), "lost"))
+    # a node is on or below a cycle if its parent is
+    below = linked._top == lost._lost
+    none = linked.join(lost, below, "left_semi").select(*nodes.columns, F.lit(None).cast("string").alias("path"), F.lit(None).cast("int").alias("depth"), F.lit("cycle").alias("error"))
+    state = save(linked.join(lost, below, "left_anti").withColumn("path", F.col("name")).withColumn("depth", F.lit(0)), "paths")
     for _ in range(state.count().bit_length()):
         if state.filter("_top IS NOT NULL").isEmpty():
             break
-        above = state.select(F.col("id").alias("_at"), F.col("_top").alias("_next"), F.col("path").alias("_path"), F.col("depth").alias("_depth"))
+        above = growing(state.select(F.col("id").alias("_at"), F.col("_top").alias("_next"), F.col("path").alias("_path"), F.col("depth").alias("_depth")))
         met = state.join(above, state._top == above._at, "left")
         further = F.when(F.col("_at").isNotNull(), F.col("_depth") + 1).otherwise(0)
         state = save(met.select(*nodes.columns, F.col("_next").alias("_top"), F.concat_ws("/", "_path", "path").alias("path"), (F.col("depth") + further).alias("depth")), "paths")
-    whole = F.col("_top").isNull()
-    return state.select(*nodes.columns, F.when(whole, F.col("path")).alias("path"), F.when(whole, F.col("depth")).alias("depth"), F.when(~whole, "cycle").alias("error"))
+    return state.select(*nodes.columns, "path", "depth", F.lit(None).cast("string").alias("error")).unionByName(none)
 
 
 def classify(local: DataFrame, index: DataFrame) -> DataFrame:

@@ -18,6 +18,11 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """df with the hint that its join is to shuffle both sides, whatever the planner guesses from the sizes of files: rows that are exploded, or that files hold well compressed, would be sent to the driver whole."""
+    return df.hint("merge")
+
+
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "n") -> DataFrame:
     """df with the number of each row in the order, from 1: rows are dealt by ranges and numbered there, plus the rows of the ranges before. No task sees all rows."""
     at = F.monotonically_increasing_id()

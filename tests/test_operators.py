@@ -94,6 +94,27 @@ def test_deep_trees_and_cycles(spark):
     assert [got[k].error for k in (1001, 1002, 1003, 7)] == ["cycle"] * 3 + [None] and got[1003].path is None
 
 
+def test_tree_paths_carry_no_names_round_cycles(spark, monkeypatch):
+    """Cycles of two and three, chains below them and a tree of five levels: nothing that is written in between is longer than the longest path."""
+    rows = [(2 * k, 2 * k + 1, "n") for k in range(100)] + [(2 * k + 1, 2 * k, "n") for k in range(100)] + [(301, 302, "n"), (302, 303, "n"), (303, 301, "n"), (304, 304, "n")]
+    rows += [(400, 0, "n"), (401, 400, "n"), (402, 401, "n"), (500, None, "n"), (501, 500, "n"), (502, 501, "n"), (503, 502, "n"), (504, 503, "n"), (600, 999, "n")]
+    longest, kept = [0], H.save
+
+    def save(df, name="table"):
+        out = kept(df, name)
+        if "path" in out.columns:
+            longest.append(out.agg(F.max(F.length("path"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(H, "save", save)
+    got = {r.id: (r.path, r.depth, r.error) for r in H.tree_paths(spark.createDataFrame(rows, "id int, parent_id int, name string")).collect()}
+    assert len(got) == len(rows)
+    assert got[504] == ("n/n/n/n/n", 4, None) and got[500] == ("n", 0, None) and got[600] == ("n", 0, None)
+    assert all(got[i] == (None, None, "cycle") for i in [*range(200), 301, 302, 303, 304, 400, 401, 402])
+    assert max(longest) == len("n/n/n/n/n")
+
+
+
 def test_long_lists(spark):
     cells = spark.range(20_000).selectExpr("id AS cell", "id * 2 AS first", "CASE WHEN id % 20000 < 19999 THEN id + 1 END AS rest")
     got = P.list_items(cells)
