@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .relational import growing
 
 def _shorter(text: Column) -> Column:
     """All texts with one character less."""
@@ -36,9 +37,9 @@ def similar(a: DataFrame, b: DataFrame, distance: int = 2, keys: Sequence[str] =
 
     def keyed(df: DataFrame, to: str) -> DataFrame:
         names = df.filter(F.col(name).isNotNull()).select(*keys, F.col(name).alias(to)).distinct()
-        return names.select(*keys, to, F.explode(F.transform(deletions(F.col(to), distance), lambda x: F.xxhash64(x))).alias("_left")).distinct()
+        return names.select(*keys, to, F.explode(F.transform(deletions(F.col(to), distance), lambda x: F.xxhash64(x))).alias("_left"))
 
-    met = keyed(a, "name").join(keyed(b, "other"), [*keys, "_left"])
+    met = keyed(a, "name").join(growing(keyed(b, "other")), [*keys, "_left"])
     # far ones that share a text go before pairs are made distinct
     near = F.levenshtein("name", "other", distance)
     return met.select(*keys, "name", "other", near.alias("distance")).filter("distance >= 0").distinct()
@@ -91,15 +92,15 @@ def manifest_targets(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
 def missing_files(targets: DataFrame, paths: DataFrame, distance: int = 1) -> DataFrame:
     """target, moved, misspelt (arrays of paths, sorted): targets (target) that paths (path) hasn't got, with the paths of that base name elsewhere, and those in the same folder whose base name is at most distance edits away."""
     base, folder = (lambda p: F.substring_index(p, "/", -1)), (lambda p: F.regexp_replace(p, "/?[^/]*$", ""))
-    missing = targets.select("target").distinct().join(paths.select(F.col("path").alias("target")), "target", "left_anti")
+    missing = targets.select("target").distinct().join(growing(paths.select(F.col("path").alias("target"))), "target", "left_anti")
     there = paths.select("path", base(F.col("path")).alias("name"), folder(F.col("path")).alias("folder")).distinct()
     lost = missing.select("target", base(F.col("target")).alias("name"), folder(F.col("target")).alias("folder"))
-    moved = lost.join(there.select("path", "name"), "name").groupBy("target").agg(F.array_sort(F.collect_set("path")).alias("moved"))
+    moved = lost.join(growing(there.select("path", "name")), "name").groupBy("target").agg(F.array_sort(F.collect_set("path")).alias("moved"))
     near = similar(lost, there, distance, ["folder"])
     whole = lambda c: F.when(F.col("folder") == "", F.col(c)).otherwise(F.concat_ws("/", "folder", c))
     misspelt = near.select(whole("name").alias("target"), whole("other").alias("path")).groupBy("target").agg(F.array_sort(F.collect_set("path")).alias("misspelt"))
     none = F.array().cast("array<string>")
-    return missing.join(moved, "target", "left").join(misspelt, "target", "left").select("target", F.coalesce("moved", none).alias("moved"), F.coalesce("misspelt", none).alias("misspelt"))
+    return missing.join(growing(moved), "target", "left").join(growing(misspelt), "target", "left").select("target", F.coalesce("moved", none).alias("moved"), F.coalesce("misspelt", none).alias("misspelt"))
 
 
 def _numbers(text: Column) -> Column:

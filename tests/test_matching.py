@@ -57,3 +57,14 @@ def test_missing_files(spark):
     targets = spark.createDataFrame([("a/two.csv",), ("a/onee.csv",), ("tp.csv",), ("b/two.csv",), ("c/none",)], "target string")
     found = {r.target: (r.moved, r.misspelt) for r in M.missing_files(targets, paths).collect()}
     assert found == {"a/two.csv": (["b/two.csv"], []), "a/onee.csv": ([], ["a/one.csv"]), "tp.csv": ([], ["top.csv"]), "c/none": ([], [])}
+
+
+def broadcasts(df):
+    """Whether any side was sent through the driver, by the plan as it was run."""
+    df.collect()
+    return "Broadcast" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_missing_files_sends_no_table_through_the_driver(spark):
+    paths = spark.createDataFrame([("a/one.csv",), ("b/two.csv",)], "path string")
+    assert not broadcasts(M.missing_files(spark.createDataFrame([("a/two.csv",), ("a/onee.csv",)], "target string"), paths))
