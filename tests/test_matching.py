@@ -68,3 +68,8 @@ def broadcasts(df):
 def test_missing_files_sends_no_table_through_the_driver(spark):
     paths = spark.createDataFrame([("a/one.csv",), ("b/two.csv",)], "path string")
     assert not broadcasts(M.missing_files(spark.createDataFrame([("a/two.csv",), ("a/onee.csv",)], "target string"), paths))
+
+
+def test_similar_sends_no_table_through_the_driver(spark):
+    a, b = spark.createDataFrame([("one", 1)], "name string, k int"), spark.createDataFrame([("onee", 1)], "name string, k int")
+    assert not broadcasts(M.similar(a, b, 2)) and not broadcasts(M.similar(a, b, 1, ["k"]))
