@@ -56,11 +56,11 @@ def nearest_names(unknown: DataFrame, known: DataFrame, distance: int = 2, prefi
     whole = similar(unknown, known, distance).select("name", "other")
     off = lambda df: df.select("name", bare.alias("_bare")).distinct()
     # only names whose prefix is missing or another one: the others have met already
-    bared = off(unknown).join(off(known).select(F.col("name").alias("other"), "_bare"), "_bare").filter(F.col("name") != F.col("other")).select("name", "other")
-    pairs = whole.unionByName(bared).distinct().join(sources, "other")
+    bared = off(unknown).join(growing(off(known).select(F.col("name").alias("other"), "_bare")), "_bare").filter(F.col("name") != F.col("other")).select("name", "other")
+    pairs = whole.unionByName(bared).distinct().join(growing(sources), "other")
     one = F.struct(F.levenshtein("name", "other").alias("distance"), "other", "source")
     found = pairs.groupBy("name").agg(F.array_sort(F.collect_list(one)).alias("candidates"))
-    out = unknown.select("name").distinct().join(found, "name", "left")
+    out = unknown.select("name").distinct().join(growing(found), "name", "left")
     return out.select("name", F.get("candidates", F.lit(0))["distance"].alias("distance"), F.coalesce("candidates", F.array().cast("array<struct<distance:int,other:string,source:string>>")).alias("candidates"))
 
 

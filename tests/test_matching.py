@@ -73,3 +73,8 @@ def test_missing_files_sends_no_table_through_the_driver(spark):
 def test_similar_sends_no_table_through_the_driver(spark):
     a, b = spark.createDataFrame([("one", 1)], "name string, k int"), spark.createDataFrame([("onee", 1)], "name string, k int")
     assert not broadcasts(M.similar(a, b, 2)) and not broadcasts(M.similar(a, b, 1, ["k"]))
+
+
+def test_nearest_names_sends_no_table_through_the_driver(spark):
+    known = spark.createDataFrame([("sub-1", "*"), ("sub-2", " ")], "name string, source string")
+    assert not broadcasts(M.nearest_names(spark.createDataFrame([("sub1",), ("1",)], "name string"), known, 1))
