@@ -30,15 +30,18 @@ AWARDS = {"1 OT2 OD23853": "OT2OD023853"}
 AWARD_STEPS = [("‐", "-"), ("‑", "-"), ("–", "-"), ("(", ""), (")", ""), ("-01S1", ""), ("-01", ""), ("-02S2", ""), ("-02", ""), ("SPARC", ""), ("NIH-1", ""), ("NIH-", ""), ("-", ""), ("NIH ", ""), (" ", "")]
 
 
-def award(value: Column) -> Column:
-    """The bare number of an award."""
+def award(value: Column, zero: str = "end") -> Column:
+    """The bare number of an award. zero: where D23864 gets back the zero it lost: in an award that ends with it (end) or wherever it stands (all)."""
+    if zero not in ("end", "all"):
+        raise ValueError("zero is end or all")
     out = alias(value, AWARDS)
     out = F.when(out.contains("OT2") & ~out.contains("OD"), F.replace(out, F.lit("-"), F.lit("-OD"))).otherwise(out)
     out = F.trim(out)
     for old, new in AWARD_STEPS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(F.regexp_replace(out, "^[135]", ""), "S2$", "")
-    return F.when(out.endswith("D23864"), F.replace(out, F.lit("D23864"), F.lit("D023864"))).otherwise(out)
+    mended = F.replace(out, F.lit("D23864"), F.lit("D023864"))
+    return mended if zero == "all" else F.when(out.endswith("D23864"), mended).otherwise(out)
 
 
 #: Other names and misspellings of species and sexes, and the terms of their names.
