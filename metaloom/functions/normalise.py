@@ -19,10 +19,10 @@ def keywords(value: Column) -> Column:
     return F.when(value.contains(";"), _trimmed(F.split(value, ";"))).when(value.contains(","), _trimmed(F.split(value, ","))).otherwise(F.array(value))
 
 
-def funding(value: Column) -> Column:
-    """One award where OT is in the value, else parts at the first kind of separator found, of | then ; then ,."""
+def funding(value: Column, zero: str | None = "end") -> Column:
+    """One award (zero as award() takes it) where OT is in the value, else parts at the first kind of separator found, of | then ; then ,."""
     parts = F.when(value.contains("|"), F.split(value, r"\|")).when(value.contains(";"), F.split(value, ";")).when(value.contains(","), F.split(value, ",")).otherwise(F.array(F.trim(value)))
-    return F.when(value.contains("OT"), F.array(award(value))).otherwise(parts)
+    return F.when(value.contains("OT"), F.array(award(value, zero))).otherwise(parts)
 
 
 #: An award that lost a zero, and what is taken out of awards, in this order.
@@ -30,16 +30,18 @@ AWARDS = {"1 OT2 OD23853": "OT2OD023853"}
 AWARD_STEPS = [("‐", "-"), ("‑", "-"), ("–", "-"), ("(", ""), (")", ""), ("-01S1", ""), ("-01", ""), ("-02S2", ""), ("-02", ""), ("SPARC", ""), ("NIH-1", ""), ("NIH-", ""), ("-", ""), ("NIH ", ""), (" ", "")]
 
 
-def award(value: Column, zero: str = "end") -> Column:
-    """The bare number of an award. zero: where D23864 gets back the zero it lost: in an award that ends with it (end) or wherever it stands (all)."""
-    if zero not in ("end", "all"):
-        raise ValueError("zero is end or all")
+def award(value: Column, zero: str | None = "end") -> Column:
+    """The bare number of an award. zero: where D23864 gets back the zero it lost: in an award that ends with it (end), wherever it stands (all), or not at all (None)."""
+    if zero not in ("end", "all", None):
+        raise ValueError("zero is end, all or None")
     out = alias(value, AWARDS)
     out = F.when(out.contains("OT2") & ~out.contains("OD"), F.replace(out, F.lit("-"), F.lit("-OD"))).otherwise(out)
     out = F.trim(out)
     for old, new in AWARD_STEPS:
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(F.regexp_replace(out, "^[135]", ""), "S2$", "")
+    if zero is None:
+        return out
     mended = F.replace(out, F.lit("D23864"), F.lit("D023864"))
     return mended if zero == "all" else F.when(out.endswith("D23864"), mended).otherwise(out)
 

@@ -53,6 +53,10 @@ def test_award_clean_mends_awards_with_more_behind(spark, tmp_path):
     check_keys(spark, tmp_path, "award_clean", "orders", "o_orderkey", [*range(23856, 23872), *range(238640, 238650), 1238641, 2386423864])
 
 
+def test_funding_split_leaves_the_award_that_lost_a_zero(spark, tmp_path):
+    check_keys(spark, tmp_path, "funding_split", "part", "p_partkey", [*range(23860, 23868), *range(238640, 238648), 1023864])
+
+
 @pytest.mark.parametrize("text, mended", [("OT2OD23864", "OT2OD023864"), ("OT3OD238641", "OT3OD238641"), ("U18-D23864-01", "U18D023864")])
 def test_awards_are_mended_at_their_end(spark, text, mended):
     """Where no other place is asked for."""
