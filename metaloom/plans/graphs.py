@@ -29,14 +29,15 @@ def graph_merge(spark: SparkSession, d: str) -> DataFrame:
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_returnflag", "l_linestatus")
     cells = table(spark, d, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("flag"), F.row_number().over(order).alias("n"), F.lead(F.lit(True)).over(order).alias("more")).withColumn("rest", F.col("n") + 1)
 
-    def graph(name: str, letter: str) -> DataFrame:
+    def graph(name: str, letter: str) -> Column:
         cell, rest = _text(f"_:{letter}", "l_orderkey", "n"), _text(f"_:{letter}", "l_orderkey", "rest")
-        heads = cells.filter("n = 1")
-        inner, last = cells.filter("more"), cells.filter("more IS NULL")
-        made = [_one(heads, _text("order/", "l_orderkey"), "list", cell, "blank"), _one(cells, cell, "first", F.col("flag"), "literal"), _one(inner, cell, "rest", rest, "blank"), _one(last, cell, "rest", F.lit(G.NIL), "iri")]
-        return made[0].unionByName(made[1]).unionByName(made[2]).unionByName(made[3]).withColumn("graph", F.lit(name))
+        triple = lambda s, p, o, kind: F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), kind.alias("o_kind"), F.lit(name).alias("graph"))
+        on = triple(cell, G.REST, F.when(F.col("more"), rest).otherwise(F.lit(G.NIL)), F.when(F.col("more"), "blank").otherwise("iri"))
+        return F.array(F.when(F.col("n") == 1, triple(_text("order/", "l_orderkey"), "list", cell, F.lit("blank"))), triple(cell, "first", F.col("flag"), F.lit("literal")), on)
 
-    merged = G.merge_graphs(graph("one", "a").unionByName(graph("two", "b")).replace("rest", G.REST, ["p"]))
+    # one pass over the lines makes both graphs
+    triples = cells.select(F.explode(F.array_compact(F.concat(graph("one", "a"), graph("two", "b")))).alias("t")).select("t.*")
+    merged = G.merge_graphs(triples)
     kinds = merged.withColumn("p", F.regexp_replace("p", ".*#", ""))
     holder = F.when(F.col("p") == "list", F.col("o")).otherwise(F.col("s"))
     return kinds.groupBy("p").agg(F.count("*").alias("n"), F.count_distinct(holder).alias("holders"), F.count_distinct("o").alias("held"))

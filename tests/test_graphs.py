@@ -63,6 +63,30 @@ def test_long_lists_take_few_rounds(spark):
     assert names.count() == names.select("name").distinct().count() == n
 
 
+def test_ended_lists_are_not_written_again(spark, monkeypatch):
+    """300 lists of two cells beside one of 64: doubling goes on with the long one alone."""
+    cells = [(f"_:{k}-{i}", G.REST, f"_:{k}-{i + 1}" if i + 1 < n else G.NIL, "blank" if i + 1 < n else "iri") for k, n in enumerate([64, *[2] * 300]) for i in range(n)]
+    written, kept = [], G.save
+
+    def save(df, name="table"):
+        out = kept(df, name)
+        written.append(out.count() if name == "chains" else 0)
+        return out
+
+    monkeypatch.setattr(G, "save", save)
+    assert G.blank_names(spark.createDataFrame(cells, "s string, p string, o string, o_kind string")).select("name").distinct().count() == 64
+    assert sum(written) < 2 * len(cells)
+
+
+def test_both_graphs_of_graph_merge_come_from_one_pass(spark, monkeypatch):
+    from metaloom.plans import graphs
+
+    seen = []
+    monkeypatch.setattr(graphs.G, "merge_graphs", lambda df: seen.append(df) or df)
+    graphs.graph_merge(spark, "/root/testdata/sf0.001")
+    assert seen[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_circles_keep_their_names(spark):
     rows = [("a", "_:1", "p", "_:2", "blank"), ("a", "_:2", "p", "_:1", "blank"), ("a", "_:3", G.REST, "_:3", "blank"), ("a", "_:4", "p", "_:1", "blank"), ("a", "_:5", "p", "x", "iri"), ("b", "_:5", "p", "x", "iri"), (None, None, "p", "x", "iri")]
     df = spark.createDataFrame(rows, SCHEMA)
